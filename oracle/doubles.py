@@ -34,4 +34,16 @@ DOUBLE_COLUMNS = {
     'kpi_measures': ['gmv', 'on_time_rate', 'avg_delivery_days', 'contribution_margin', 'margin_per_order', 'cost_per_delivery', 'avg_order_value', 'freight_to_gmv', 'contribution_margin_pct'],
     'kpi_prior_year': ['on_time_rate', 'margin_per_order', 'on_time_rate_py', 'margin_per_order_py', 'margin_per_order_delta_py'],
     'kpi_previous_period': ['gmv', 'on_time_rate', 'avg_delivery_days', 'contribution_margin', 'margin_per_order', 'cost_per_delivery', 'avg_order_value', 'freight_to_gmv', 'contribution_margin_pct'],
+    'dq_suite': [],
+    'dq_unique': [],
+    'dq_not_null': [],
+    'dq_accepted_values': [],
+    'dq_relationships': [],
+    'dq_non_negative': ['value'],
+    'dq_between': ['value'],
+    'dq_row_count_matches': [],
+    'dq_unique_combination': [],
+    'dq_margin_components': [],
+    'dq_delivered_timestamp': [],
+    'dq_kpi_reconcile': [],
 }

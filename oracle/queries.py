@@ -92,3 +92,7 @@ ORACLE["kpi_previous_period"] = with_models(f"""
     from mart_kpi_daily_region k, bounds b
     where k.date_day between b.s and b.e or k.date_day between b.s - cast(b.len as integer) and b.s - 1
     group by 1""")
+
+from oracle.quality import QUALITY_ORACLE  # noqa: E402
+
+ORACLE.update(QUALITY_ORACLE)

@@ -84,3 +84,24 @@ def _kpi_prior_year(spark, sf_dir):
 @query("kpi_previous_period")
 def _kpi_previous_period(spark, sf_dir):
     return dash.kpi_previous_period(warehouse(spark, sf_dir), *DASH_RANGE)
+
+
+# ------------------------------------------------------------------ data-quality checks
+from shipwright.plans import quality_suite as dq  # noqa: E402
+
+_DQ = {
+    "dq_suite": dq.failures_by_test,
+    "dq_unique": dq.unique_violations,
+    "dq_not_null": dq.not_null_violations,
+    "dq_accepted_values": dq.accepted_values_violations,
+    "dq_relationships": dq.relationship_violations,
+    "dq_non_negative": dq.non_negative_violations,
+    "dq_between": dq.between_violations,
+    "dq_row_count_matches": dq.row_count_violations,
+    "dq_unique_combination": dq.unique_combination_violations,
+    "dq_margin_components": dq.margin_components,
+    "dq_delivered_timestamp": dq.delivered_without_timestamp,
+    "dq_kpi_reconcile": dq.kpi_reconcile,
+}
+for _name, _fn in _DQ.items():
+    QUERIES[_name] = (lambda f: lambda spark, sf_dir: f(warehouse(spark, sf_dir)))(_fn)
