@@ -46,4 +46,31 @@ DOUBLE_COLUMNS = {
     'dq_margin_components': [],
     'dq_delivered_timestamp': [],
     'dq_kpi_reconcile': [],
+    'panel_demand': ['value', 'volume'],
+    'panel_delivery': ['value', 'volume'],
+    'trim_incomplete_tail': ['value', 'volume'],
+    'censor_tail': ['value', 'volume'],
+    'complete_weeks_demand': ['value', 'volume'],
+    'complete_weeks_delivery': ['value', 'volume'],
+    'rolling_origin_folds': [],
+    'candidate_models': [],
+    'model_moving_average': ['forecast', 'actual'],
+    'model_seasonal_naive': ['forecast', 'actual'],
+    'model_holt_damped': ['forecast', 'actual'],
+    'backtest_univariate': ['forecast', 'actual'],
+    'metrics_by_model': ['mae', 'smape', 'wape', 'bias'],
+    'residual_quantiles': ['q_lo', 'q_hi'],
+    'champion_models': ['backtest_wape'],
+    'forecast_accuracy': ['mae', 'smape', 'wape', 'bias'],
+    'forecast_publish': ['forecast', 'forecast_lower', 'forecast_upper', 'backtest_wape'],
+    'forecast_publish_delivery': ['forecast', 'forecast_lower', 'forecast_upper', 'backtest_wape'],
+    'forecast_runs': ['median_champion_wape', 'country_champion_wape'],
+    'mart_forecast_vs_actual': ['forecast', 'forecast_lower', 'forecast_upper', 'backtest_wape', 'actual', 'error', 'abs_error', 'abs_pct_error'],
+    'mart_forecast_accuracy_latest': ['mae', 'smape', 'wape', 'bias'],
+    'dash_demand_actual_vs_forecast': ['orders', 'forecast', 'forecast_lower', 'forecast_upper'],
+    'dash_demand_chart': ['orders', 'forecast', 'forecast_lower', 'forecast_upper'],
+    'dash_forecast_accuracy': ['wape', 'smape', 'bias'],
+    'dash_forecast_series': ['actual', 'forecast', 'forecast_lower', 'forecast_upper'],
+    'dash_accuracy_drilldown': ['wape', 'smape', 'bias'],
+    'realised_wape': ['realised_wape', 'forecast_orders', 'actual_orders'],
 }

@@ -96,3 +96,7 @@ ORACLE["kpi_previous_period"] = with_models(f"""
 from oracle.quality import QUALITY_ORACLE  # noqa: E402
 
 ORACLE.update(QUALITY_ORACLE)
+
+from oracle.forecast import FORECAST_ORACLE  # noqa: E402
+
+ORACLE.update(FORECAST_ORACLE)

@@ -46,7 +46,7 @@ def build_panel(mart: DataFrame, series: str, value_col: str, weight_col: str |
     else:
         raise ValueError(f"unknown aggregate {aggregate!r}")
     agg = grouped.agg(value.alias("value"), F.max("_v").alias("_own"), F.sum("_w").alias("volume"),
-                      F.grouping_id("state_code", "macro_region").alias("_gid"))
+                      F.grouping_id().alias("_gid"))
     # a state row is the mart row itself: keep its value as is (v*w/w can differ in the last bit)
     agg = agg.withColumn("value", F.when(F.col("_gid") == 0, F.col("_own")).otherwise(F.col("value")))
     level = (F.when(F.col("_gid") == 0, F.lit(LEVEL_STATE))

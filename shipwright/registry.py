@@ -105,3 +105,140 @@ _DQ = {
 }
 for _name, _fn in _DQ.items():
     QUERIES[_name] = (lambda f: lambda spark, sf_dir: f(warehouse(spark, sf_dir)))(_fn)
+
+
+# ------------------------------------------------------------------ forecasting
+from datetime import datetime  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from shipwright.operators import forecast as FC  # noqa: E402
+from shipwright.operators import timeseries as TS  # noqa: E402
+from shipwright.plans import forecasting as FP  # noqa: E402
+
+# A fixed run identity keeps registered forecast queries reproducible; real runs draw a new one.
+TESTBED_RUN = ("testbed0001", datetime(2026, 1, 1))
+CFG = FC.ForecastConfig()
+
+
+def _run(spark, sf_dir):
+    return FP.run_forecasts(warehouse(spark, sf_dir), CFG, *TESTBED_RUN)
+
+
+QUERIES["panel_demand"] = lambda spark, sf_dir: FP.built_panel(warehouse(spark, sf_dir), FC.DEMAND)
+QUERIES["panel_delivery"] = lambda spark, sf_dir: FP.built_panel(warehouse(spark, sf_dir), FC.DELIVERY_TIME)
+QUERIES["trim_incomplete_tail"] = lambda spark, sf_dir: FP.trimmed_panel(warehouse(spark, sf_dir), FC.DEMAND, CFG)
+QUERIES["censor_tail"] = lambda spark, sf_dir: FP.censored_panel(warehouse(spark, sf_dir), FC.DELIVERY_TIME, CFG)
+QUERIES["complete_weeks_demand"] = lambda spark, sf_dir: FP.completed_panel(warehouse(spark, sf_dir), FC.DEMAND, CFG)
+QUERIES["complete_weeks_delivery"] = lambda spark, sf_dir: FP.completed_panel(
+    warehouse(spark, sf_dir), FC.DELIVERY_TIME, CFG)
+
+
+def _arrays(spark, sf_dir, spec=FC.DEMAND):
+    return FC.series_arrays(FP.completed_panel(warehouse(spark, sf_dir), spec, CFG))
+
+
+@query("rolling_origin_folds")
+def _folds(spark, sf_dir):
+    a = _arrays(spark, sf_dir)
+    o = FC.rolling_origins(a, CFG.horizon_weeks, CFG.backtest_folds, CFG.min_history_weeks)
+    return o.withColumn("origin", F.col("origin").cast("long"))
+
+
+@query("candidate_models")
+def _candidates(spark, sf_dir):
+    return FC.candidate_models(_arrays(spark, sf_dir), FC.DEMAND.min_weekly_volume)
+
+
+def _model_rows(spark, sf_dir, model_name, spec=FC.DEMAND):
+    """Backtest + refit forecasts of one model on every region of a series (no gating)."""
+    a = _arrays(spark, sf_dir, spec)
+    cands = a.select(*TS.SERIES_KEYS, F.lit(model_name).alias("model_name"))
+    o = FC.rolling_origins(a, CFG.horizon_weeks, CFG.backtest_folds, CFG.min_history_weeks)
+    rows = FC.forecast_rows(FC.model_forecasts(a, cands, o, CFG.horizon_weeks, spec.non_negative), a)
+    return rows.withColumns({"origin": F.col("origin").cast("long"), "h": F.col("h").cast("long")})
+
+
+QUERIES["model_moving_average"] = lambda spark, sf_dir: _model_rows(spark, sf_dir, FC.MA_NAME)
+QUERIES["model_seasonal_naive"] = lambda spark, sf_dir: _model_rows(spark, sf_dir, FC.SEASONAL_NAME)
+QUERIES["model_holt_damped"] = lambda spark, sf_dir: _model_rows(spark, sf_dir, FC.HOLT_NAME)
+
+
+@query("backtest_univariate")
+def _backtest(spark, sf_dir):
+    a = _arrays(spark, sf_dir)
+    cands = FC.candidate_models(a, FC.DEMAND.min_weekly_volume)
+    o = FC.rolling_origins(a, CFG.horizon_weeks, CFG.backtest_folds, CFG.min_history_weeks)
+    return FC.forecast_rows(FC.model_forecasts(a, cands, o, CFG.horizon_weeks), a).filter(~F.col("is_refit"))
+
+
+@query("metrics_by_model")
+def _metrics(spark, sf_dir):
+    rows = _backtest(spark, sf_dir).withColumn("is_refit", F.lit(False))
+    return FC.accuracy_summary(rows).filter(F.col("horizon_weeks") == 0)
+
+
+@query("residual_quantiles")
+def _residuals(spark, sf_dir):
+    rows = _backtest(spark, sf_dir).withColumn("is_refit", F.lit(False))
+    return FC.residual_quantiles(rows, CFG.interval_quantiles)
+
+
+@query("champion_models")
+def _champions(spark, sf_dir):
+    a = _arrays(spark, sf_dir)
+    cands = FC.candidate_models(a, FC.DEMAND.min_weekly_volume)
+    rows = _backtest(spark, sf_dir).withColumn("is_refit", F.lit(False))
+    return FC.champions(cands, FC.accuracy_summary(rows))
+
+
+QUERIES["forecast_accuracy"] = lambda spark, sf_dir: _run(spark, sf_dir)["forecast_accuracy"]
+QUERIES["forecast_publish"] = lambda spark, sf_dir: _run(spark, sf_dir)["forecast_demand_weekly_region"]
+QUERIES["forecast_publish_delivery"] = lambda spark, sf_dir: _run(spark, sf_dir)[
+    "forecast_delivery_time_weekly_region"]
+QUERIES["forecast_runs"] = lambda spark, sf_dir: _run(spark, sf_dir)["forecast_runs"]
+
+
+@query("mart_forecast_vs_actual")
+def _fva(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    out = FP.run_forecasts(wh, CFG, *TESTBED_RUN)
+    return FP.forecast_vs_actual(wh, out["forecast_demand_weekly_region"], out["forecast_delivery_time_weekly_region"])
+
+
+@query("mart_forecast_accuracy_latest")
+def _acc_latest(spark, sf_dir):
+    out = _run(spark, sf_dir)
+    return FP.accuracy_latest(out["forecast_accuracy"], out["forecast_runs"])
+
+
+@query("dash_demand_actual_vs_forecast")
+def _dash_dvf(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    out = FP.run_forecasts(wh, CFG, *TESTBED_RUN)
+    return FP.demand_actual_vs_forecast(wh, out["forecast_demand_weekly_region"], out["forecast_runs"], DASH_RANGE[0])
+
+
+@query("dash_demand_chart")
+def _dash_chart(spark, sf_dir):
+    return FP.demand_chart_frame(_dash_dvf(spark, sf_dir))
+
+
+@query("dash_forecast_accuracy")
+def _dash_acc(spark, sf_dir):
+    return FP.forecast_accuracy_by_region(_acc_latest(spark, sf_dir))
+
+
+@query("dash_forecast_series")
+def _dash_fseries(spark, sf_dir):
+    return FP.forecast_series_weekly(_fva(spark, sf_dir))
+
+
+@query("dash_accuracy_drilldown")
+def _dash_drill(spark, sf_dir):
+    return FP.accuracy_drilldown(_acc_latest(spark, sf_dir))
+
+
+@query("realised_wape")
+def _realised(spark, sf_dir):
+    return FP.realised_wape(_fva(spark, sf_dir))
