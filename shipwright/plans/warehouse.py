@@ -24,7 +24,7 @@ def model(name: str):
 class Warehouse:
     """Holds the raw layer and memoises model frames (the frames, not their data)."""
 
-    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], params: dict | None = None):
+    def __init__(self, spark: SparkSession, raw: dict, params: dict | None = None):
         self.spark = spark
         self.raw = dict(raw)
         self.params = dict(DEFAULT_PARAMS, **(params or {}))
@@ -32,7 +32,10 @@ class Warehouse:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self.raw:
-            return self.raw[name]
+            raw = self.raw[name]
+            if callable(raw):  # raw tables may be given as builders, resolved on first use
+                raw = self.raw[name] = raw()
+            return raw
         if name not in self._built:
             if name not in MODELS:
                 raise KeyError(f"unknown model {name!r}")
@@ -45,8 +48,8 @@ class Warehouse:
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, params: dict | None = None) -> Warehouse:
-        from shipwright.sources.testbed import raw_tables
-        return cls(spark, raw_tables(spark, sf_dir), params)
+        from shipwright.sources.testbed import lazy_raw_tables
+        return cls(spark, lazy_raw_tables(spark, sf_dir), params)
 
 
 # Unit-economics assumptions and calendar range (fixed values of the reference model).

@@ -28,6 +28,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         builder = builder.master(master)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode runs every task inside the driver JVM, so it gets the memory
+        conf["spark.driver.memory"] = os.environ.get("SHIPWRIGHT_DRIVER_MEMORY", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -28,8 +28,16 @@ PAYMENT_TYPE_BY_PRIORITY = {
 UNTRANSLATED_TYPES = ("PROMO", "STANDARD")
 
 
+_READS: dict = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Parquet table of the test directory; one reader per (session, path) so the file
+    listing and footer reads happen once, however many raw tables use it."""
+    key = (id(spark), sf_dir, name)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _READS[key]
 
 
 def _zip(key) -> F.Column:
@@ -201,3 +209,8 @@ RAW_BUILDERS = {
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The raw layer (plus the region seed) as lazy DataFrames over ``sf_dir``."""
     return {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()}
+
+
+def lazy_raw_tables(spark: SparkSession, sf_dir: str) -> dict:
+    """Raw layer as builders: a table is only constructed when a model reads it."""
+    return {name: (lambda b=build: b(spark, sf_dir)) for name, build in RAW_BUILDERS.items()}
