@@ -73,4 +73,12 @@ DOUBLE_COLUMNS = {
     'dash_forecast_series': ['actual', 'forecast', 'forecast_lower', 'forecast_upper'],
     'dash_accuracy_drilldown': ['wape', 'smape', 'bias'],
     'realised_wape': ['realised_wape', 'forecast_orders', 'actual_orders'],
+    'log_sql_normalise': [],
+    'log_sql_tables': [],
+    'log_sql_audit': [],
+    'log_grounding': [],
+    'log_tool_budget': [],
+    'log_history_trim': [],
+    'log_strip_mentions': [],
+    'log_usage_totals': [],
 }

@@ -100,3 +100,7 @@ ORACLE.update(QUALITY_ORACLE)
 from oracle.forecast import FORECAST_ORACLE  # noqa: E402
 
 ORACLE.update(FORECAST_ORACLE)
+
+from oracle.querylog import LOG_ORACLE  # noqa: E402
+
+ORACLE.update(LOG_ORACLE)

@@ -242,3 +242,50 @@ def _dash_drill(spark, sf_dir):
 @query("realised_wape")
 def _realised(spark, sf_dir):
     return FP.realised_wape(_fva(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ query-log analytics
+from shipwright.operators import querylog as QL  # noqa: E402
+from shipwright.sources import testbed_logs as LOGS  # noqa: E402
+
+
+@query("log_sql_normalise")
+def _log_norm(spark, sf_dir):
+    return LOGS.statements(spark, sf_dir).select("stmt_id", QL.normalise("sql").alias("sql_key"))
+
+
+@query("log_sql_tables")
+def _log_tables(spark, sf_dir):
+    s = LOGS.statements(spark, sf_dir)
+    return s.select("stmt_id", F.posexplode(QL.referenced_tables(QL.statement_body("sql"))).alias("pos", "table_name"))
+
+
+@query("log_sql_audit")
+def _log_audit(spark, sf_dir):
+    return QL.audit(LOGS.statements(spark, sf_dir), LOGS.allowed_tables(spark))
+
+
+@query("log_grounding")
+def _log_grounding(spark, sf_dir):
+    return QL.grounding(LOGS.answers(spark, sf_dir), LOGS.tool_calls(spark, sf_dir))
+
+
+@query("log_tool_budget")
+def _log_budget(spark, sf_dir):
+    return QL.tool_budget(LOGS.tool_calls(spark, sf_dir))
+
+
+@query("log_history_trim")
+def _log_history(spark, sf_dir):
+    return QL.history_trim(LOGS.messages(spark, sf_dir))
+
+
+@query("log_strip_mentions")
+def _log_mentions(spark, sf_dir):
+    m = LOGS.messages(spark, sf_dir).filter(F.col("role") == "user")
+    return m.select("session", "seq", QL.strip_mentions("text").alias("text"))
+
+
+@query("log_usage_totals")
+def _log_usage(spark, sf_dir):
+    return QL.usage_totals(LOGS.usage(spark, sf_dir))
