@@ -81,4 +81,14 @@ DOUBLE_COLUMNS = {
     'log_history_trim': [],
     'log_strip_mentions': [],
     'log_usage_totals': [],
+    'scan_csv_typed': [],
+    'scan_header_check': [],
+    'load_row_counts': [],
+    'materialize_mart': ['on_time_rate', 'avg_delivery_days', 'avg_delivery_delay_days', 'avg_estimated_days', 'avg_review_score', 'gmv', 'freight_revenue', 'take_revenue', 'platform_revenue', 'delivery_cost', 'payment_fees', 'handling_cost', 'platform_cost', 'contribution_margin', 'margin_per_order', 'avg_order_value', 'cost_per_delivery', 'freight_to_gmv_ratio'],
+    'forecast_append_runs': ['median_champion_wape', 'country_champion_wape'],
+    'catalog_tables': [],
+    'catalog_columns': [],
+    'bounded_query': ['avg_days'],
+    'rows_to_json': [],
+    'agg_approx_median': ['median_delivery_days_approx'],
 }

@@ -104,3 +104,7 @@ ORACLE.update(FORECAST_ORACLE)
 from oracle.querylog import LOG_ORACLE  # noqa: E402
 
 ORACLE.update(LOG_ORACLE)
+
+from oracle.io import IO_ORACLE  # noqa: E402
+
+ORACLE.update(IO_ORACLE)

@@ -289,3 +289,106 @@ def _log_mentions(spark, sf_dir):
 @query("log_usage_totals")
 def _log_usage(spark, sf_dir):
     return QL.usage_totals(LOGS.usage(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ sources, sinks, catalogue
+import uuid as _uuid  # noqa: E402
+
+from shipwright.plans.build import build_warehouse  # noqa: E402
+from shipwright.session import scratch_root  # noqa: E402
+from shipwright.sources import catalog as CAT  # noqa: E402
+from shipwright.sources import csv_io as CSV  # noqa: E402
+from shipwright.sources import sinks as SINK  # noqa: E402
+
+
+def _scratch(spark, tag):
+    return scratch_root(spark, f"{tag}-{_uuid.uuid4().hex[:8]}")
+
+
+@query("scan_csv_typed")
+def _scan_csv(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    path = CSV.write_csv(wh["raw_orders"], f"{_scratch(spark, 'csv')}/raw_orders")
+    return CSV.read_csv_typed(spark, path, "raw_orders")
+
+
+@query("scan_header_check")
+def _scan_header(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    root = _scratch(spark, "csv")
+    paths = {t: CSV.write_csv(wh[t], f"{root}/{t}") for t in ("raw_orders", "raw_customers")}
+    return CSV.header_report(spark, paths)
+
+
+@query("load_row_counts")
+def _load_counts(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    sources = {t: wh[t] for t in CSV.RAW_SCHEMAS}
+    loaded = CSV.load_raw_layer(spark, sources, _scratch(spark, "load"))
+    return CSV.row_count_report(loaded, sources)
+
+
+@query("materialize_mart")
+def _materialize(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return SINK.materialize(wh["mart_kpi_daily_region"], _scratch(spark, "wh"), "analytics", "mart_kpi_daily_region")
+
+
+@query("forecast_append_runs")
+def _append_runs(spark, sf_dir):
+    out = _run(spark, sf_dir)
+    root = _scratch(spark, "fc")
+    first = out["forecast_runs"]
+    SINK.append_table(first, root, "forecasts", "forecast_runs")
+    second = first.withColumns({"run_id": F.lit("testbed0002"),
+                                "run_at": F.col("run_at") + F.expr("interval 7 days")})
+    SINK.append_table(second, root, "forecasts", "forecast_runs")
+    return SINK.read_table(spark, root, "forecasts", "forecast_runs")
+
+
+CATALOGUED = ("dim_regions", "dim_customers", "dim_sellers", "dim_products", "fct_orders", "mart_kpi_daily_region",
+              "mart_category_monthly")
+
+
+def _built(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    build_warehouse(wh, _scratch(spark, "wh"), CATALOGUED)
+    return wh
+
+
+@query("catalog_tables")
+def _catalog_tables(spark, sf_dir):
+    _built(spark, sf_dir)
+    return CAT.catalog_tables(spark).filter(F.col("table_name").isin(*CATALOGUED))
+
+
+@query("catalog_columns")
+def _catalog_columns(spark, sf_dir):
+    _built(spark, sf_dir)
+    return CAT.catalog_columns(spark).filter(F.col("table_name").isin(*CATALOGUED))
+
+
+BOUNDED_SQL = ("select customer_state, count(*) as orders, avg(delivery_days) as avg_days "
+               "from analytics.fct_orders group by customer_state")
+
+
+@query("bounded_query")
+def _bounded(spark, sf_dir):
+    root = _scratch(spark, "wh")
+    wh = warehouse(spark, sf_dir)
+    paths = build_warehouse(wh, root, ("fct_orders",))
+    return QL.run_bounded(spark, BOUNDED_SQL, {"analytics.fct_orders": paths["fct_orders"]},
+                          LOGS.allowed_tables(spark), max_rows=QL.MAX_ROWS)
+
+
+@query("rows_to_json")
+def _rows_to_json(spark, sf_dir):
+    m = warehouse(spark, sf_dir)["mart_category_monthly"]
+    return m.select("month_start", "category_name", F.to_json(F.struct(*m.columns)).alias("row_json"))
+
+
+@query("agg_approx_median")
+def _approx_median(spark, sf_dir):
+    f = warehouse(spark, sf_dir)["fct_orders"].filter(F.col("is_delivered") & F.col("delivery_days").isNotNull())
+    return (f.groupBy(F.col("purchase_week").alias("week_start"), F.col("customer_state").alias("state_code"))
+             .agg(F.percentile_approx("delivery_days", 0.5).alias("median_delivery_days_approx")))
