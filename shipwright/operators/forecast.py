@@ -98,25 +98,32 @@ def tail_mean(arr: Column, length: Column, k: int) -> Column:
     return F.when(m > 0, _sum(F.slice(arr, length - m + 1, m)) / m).otherwise(F.lit(0.0))
 
 
-def candidate_models(arrays: DataFrame, min_volume: float, pooled: bool = False) -> DataFrame:
-    """Candidates per series: the tail-12 mean volume gates the richer models."""
+def candidate_array(min_volume: float, pooled: bool = False) -> Column:
+    """Candidate model names of a series row: the tail-12 mean volume gates the richer models."""
     mean_vol = tail_mean(F.col("vol"), F.col("n"), 12)
-    names = [MA_NAME, SEASONAL_NAME, HOLT_NAME]
-    base = F.array(*[F.lit(x) for x in names])
-    cands = F.when(mean_vol < F.lit(min_volume), F.array(F.lit(MA_NAME))).otherwise(
+    base = F.array(*[F.lit(x) for x in (MA_NAME, SEASONAL_NAME, HOLT_NAME)])
+    return F.when(mean_vol < F.lit(min_volume), F.array(F.lit(MA_NAME))).otherwise(
         F.when(F.lit(pooled) & (F.col("region_level") == LEVEL_STATE), F.array_append(base, F.lit(POOLED_NAME)))
          .otherwise(base))
-    return arrays.select(*SERIES_KEYS, F.explode(cands).alias("model_name"))
+
+
+def candidate_models(arrays: DataFrame, min_volume: float, pooled: bool = False) -> DataFrame:
+    """(series, model_name) for every candidate of every series."""
+    return arrays.select(*SERIES_KEYS, F.explode(candidate_array(min_volume, pooled)).alias("model_name"))
+
+
+def origin_array(horizon: int, folds: int, min_history: int) -> Column:
+    """Backtest origins n-H-k-1 (k < folds, kept when origin+1 >= min_history) plus the refit
+    origin n-1 that produces the published forecast, as an array of (origin, is_refit)."""
+    n = F.col("n")
+    all_k = F.transform(F.sequence(F.lit(0), F.lit(folds)), lambda k: F.struct(
+        F.when(k == folds, n - 1).otherwise(n - horizon - k - 1).alias("origin"), (k == folds).alias("is_refit")))
+    return F.filter(all_k, lambda o: o["is_refit"] | (o["origin"] + 1 >= min_history))
 
 
 def rolling_origins(arrays: DataFrame, horizon: int, folds: int, min_history: int) -> DataFrame:
-    """(series, origin, is_refit): backtest origins n-H-k-1 (k < folds, origin+1 >= min_history)
-    plus the refit origin n-1 that produces the published forecast."""
-    k = F.explode(F.sequence(F.lit(0), F.lit(folds))).alias("_k")
-    o = arrays.select(*SERIES_KEYS, "n", k)
-    origin = F.when(F.col("_k") == folds, F.col("n") - 1).otherwise(F.col("n") - horizon - F.col("_k") - 1)
-    o = o.select(*SERIES_KEYS, "n", origin.alias("origin"), (F.col("_k") == folds).alias("is_refit"))
-    return o.filter(F.col("is_refit") | (F.col("origin") + 1 >= min_history)).drop("n")
+    """(series, origin, is_refit) rows."""
+    return arrays.select(*SERIES_KEYS, F.inline(origin_array(horizon, folds, min_history)))
 
 
 # ----------------------------------------------------------------------------- models
@@ -125,21 +132,25 @@ def ma_forecast(y: Column, length: Column, horizon: int, window: int = MA_WINDOW
     return F.array_repeat(tail_mean(y, length, window), horizon)
 
 
-def seasonal_forecast(y: Column, length: Column, horizon: int, season: int = SEASON) -> Column:
-    """Value one season back scaled by the year-over-year growth of the last 4 weeks (clipped);
-    fewer than season+4 training points: the 4-week moving average."""
-    # slice starts are clamped to 1 so the (unused) seasonal branch of a short series stays valid
+def seasonal_growth(y: Column, length: Column, season: int = SEASON) -> Column:
+    """Year-over-year growth of the last 4 training weeks, clipped; 1 when the year-ago sum is <= 0."""
+    # slice starts are clamped to 1 so short series (which use the fallback) stay valid
     recent = _sum(F.slice(y, F.greatest(length - 3, F.lit(1)), 4))
     last_year = _sum(F.slice(y, F.greatest(length - season - 3, F.lit(1)), 4))
     growth = F.when(last_year > 0, recent / last_year).otherwise(F.lit(1.0))
-    growth = F.least(F.greatest(growth, F.lit(GROWTH_CLIP[0])), F.lit(GROWTH_CLIP[1]))
+    return F.least(F.greatest(growth, F.lit(GROWTH_CLIP[0])), F.lit(GROWTH_CLIP[1]))
+
+
+def seasonal_path(y: Column, length: Column, growth: Column, horizon: int, season: int = SEASON) -> Column:
+    """Value one season back scaled by ``growth`` (a column); fewer than season+4 training
+    points: the 4-week moving average."""
     seasonal = F.transform(F.sequence(F.lit(0), F.lit(horizon - 1)),
                            lambda h: F.try_element_at(y, (length + h - season + 1).cast("int")) * growth)
     return F.when(length < season + 4, ma_forecast(y, length, horizon)).otherwise(seasonal)
 
 
-def _holt_state(y: Column, length: Column, alpha: Column, beta: Column, phi: float) -> Column:
-    """Run damped Holt over y[0:length]: struct(level, trend, sse)."""
+def _holt_state(y: Column, length: Column, alpha: Column, beta: Column, phi: float, finish=None) -> Column:
+    """Run damped Holt over y[0:length]: struct(level, trend, sse), or ``finish`` of it."""
     init = F.struct(F.try_element_at(y, F.lit(1)).alias("level"),
                     F.when(length > 1, F.try_element_at(y, F.lit(2)) - F.try_element_at(y, F.lit(1))).otherwise(F.lit(0.0)).alias("trend"),
                     F.lit(0.0).alias("sse"))
@@ -152,55 +163,63 @@ def _holt_state(y: Column, length: Column, alpha: Column, beta: Column, phi: flo
         return F.struct(new_level.alias("level"), new_trend.alias("trend"),
                         (acc["sse"] + (x - pred) * (x - pred)).alias("sse"))
 
-    return F.aggregate(F.slice(y, 2, F.greatest(length - 1, F.lit(0))), init, step)
-
+    return F.aggregate(F.slice(y, 2, F.greatest(length - 1, F.lit(0))), init, step, finish)
 
-def holt_forecasts(rows: DataFrame, horizon: int, phi: float = HOLT_PHI) -> DataFrame:
-    """Damped Holt per (series, origin): grid search by in-sample SSE, first grid point wins ties.
 
-    ``rows`` carries the series keys, ``origin`` and ``y``; returns the same keys plus
-    ``fc`` (array of ``horizon`` forecasts) and the chosen alpha/beta.
-    """
+def holt_fit(y: Column, length: Column, phi: float = HOLT_PHI) -> Column:
+    """Damped Holt fitted at every grid point on y[0:length]; the fit with the lowest in-sample
+    SSE wins, the earlier grid point on ties: array_min over struct(sse, grid order, level, trend)."""
     grid = F.array(*[F.struct(F.lit(i * len(HOLT_BETAS) + j).alias("g"), F.lit(a).alias("alpha"),
                               F.lit(b).alias("beta"))
                      for i, a in enumerate(HOLT_ALPHAS) for j, b in enumerate(HOLT_BETAS)])
-    keys = [c for c in rows.columns if c != "y"]
-    g = rows.select(*keys, "y", F.explode(grid).alias("_p"))
-    length = F.col("origin") + 1
-    g = g.withColumn("_s", _holt_state(F.col("y"), length, F.col("_p.alpha"), F.col("_p.beta"), phi))
-    w = Window.partitionBy(*keys).orderBy(F.col("_s.sse").asc(), F.col("_p.g").asc())
-    best = g.withColumn("_r", F.row_number().over(w)).filter("_r = 1")
+    fits = F.transform(grid, lambda p: _holt_state(
+        y, length, p["alpha"], p["beta"], phi,
+        lambda acc: F.struct(acc["sse"].alias("sse"), p["g"].alias("g"), acc["level"].alias("level"),
+                             acc["trend"].alias("trend"))))
+    return F.array_min(fits)
+
+
+def holt_path(fit: Column, horizon: int, phi: float = HOLT_PHI) -> Column:
+    """Forecast h = level + trend * (phi + ... + phi^h) from a fitted state column."""
     damp = F.transform(F.sequence(F.lit(1), F.lit(horizon)),
                        lambda h: F.aggregate(F.sequence(F.lit(1), h), F.lit(0.0),
                                              lambda acc, j: acc + F.pow(F.lit(phi), j)))
-    fc = F.transform(damp, lambda d: F.col("_s.level") + d * F.col("_s.trend"))
-    return best.select(*keys, fc.alias("fc"), F.col("_p.alpha").alias("alpha"), F.col("_p.beta").alias("beta"))
-
-
-def model_forecasts(arrays: DataFrame, candidates: DataFrame, origins: DataFrame, horizon: int,
-                    non_negative: bool = True) -> DataFrame:
-    """Forecast arrays for every (series, candidate model, origin)."""
-    base = origins.join(arrays.select(*SERIES_KEYS, "y"), list(SERIES_KEYS))
-    length = F.col("origin") + 1
-    simple = (base.join(candidates.filter(F.col("model_name").isin(MA_NAME, SEASONAL_NAME)), list(SERIES_KEYS))
-                  .select(*SERIES_KEYS, "model_name", "origin", "is_refit",
-                          F.when(F.col("model_name") == MA_NAME, ma_forecast(F.col("y"), length, horizon))
-                           .otherwise(seasonal_forecast(F.col("y"), length, horizon)).alias("fc")))
-    holt_series = candidates.filter(F.col("model_name") == HOLT_NAME).select(*SERIES_KEYS)
-    holt_in = base.join(holt_series, list(SERIES_KEYS), "left_semi")
-    holt = holt_forecasts(holt_in, horizon).select(*SERIES_KEYS, F.lit(HOLT_NAME).alias("model_name"), "origin",
-                                                   "is_refit", "fc")
-    out = simple.unionByName(holt)
-    if non_negative:
-        out = out.withColumn("fc", F.transform("fc", lambda v: F.greatest(v, F.lit(0.0))))
-    return out
+    return F.transform(damp, lambda d: fit["level"] + d * fit["trend"])
+
+
+def with_forecasts(df: DataFrame, horizon: int, model="model_name", y="y", length="_len") -> DataFrame:
+    """Add ``fc`` (array of ``horizon`` forecasts) for the model named in each row.
+
+    Model state (Holt fit, seasonal growth) is computed once per row as its own column before
+    the per-horizon path is built from it, so nothing is re-evaluated inside the path lambdas.
+    """
+    m, yc, n = F.col(model), F.col(y), F.col(length)
+    df = df.withColumns({"_holt": F.when(m == HOLT_NAME, holt_fit(yc, n)),
+                         "_growth": F.when(m == SEASONAL_NAME, seasonal_growth(yc, n))})
+    fc = (F.when(m == MA_NAME, ma_forecast(yc, n, horizon))
+           .when(m == SEASONAL_NAME, seasonal_path(yc, n, F.col("_growth"), horizon))
+           .when(m == HOLT_NAME, holt_path(F.col("_holt"), horizon)))
+    return df.withColumn("fc", fc).drop("_holt", "_growth")
 
 
-def forecast_rows(forecasts: DataFrame, arrays: DataFrame) -> DataFrame:
-    """Explode forecast arrays to (series, model, origin, h, forecast, actual); actual is NULL past the data."""
-    x = forecasts.select(*SERIES_KEYS, "model_name", "origin", "is_refit",
-                         F.posexplode("fc").alias("_i", "forecast"))
-    x = x.join(arrays.select(*SERIES_KEYS, "y", "n"), list(SERIES_KEYS))
+def backtest_rows(arrays: DataFrame, horizon: int, folds: int, min_history: int, candidates: Column,
+                  non_negative: bool = True) -> DataFrame:
+    """(series, model, origin, is_refit, h, forecast, actual) for every candidate and origin.
+
+    Origins, candidates and horizons are exploded on the series row that already carries the
+    value array, so the whole backtest adds no join or shuffle after the per-series collect.
+    """
+    r = arrays.select(*SERIES_KEYS, "y", "n", candidates.alias("_cands"),
+                      F.inline(origin_array(horizon, folds, min_history)))
+    r = r.select(*SERIES_KEYS, "y", "n", "origin", "is_refit", F.explode("_cands").alias("model_name"))
+    # few rows, heavy per-row work (model fits): spread them over every task slot instead of
+    # leaving them in the one partition that AQE coalesces a small shuffle into
+    r = r.repartition(arrays.sparkSession.sparkContext.defaultParallelism)
+    r = with_forecasts(r.withColumn("_len", F.col("origin") + 1), horizon)
+    fc = F.col("fc")
+    if non_negative:
+        fc = F.transform(fc, lambda v: F.greatest(v, F.lit(0.0)))
+    x = r.select(*SERIES_KEYS, "model_name", "origin", "is_refit", "y", "n", F.posexplode(fc).alias("_i", "forecast"))
     idx = F.col("origin") + F.col("_i") + 1  # 0-based position of the target week
     actual = F.when(idx < F.col("n"), F.try_element_at(F.col("y"), (idx + 1).cast("int")))
     return x.select(*SERIES_KEYS, "model_name", "origin", "is_refit", (F.col("_i") + 1).alias("h"),
@@ -261,14 +280,21 @@ class ForecastResult:
     rows: DataFrame        # all backtest rows (series, model, origin, h, forecast, actual)
 
 
-def forecast_series(panel: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, run_id: str, run_at) -> ForecastResult:
-    """Backtest every candidate on every region, pick champions, publish forecasts with intervals."""
+def forecast_series(panel: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, run_id: str, run_at,
+                    checkpoint: bool = False) -> ForecastResult:
+    """Backtest every candidate on every region, pick champions, publish forecasts with intervals.
+
+    With ``checkpoint`` the backtest rows (regions x candidates x origins x horizon: small) are
+    written to the shared checkpoint folder once, so accuracy, champions, intervals and the
+    published forecasts all read them instead of re-running the model fits.
+    """
     H = cfg.horizon_weeks
     arrays = series_arrays(panel)
     cands = candidate_models(arrays, spec.min_weekly_volume, cfg.pooled_model)
-    origins = rolling_origins(arrays, H, cfg.backtest_folds, cfg.min_history_weeks)
-    fcs = model_forecasts(arrays, cands, origins, H, spec.non_negative)
-    rows = forecast_rows(fcs, arrays)
+    rows = backtest_rows(arrays, H, cfg.backtest_folds, cfg.min_history_weeks,
+                         candidate_array(spec.min_weekly_volume, cfg.pooled_model), spec.non_negative)
+    if checkpoint:
+        rows = rows.checkpoint(eager=True)
     summary = accuracy_summary(rows)
     champ = champions(cands, summary)
     span = panel.groupBy("series").agg(F.max("week_start").alias("train_end_week"),

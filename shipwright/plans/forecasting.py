@@ -67,7 +67,7 @@ def run_forecasts(wh, cfg: FC.ForecastConfig | None = None, run_id: str | None =
         panel = completed_panel(wh, spec, cfg)
         if checkpoint:
             panel = panel.checkpoint(eager=True)
-        res = FC.forecast_series(panel, spec, cfg, run_id, run_at)
+        res = FC.forecast_series(panel, spec, cfg, run_id, run_at, checkpoint=checkpoint)
         outputs[spec.output_table] = res.forecasts
         accuracies.append(res.accuracy)
         runs.append(FC.run_summary(spec, cfg, panel, res.accuracy, run_id, run_at))

@@ -153,9 +153,8 @@ def _candidates(spark, sf_dir):
 def _model_rows(spark, sf_dir, model_name, spec=FC.DEMAND):
     """Backtest + refit forecasts of one model on every region of a series (no gating)."""
     a = _arrays(spark, sf_dir, spec)
-    cands = a.select(*TS.SERIES_KEYS, F.lit(model_name).alias("model_name"))
-    o = FC.rolling_origins(a, CFG.horizon_weeks, CFG.backtest_folds, CFG.min_history_weeks)
-    rows = FC.forecast_rows(FC.model_forecasts(a, cands, o, CFG.horizon_weeks, spec.non_negative), a)
+    rows = FC.backtest_rows(a, CFG.horizon_weeks, CFG.backtest_folds, CFG.min_history_weeks,
+                            F.array(F.lit(model_name)), spec.non_negative)
     return rows.withColumns({"origin": F.col("origin").cast("long"), "h": F.col("h").cast("long")})
 
 
@@ -167,9 +166,9 @@ QUERIES["model_holt_damped"] = lambda spark, sf_dir: _model_rows(spark, sf_dir,
 @query("backtest_univariate")
 def _backtest(spark, sf_dir):
     a = _arrays(spark, sf_dir)
-    cands = FC.candidate_models(a, FC.DEMAND.min_weekly_volume)
-    o = FC.rolling_origins(a, CFG.horizon_weeks, CFG.backtest_folds, CFG.min_history_weeks)
-    return FC.forecast_rows(FC.model_forecasts(a, cands, o, CFG.horizon_weeks), a).filter(~F.col("is_refit"))
+    rows = FC.backtest_rows(a, CFG.horizon_weeks, CFG.backtest_folds, CFG.min_history_weeks,
+                            FC.candidate_array(FC.DEMAND.min_weekly_volume))
+    return rows.filter(~F.col("is_refit"))
 
 
 @query("metrics_by_model")
