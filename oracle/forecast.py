@@ -125,3 +125,20 @@ FORECAST_ORACLE = {
         left join indexed_demand a on a.series = ma.series and a.region_level = ma.region_level
              and a.region_code = ma.region_code and a.t = ma.origin + hh.h"""),
 }
+
+FORECAST_ORACLE["pooled_features"] = with_forecast("""
+    , f as (
+        select series, region_code, week_start, ln(1 + greatest(value, 0.0)) as v,
+               row_number() over w - 1 as t,
+               avg(ln(1 + greatest(value, 0.0))) over (w rows between 4 preceding and 1 preceding) as level_4,
+               avg(ln(1 + greatest(value, 0.0))) over (w rows between 8 preceding and 1 preceding) as level_8,
+               sin(2 * pi() * weekofyear(week_start) / 52.18) as woy_sin,
+               cos(2 * pi() * weekofyear(week_start) / 52.18) as woy_cos,
+               lag(ln(1 + greatest(value, 0.0)), 1) over w as lag_1, lag(ln(1 + greatest(value, 0.0)), 2) over w as lag_2,
+               lag(ln(1 + greatest(value, 0.0)), 3) over w as lag_3, lag(ln(1 + greatest(value, 0.0)), 4) over w as lag_4,
+               lag(ln(1 + greatest(value, 0.0)), 6) over w as lag_6, lag(ln(1 + greatest(value, 0.0)), 8) over w as lag_8
+        from complete_demand where region_level = 'state'
+        window w as (partition by series, region_level, region_code order by week_start))
+    select series, region_code, week_start, t, v - level_4 as target, woy_sin, woy_cos, level_4, level_8,
+           lag_1, lag_2, lag_3, lag_4, lag_6, lag_8
+    from f where t >= 8""")

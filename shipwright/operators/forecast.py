@@ -344,3 +344,65 @@ def run_summary(spec: SeriesSpec, cfg: ForecastConfig, panel: DataFrame, accurac
                      F.lit(cfg.backtest_folds).cast("long").alias("backtest_folds"),
                      "median_champion_wape", "country_champion_model", "country_champion_wape",
                      F.lit(cfg.as_json()).alias("config_json")))
+
+
+# ----------------------------------------------------------------------------- pooled model inputs
+POOLED_LAGS = (1, 2, 3, 4, 6, 8)
+WEEKS_PER_YEAR = 52.18
+
+
+def pooled_features(panel: DataFrame, log_target: bool, with_volume: bool) -> DataFrame:
+    """Supervised rows for a model pooled across state series (one row per state and week t >= 8).
+
+    Values are modelled as log1p(max(v, 0)) for count series. Features: week-of-year sin/cos,
+    trailing means of the previous 4 and 8 values, lags 1-4, 6, 8, and (mean series) the
+    previous week's log1p volume. Target: value minus the trailing 4-week mean. All windows are
+    partitioned by series, so states are processed in parallel.
+    """
+    import math
+    s = panel.filter(F.col("region_level") == LEVEL_STATE)
+    v = F.log1p(F.greatest(F.col("value"), F.lit(0.0))) if log_target else F.col("value")
+    s = s.withColumn("_v", v)
+    w = Window.partitionBy(*SERIES_KEYS).orderBy("week_start")
+    woy = F.weekofyear("week_start")
+    cols = {
+        "t": F.row_number().over(w) - 1,
+        "level_4": F.avg("_v").over(w.rowsBetween(-4, -1)),
+        "level_8": F.avg("_v").over(w.rowsBetween(-8, -1)),
+        "woy_sin": F.sin(F.lit(2 * math.pi) * woy / F.lit(WEEKS_PER_YEAR)),
+        "woy_cos": F.cos(F.lit(2 * math.pi) * woy / F.lit(WEEKS_PER_YEAR)),
+    }
+    for k in POOLED_LAGS:
+        cols[f"lag_{k}"] = F.lag("_v", k).over(w)
+    if with_volume:
+        cols["exog_log_volume"] = F.lag(F.log1p(F.col("volume")), 1).over(w)
+    s = s.withColumns(cols).filter(F.col("t") >= max(POOLED_LAGS))
+    out = ["series", "region_code", "week_start", "t", (F.col("_v") - F.col("level_4")).alias("target"),
+           "woy_sin", "woy_cos", "level_4", "level_8", *[f"lag_{k}" for k in POOLED_LAGS]]
+    if with_volume:
+        out.append("exog_log_volume")
+    return s.select(*out)
+
+
+def custom_model_forecasts(panel: DataFrame, model_fn, name: str, horizon: int) -> DataFrame:
+    """Plug in a user model ``model_fn(y: numpy array) -> forecasts`` on every series.
+
+    Runs as a grouped-map Pandas UDF: each group is one series (its length is the number of
+    calendar weeks, not the data size), and the series are spread over the executors.
+    Output: series keys, model_name, h, forecast.
+    """
+    import numpy as np
+    import pandas as pd
+
+    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("week_start")
+        fc = np.asarray(model_fn(pdf["value"].to_numpy(dtype=float)), dtype=float)[:horizon]
+        first = pdf.iloc[0]
+        return pd.DataFrame({"series": first["series"], "region_level": first["region_level"],
+                             "region_code": first["region_code"], "model_name": name,
+                             "h": np.arange(1, len(fc) + 1, dtype="int64"), "forecast": fc})
+
+    schema = ("series string, region_level string, region_code string, model_name string, h long, "
+              "forecast double")
+    return (panel.select(*SERIES_KEYS, "week_start", "value")
+                 .groupBy(*SERIES_KEYS).applyInPandas(per_series, schema))

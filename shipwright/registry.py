@@ -391,3 +391,22 @@ def _approx_median(spark, sf_dir):
     f = warehouse(spark, sf_dir)["fct_orders"].filter(F.col("is_delivered") & F.col("delivery_days").isNotNull())
     return (f.groupBy(F.col("purchase_week").alias("week_start"), F.col("customer_state").alias("state_code"))
              .agg(F.percentile_approx("delivery_days", 0.5).alias("median_delivery_days_approx")))
+
+
+@query("pooled_features")
+def _pooled_features(spark, sf_dir):
+    panel = FP.completed_panel(warehouse(spark, sf_dir), FC.DEMAND, CFG)
+    return FC.pooled_features(panel, log_target=True, with_volume=False).withColumn("t", F.col("t").cast("long"))
+
+
+def drift_model(y):
+    """Example user model for the plug-in: last value plus the mean weekly change, 8 weeks."""
+    import numpy as np
+    step = (y[-1] - y[0]) / max(len(y) - 1, 1)
+    return y[-1] + step * np.arange(1, 9)
+
+
+@query("model_custom_pandas")
+def _custom_pandas(spark, sf_dir):
+    panel = FP.completed_panel(warehouse(spark, sf_dir), FC.DEMAND, CFG)
+    return FC.custom_model_forecasts(panel, drift_model, "drift", CFG.horizon_weeks)
