@@ -57,6 +57,9 @@ DOUBLE_COLUMNS = {
     'model_moving_average': ['forecast', 'actual'],
     'model_seasonal_naive': ['forecast', 'actual'],
     'model_holt_damped': ['forecast', 'actual'],
+    'model_pooled_gbm': ['forecast', 'actual'],
+    'model_custom_pandas': ['forecast'],
+    'pooled_features': ['target', 'woy_sin', 'woy_cos', 'level_4', 'level_8', 'lag_1', 'lag_2', 'lag_3', 'lag_4', 'lag_6', 'lag_8'],
     'backtest_univariate': ['forecast', 'actual'],
     'metrics_by_model': ['mae', 'smape', 'wape', 'bias'],
     'residual_quantiles': ['q_lo', 'q_hi'],

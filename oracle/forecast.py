@@ -109,8 +109,8 @@ FORECAST_ORACLE = {
         select s.series, s.region_level, s.region_code, m.model_name
         from (select series, region_level, region_code, avg(volume) as mean_vol
               from indexed_demand where t >= n - 12 group by series, region_level, region_code) s
-        join (values ('moving_average_4', 0), ('seasonal_naive_yoy', 1), ('holt_damped', 2)) m(model_name, ord)
-          on m.ord = 0 or s.mean_vol >= 5.0"""),
+        join (values ('moving_average_4', 0), ('seasonal_naive_yoy', 1), ('holt_damped', 2), ('pooled_gbm', 3)) m(model_name, ord)
+          on m.ord = 0 or (s.mean_vol >= 5.0 and (m.ord < 3 or s.region_level = 'state'))"""),
     "model_moving_average": with_forecast(f"""
         , ma as (
             select o.series, o.region_level, o.region_code, o.origin, o.is_refit, o.n, avg(c.value) as level

@@ -68,7 +68,8 @@ class ForecastConfig:
     censor_tail_weeks_for_weighted_mean: int = 1
     interval_quantiles: tuple[float, float] = (0.1, 0.9)
     series: tuple[SeriesSpec, ...] = field(default_factory=lambda: (DEMAND, DELIVERY_TIME))
-    pooled_model: bool = False
+    pooled_model: bool = True
+    pooled_iterations: int = 300
 
     def as_json(self) -> str:
         return json.dumps({"horizon_weeks": self.horizon_weeks, "backtest_folds": self.backtest_folds,
@@ -291,8 +292,10 @@ def forecast_series(panel: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, run
     H = cfg.horizon_weeks
     arrays = series_arrays(panel)
     cands = candidate_models(arrays, spec.min_weekly_volume, cfg.pooled_model)
-    rows = backtest_rows(arrays, H, cfg.backtest_folds, cfg.min_history_weeks,
-                         candidate_array(spec.min_weekly_volume, cfg.pooled_model), spec.non_negative)
+    cand_col = candidate_array(spec.min_weekly_volume, cfg.pooled_model)
+    rows = backtest_rows(arrays, H, cfg.backtest_folds, cfg.min_history_weeks, cand_col, spec.non_negative)
+    if cfg.pooled_model:
+        rows = rows.unionByName(pooled_gbm_rows(panel, arrays, spec, cfg, cand_col))
     if checkpoint:
         rows = rows.checkpoint(eager=True)
     summary = accuracy_summary(rows)
@@ -406,3 +409,117 @@ def custom_model_forecasts(panel: DataFrame, model_fn, name: str, horizon: int)
               "forecast double")
     return (panel.select(*SERIES_KEYS, "week_start", "value")
                  .groupBy(*SERIES_KEYS).applyInPandas(per_series, schema))
+
+
+# ----------------------------------------------------------------------------- pooled GBM (M5, M6)
+# Fixed values of the reference's pooled model: learning rate, tree depth, minimum rows per
+# leaf and seed (300 boosting rounds: ForecastConfig.pooled_iterations).
+POOLED_STEP = 0.05
+POOLED_DEPTH = 4
+POOLED_MIN_LEAF = 10
+POOLED_SEED = 42
+
+
+def _pooled_columns(with_volume: bool) -> list[str]:
+    cols = ["woy_sin", "woy_cos", "level_4", "level_8", *[f"lag_{k}" for k in POOLED_LAGS]]
+    return cols + (["exog_log_volume"] if with_volume else []) + ["region_idx"]
+
+
+def _pooled_step_features(z: Column, week: Column, with_volume: bool) -> dict[str, Column]:
+    """Features of the next week from the (transformed) history array ``z`` (M6)."""
+    import math
+    t = F.size(z)
+    woy = F.weekofyear(week)
+    cols = {"woy_sin": F.sin(F.lit(2 * math.pi) * woy / F.lit(WEEKS_PER_YEAR)),
+            "woy_cos": F.cos(F.lit(2 * math.pi) * woy / F.lit(WEEKS_PER_YEAR)),
+            "level_4": _sum(F.slice(z, t - 3, 4)) / 4.0,
+            "level_8": _sum(F.slice(z, t - 7, 8)) / 8.0}
+    for k in POOLED_LAGS:
+        cols[f"lag_{k}"] = F.element_at(z, t - k + 1)
+    if with_volume:
+        cols["exog_log_volume"] = F.col("_exog")
+    return cols
+
+
+def pooled_gbm_rows(panel: DataFrame, arrays: DataFrame, spec: SeriesSpec, cfg: ForecastConfig,
+                    candidates: Column, parallelism: int | None = None) -> DataFrame:
+    """Backtest rows of the pooled gradient-boosting model (same schema as ``backtest_rows``).
+
+    One model per origin is fitted on the feature rows of *all* state series up to that origin
+    (M4 features, region as a categorical feature), with Spark ML's ``GBTRegressor``; the fits of
+    the different origins run as concurrent Spark jobs. Forecasts are recursive: for each of the
+    H steps the next-week features are built from the history array on every (state, origin)
+    row at once, scored with ``model.transform`` and the prediction plus the trailing 4-week level
+    is appended to the array. Training and scoring frames are states x weeks, bounded by the
+    calendar, not by the order volume.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    H = cfg.horizon_weeks
+    log_t = spec.aggregate == "sum"
+    with_vol = spec.aggregate == "weighted_mean"
+    feats = pooled_features(panel, log_t, with_vol).withColumn("t", F.col("t").cast("int"))
+    indexer = StringIndexer(inputCol="region_code", outputCol="region_idx",
+                            stringOrderType="alphabetAsc").fit(feats)
+    n_regions = len(indexer.labelsArray[0])
+    assembler = VectorAssembler(inputCols=_pooled_columns(with_vol), outputCol="features")
+    # states x weeks rows: one partition keeps the many small jobs of each boosting round cheap
+    train = assembler.transform(indexer.transform(feats)).select("t", "target", "features").coalesce(1).cache()
+
+    # (state, origin) rows that carry the pooled model as a candidate
+    states = arrays.filter((F.col("region_level") == LEVEL_STATE) & F.array_contains(candidates, POOLED_NAME))
+    starts = states.select(*SERIES_KEYS, "y", "n", "weeks", "vol",
+                           F.inline(origin_array(H, cfg.backtest_folds, cfg.min_history_weeks)))
+    origins = sorted(r.origin for r in starts.select("origin").distinct().collect())  # <= folds + 1 values
+    if not origins:  # no state passes the volume gate: nothing to fit
+        empty = arrays.sparkSession.createDataFrame(
+            [], "series string, region_level string, region_code string, model_name string, origin int, "
+                "is_refit boolean, h int, forecast double, actual double")
+        train.unpersist()
+        return empty
+
+    gbt = GBTRegressor(featuresCol="features", labelCol="target", maxIter=cfg.pooled_iterations, stepSize=POOLED_STEP,
+                       maxDepth=POOLED_DEPTH, minInstancesPerNode=POOLED_MIN_LEAF, seed=POOLED_SEED,
+                       maxBins=max(32, n_regions))
+
+    def fit(origin: int):
+        return gbt.fit(train.filter(F.col("t") <= origin))
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism or len(origins), len(origins)))) as pool:
+        models = dict(zip(origins, pool.map(fit, origins)))
+
+    v = (lambda x: F.log1p(F.greatest(x, F.lit(0.0)))) if log_t else (lambda x: x)
+    base = indexer.transform(starts).select(
+        *SERIES_KEYS, "y", "n", "origin", "is_refit", "region_idx",
+        F.slice(F.transform("y", v), 1, F.col("origin") + 1).alias("_z"),
+        F.element_at("weeks", F.col("origin") + 1).alias("_last_week"),
+        F.log1p(F.element_at("vol", F.col("origin") + 1)).alias("_exog"))
+    keep = base.columns
+    parts = []
+    for origin, model in models.items():
+        cur = base.filter(F.col("origin") == origin)
+        for h in range(1, H + 1):
+            step = _pooled_step_features(F.col("_z"), F.date_add("_last_week", 7 * h), with_vol)
+            scored = model.transform(assembler.transform(cur.withColumns(step)))
+            cur = scored.select(*[c for c in keep if c != "_z"],
+                                F.array_append("_z", F.col("prediction") + F.col("level_4")).alias("_z"))
+        parts.append(cur)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    train.unpersist()
+
+    path = F.slice("_z", F.col("origin") + 2, H)
+    if log_t:
+        path = F.transform(path, lambda x: F.expm1(x))
+    if spec.non_negative:
+        path = F.transform(path, lambda x: F.greatest(x, F.lit(0.0)))
+    x = out.select(*SERIES_KEYS, F.lit(POOLED_NAME).alias("model_name"), "origin", "is_refit", "y", "n",
+                   F.posexplode(path).alias("_i", "forecast"))
+    idx = F.col("origin") + F.col("_i") + 1
+    actual = F.when(idx < F.col("n"), F.try_element_at(F.col("y"), (idx + 1).cast("int")))
+    return x.select(*SERIES_KEYS, "model_name", "origin", "is_refit", (F.col("_i") + 1).alias("h"),
+                    "forecast", actual.alias("actual"))

@@ -10,6 +10,7 @@ writes the same values).
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 from functools import reduce
 
@@ -63,11 +64,17 @@ def run_forecasts(wh, cfg: FC.ForecastConfig | None = None, run_id: str | None =
         run_id, run_at = run_id or rid, run_at or rat
     outputs: dict[str, DataFrame] = {}
     accuracies, runs = [], []
-    for spec in cfg.series:
+    def one(spec):
         panel = completed_panel(wh, spec, cfg)
         if checkpoint:
             panel = panel.checkpoint(eager=True)
-        res = FC.forecast_series(panel, spec, cfg, run_id, run_at, checkpoint=checkpoint)
+        return panel, FC.forecast_series(panel, spec, cfg, run_id, run_at, checkpoint=checkpoint)
+
+    # the series are independent: their eager steps (checkpoints, pooled-model fits) run as
+    # concurrent Spark jobs
+    with ThreadPoolExecutor(max_workers=len(cfg.series)) as pool:
+        done = list(pool.map(one, cfg.series))
+    for spec, (panel, res) in zip(cfg.series, done):
         outputs[spec.output_table] = res.forecasts
         accuracies.append(res.accuracy)
         runs.append(FC.run_summary(spec, cfg, panel, res.accuracy, run_id, run_at))

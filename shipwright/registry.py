@@ -147,7 +147,7 @@ def _folds(spark, sf_dir):
 
 @query("candidate_models")
 def _candidates(spark, sf_dir):
-    return FC.candidate_models(_arrays(spark, sf_dir), FC.DEMAND.min_weekly_volume)
+    return FC.candidate_models(_arrays(spark, sf_dir), FC.DEMAND.min_weekly_volume, CFG.pooled_model)
 
 
 def _model_rows(spark, sf_dir, model_name, spec=FC.DEMAND):
@@ -163,6 +163,14 @@ QUERIES["model_seasonal_naive"] = lambda spark, sf_dir: _model_rows(spark, sf_di
 QUERIES["model_holt_damped"] = lambda spark, sf_dir: _model_rows(spark, sf_dir, FC.HOLT_NAME)
 
 
+@query("model_pooled_gbm")
+def _pooled_gbm(spark, sf_dir):
+    """Backtest + refit forecasts of the pooled model on every state (no volume gate)."""
+    panel = FP.completed_panel(warehouse(spark, sf_dir), FC.DEMAND, CFG)
+    rows = FC.pooled_gbm_rows(panel, FC.series_arrays(panel), FC.DEMAND, CFG, F.array(F.lit(FC.POOLED_NAME)))
+    return rows.withColumns({"origin": F.col("origin").cast("long"), "h": F.col("h").cast("long")})
+
+
 @query("backtest_univariate")
 def _backtest(spark, sf_dir):
     a = _arrays(spark, sf_dir)
