@@ -83,14 +83,18 @@ def haversine_km(lat1, lng1, lat2, lng2) -> Column:
     return F.lit(EARTH_RADIUS_KM) * F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cosine)))
 
 
-def quantise(x, digits: int = 6) -> Column:
+def quantise(x, digits: int = 6, guard: int = 3) -> Column:
     """Round half up on a 10^-digits grid with floor(), identical in every SQL engine.
 
     Used only where a result is compared across engines; ``round`` on doubles is not used
-    because engines disagree on how to round the binary value.
+    because engines disagree on how to round the binary value. The value is first snapped to
+    a grid ``guard`` digits finer, so two engines whose sums differ only in the last bits (a
+    different summation order) agree on which side of a half-way point, such as 14.0196875,
+    the value falls.
     """
-    scale = float(10 ** digits)
-    return (F.floor(_c(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
+    fine, step = float(10 ** (digits + guard)), float(10 ** guard)
+    snapped = F.floor(_c(x) * F.lit(fine) + F.lit(0.5))
+    return (F.floor(snapped / F.lit(step) + F.lit(0.5)) / F.lit(float(10 ** digits))).cast("double")
 
 
 def exact_sum(x) -> Column:

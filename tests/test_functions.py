@@ -47,6 +47,9 @@ def test_quantise_and_exact_sum(spark):
     q = spark.createDataFrame([(2.0000004,), (2.0000005,)], "x double").select(X.quantise("x").alias("q")).collect()
     assert [r.q for r in q] == [2.0, 2.000001]
     assert not math.isnan(q[0].q)
+    # a half-way value reached by two summation orders lands on the same grid point
+    ties = spark.createDataFrame([(14.019687499999998,), (14.0196875,), (14.019687500000002,)], "x double")
+    assert {r.q for r in ties.select(X.quantise("x").alias("q")).collect()} == {14.019688}
 
 
 def test_in_interval_is_tri_state(spark):
