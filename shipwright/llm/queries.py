@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipwright.llm import langid, packing, token_counts
+from shipwright.llm import langid, ngram_join, packing, token_counts
 from shipwright.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,11 @@ def _op6(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), shared_path(spark, "tokencache"))
 
 
+@query("op7_ngram_jaccard_join")
+def _op7(spark, sf_dir):
+    return ngram_join.near_duplicate_components(table(spark, sf_dir, "documents"))
+
+
 @query("op10_language_id")
 def _op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
