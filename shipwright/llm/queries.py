@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipwright.llm import langid, minhash, ngram_join, packing, token_counts
+from shipwright.llm import langid, licenses, minhash, ngram_join, packing, token_counts
 from shipwright.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,11 @@ def _op7(spark, sf_dir):
     return ngram_join.near_duplicate_components(table(spark, sf_dir, "documents"))
 
 
+@query("op8_license_scan")
+def _op8(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query("op9_one_permutation_minhash")
 def _op9(spark, sf_dir):
     return minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
