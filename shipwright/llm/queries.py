@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipwright.llm import langid, licenses, minhash, ngram_join, packing, token_counts
+from shipwright.llm import langid, licenses, minhash, ngram_join, packing, sharding, token_counts, warc
 from shipwright.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,36 @@ def query(name: str):
     return register
 
 
+@query("op1_histogram_shards")
+def _op1(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    checked = docs.select("doc_id", "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    out = sharding.shard_documents(checked, 24)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op2_warc_salvage")
+def _op2(spark, sf_dir):
+    records = warc.round_trip(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op2_warc_salvage"] = """
+with p as (
+    select page_id, encode(coalesce(html, '')) as payload from pages
+), d as (
+    select page_id, octet_length(payload) as payload_bytes, sha1(payload) as payload_digest from p
+), r as (
+    select *, max(page_id) over (partition by payload_digest, payload_bytes) as top from d
+)
+select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
+    case when payload_bytes >= 1000 and page_id <> top then 'revisit' else 'response' end as record_type,
+    case when payload_bytes >= 1000 and page_id <> top then top end as refers_to
+from r
+"""
+
+
 @query("op5_pack_documents")
 def _op5(spark, sf_dir):
     return packing.piece_digests(packing.pack_documents(table(spark, sf_dir, "documents")))
