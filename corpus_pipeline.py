@@ -1,4 +1,4 @@
-"""Corpus pipeline over the documents table: the training-data operators as stages.
+"""Corpus pipeline over the documents table: four training-data operators as stages.
 
 Each stage is (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame
 that is written as parquet and read again as the next stage's docs. Every stage but the last
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipwright.llm import langid, packing
+from shipwright.llm import langid, mixing, ngram_join, packing
 from shipwright.llm.common import ship_package, stage, table
 
 MIN_LANGUAGE_SCORE = 0.5
@@ -21,8 +21,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     model = langid.train(docs)
     scored = langid.predict(docs, model, docs.columns, "_lang_pred", "_lang_score")
-    return scored.filter((F.col("_lang_pred") != langid.UND) & (F.col("_lang_score") >= MIN_LANGUAGE_SCORE)).select(
-        *docs.columns)
+    kept = (F.col("_lang_pred") != langid.UND) & (F.col("_lang_score") >= MIN_LANGUAGE_SCORE)
+    return scored.filter(kept).select(*docs.columns)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near duplicates: the one with the smallest doc_id."""
+    ship_package(spark)
+    groups = ngram_join.near_duplicate_components(docs)
+    copies = stage(groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_copy")).distinct(), "copies")
+    few = copies.count() <= ngram_join.BROADCAST_ROWS        # beyond it the join shuffles
+    return docs.join(F.broadcast(copies) if few else copies, docs.doc_id == F.col("_copy"), "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the temperature mix takes it, at least once."""
+    return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +45,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack_documents(docs))
 
 
-STAGES = [("language_id", language_id), ("packing", pack)]
+STAGES = [("language_id", language_id), ("ngram_jaccard_join", ngram_jaccard_join), ("mix_sources", mix_sources), ("packing", pack)]
 
-# Tokenizer, language model and near-duplicate stages have no SQL form; tests hold them against brute force.
+# Tokenizer, language model and hash-permutation stages have no SQL form; tests hold them against brute force.
 ORACLE_SQL = None
 
 

@@ -230,15 +230,16 @@ def train(docs: DataFrame, vocabulary: str = VOCABULARY, sample_rows: int = SAMP
 def predict(docs: DataFrame, model: Model, keep: list[str], pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """The ``keep`` columns with the predicted language and its posterior. Reads no column but text."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    base = docs.select(*keep, F.col("text").cast("string").alias("_text"))
+    base = docs.select(*keep, *([] if "text" in keep else ["text"]))
+    at = base.columns.index("text")
     schema = StructType([base.schema[c] for c in keep] + [StructField(pred, StringType()), StructField(score, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(held.value)
         for batch in batches:
-            for lo, hi in tokens.chunks(batch.column(len(keep)).fill_null("")):
+            for lo, hi in tokens.chunks(batch.column(at).fill_null("")):
                 part = batch.slice(lo, hi - lo)
-                p, s = scorer.score(part.column(len(keep)))
+                p, s = scorer.score(part.column(at))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:len(keep)], pa.array(p, pa.string()), pa.array(s, pa.float64())], [*keep, pred, score])
 

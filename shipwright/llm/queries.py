@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipwright.llm import langid, licenses, minhash, ngram_join, packing, sharding, token_counts, warc
+from shipwright.llm import langid, licenses, minhash, mixing, ngram_join, packing, sharding, token_counts, topk, warc
 from shipwright.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,32 @@ from r
 """
 
 
+@query("op3_temperature_mix")
+def _op3(spark, sf_dir):
+    return mixing.mixed_stream(table(spark, sf_dir, "documents"))
+
+
+@query("op4_exact_top_k")
+def _op4(spark, sf_dir):
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+ORACLE["op4_exact_top_k"] = """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as q from embeddings
+    where embedding is not null and vec_id is not null
+      and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(cast(x as double)), false)))
+), s as (
+    select a.vec_id as query_id, b.vec_id, cast(list_dot_product(a.q, b.q) as bigint) as score
+    from v a join v b on a.vec_id <> b.vec_id and len(a.q) = len(b.q)
+    where a.vec_id % 100 = 0
+), r as (
+    select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from s
+)
+select query_id, rank, vec_id, score from r where rank <= 10
+"""
+
+
 @query("op5_pack_documents")
 def _op5(spark, sf_dir):
     return packing.piece_digests(packing.pack_documents(table(spark, sf_dir, "documents")))
