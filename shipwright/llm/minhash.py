@@ -4,7 +4,7 @@ Each five-word shingle is hashed once; the top bits of the hash name one of ``BI
 bin keeps its smallest hash. An empty bin takes the value of a non-empty one chosen by a hash of
 the (empty, non-empty) pair, the same choice in every document (every non-empty bin is equally
 likely and two documents with equal sets choose alike). The fingerprint stores the low
-``BITS`` bits of each bin as hexadecimal text. The likeness of two fingerprints is the share of equal
+``BITS`` bits of each bin's value, hashed with the bin's number, as hexadecimal text. The likeness of two fingerprints is the share of equal
 bins, corrected for equality by chance: (m - c) / (1 - c) with c = 2^-BITS, cut to 0..1.
 
 ``edited_fingerprints`` also edits every text: its last quarter is replaced by the head of the
@@ -59,8 +59,9 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     dense = F.when(F.size(low) == BINS, F.col(low)).otherwise(F.transform(
         F.sequence(F.lit(0).cast("long"), F.lit(BINS - 1).cast("long")),
         lambda b: F.coalesce(F.element_at(F.col(bins), b), borrowed(b))))
-    packed = F.array_join(F.transform(dense, lambda x: F.substring(
-        F.hex(x.bitwiseAND(F.lit((1 << BITS) - 1)) + F.lit(1 << BITS)), 2, BITS // 4)), "")
+    # bits of (value, bin), so values borrowed by many bins don't agree by chance in all of them at once
+    packed = F.array_join(F.transform(dense, lambda x, b: F.substring(
+        F.hex(F.xxhash64(x, b).bitwiseAND(F.lit((1 << BITS) - 1)) + F.lit(1 << BITS)), 2, BITS // 4)), "")
     return df.withColumn(out, F.when(F.size(low) == 0, F.lit("")).otherwise(F.lower(packed))).drop(hashes, low, bins)
 
 
