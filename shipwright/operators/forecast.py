@@ -12,7 +12,8 @@ Layout of the computation:
   accuracy tables, champion choice, intervals and published forecasts are aggregations and
   window functions over those rows.
 
-No Python runs per row or per series: the whole backtest of every region is one plan.
+No Python runs per row or per series; only the pooled model is fitted in a cogrouped map, one
+(series, origin) group at a time.
 """
 
 from __future__ import annotations
@@ -413,113 +414,101 @@ def custom_model_forecasts(panel: DataFrame, model_fn, name: str, horizon: int)
 
 # ----------------------------------------------------------------------------- pooled GBM (M5, M6)
 # Fixed values of the reference's pooled model: learning rate, tree depth, minimum rows per
-# leaf and seed (300 boosting rounds: ForecastConfig.pooled_iterations).
+# leaf and leaf penalty (300 boosting rounds: ForecastConfig.pooled_iterations).
 POOLED_STEP = 0.05
 POOLED_DEPTH = 4
 POOLED_MIN_LEAF = 10
-POOLED_SEED = 42
+POOLED_L2 = 1.0
 
 
 def _pooled_columns(with_volume: bool) -> list[str]:
-    cols = ["woy_sin", "woy_cos", "level_4", "level_8", *[f"lag_{k}" for k in POOLED_LAGS]]
-    return cols + (["exog_log_volume"] if with_volume else []) + ["region_idx"]
+    return ["woy_sin", "woy_cos", "level_4", "level_8", *[f"lag_{k}" for k in POOLED_LAGS],
+            *(["exog_log_volume"] if with_volume else [])]
 
 
-def _pooled_step_features(z: Column, week: Column, with_volume: bool) -> dict[str, Column]:
-    """Features of the next week from the (transformed) history array ``z`` (M6)."""
-    import math
-    t = F.size(z)
-    woy = F.weekofyear(week)
-    cols = {"woy_sin": F.sin(F.lit(2 * math.pi) * woy / F.lit(WEEKS_PER_YEAR)),
-            "woy_cos": F.cos(F.lit(2 * math.pi) * woy / F.lit(WEEKS_PER_YEAR)),
-            "level_4": _sum(F.slice(z, t - 3, 4)) / 4.0,
-            "level_8": _sum(F.slice(z, t - 7, 8)) / 8.0}
-    for k in POOLED_LAGS:
-        cols[f"lag_{k}"] = F.element_at(z, t - k + 1)
-    if with_volume:
-        cols["exog_log_volume"] = F.col("_exog")
-    return cols
+def _recursive_paths(model, starts, horizon: int, with_volume: bool, category: dict) -> list[list[float]]:
+    """Forecast paths of all states: each step's features come from the history so far (M6).
+
+    The last known volume is held over the horizon; predictions are changes against the mean of the last four values.
+    """
+    import numpy as np
+    history = [list(z) for z in starts["z"]]
+    codes = [category[r] for r in starts["region_code"]]
+    for h in range(1, horizon + 1):
+        week = starts["last_week"] + np.timedelta64(7 * h, "D")
+        angle = 2 * np.pi * week.dt.isocalendar().week.to_numpy(dtype=float) / WEEKS_PER_YEAR
+        level = np.array([np.mean(z[-4:]) for z in history])
+        cols = [np.sin(angle), np.cos(angle), level, np.array([np.mean(z[-8:]) for z in history])]
+        cols += [np.array([z[-k] for z in history]) for k in POOLED_LAGS]
+        cols += [starts["exog"].to_numpy(dtype=float)] if with_volume else []
+        step = model.predict(np.stack([*cols, np.array(codes, dtype=float)], axis=1)) + level
+        for z, x in zip(history, step):
+            z.append(float(x))
+    return [z[-horizon:] for z in history]
 
 
 def pooled_gbm_rows(panel: DataFrame, arrays: DataFrame, spec: SeriesSpec, cfg: ForecastConfig,
-                    candidates: Column, parallelism: int | None = None) -> DataFrame:
+                    candidates: Column) -> DataFrame:
     """Backtest rows of the pooled gradient-boosting model (same schema as ``backtest_rows``).
 
     One model per origin is fitted on the feature rows of *all* state series up to that origin
-    (M4 features, region as a categorical feature), with Spark ML's ``GBTRegressor``; the fits of
-    the different origins run as concurrent Spark jobs. Forecasts are recursive: for each of the
-    H steps the next-week features are built from the history array on every (state, origin)
-    row at once, scored with ``model.transform`` and the prediction plus the trailing 4-week level
-    is appended to the array. Training and scoring frames are states x weeks, bounded by the
-    calendar, not by the order volume.
+    (M4 features, region as a categorical feature) and forecasts recursively. Every (series, origin) is
+    one group: its feature rows meet its state histories in a cogrouped map, so the fits of all
+    origins run side by side as tasks of one lazy stage, and nothing passes through the driver. A
+    group holds states x weeks rows; that is bounded by regions and calendar, whatever the number of orders.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
+    import pandas as pd
 
     H = cfg.horizon_weeks
     log_t = spec.aggregate == "sum"
     with_vol = spec.aggregate == "weighted_mean"
-    feats = pooled_features(panel, log_t, with_vol).withColumn("t", F.col("t").cast("int"))
-    indexer = StringIndexer(inputCol="region_code", outputCol="region_idx",
-                            stringOrderType="alphabetAsc").fit(feats)
-    n_regions = len(indexer.labelsArray[0])
-    assembler = VectorAssembler(inputCols=_pooled_columns(with_vol), outputCol="features")
-    # states x weeks rows: one partition keeps the many small jobs of each boosting round cheap
-    train = assembler.transform(indexer.transform(feats)).select("t", "target", "features").coalesce(1).cache()
+    names = _pooled_columns(with_vol)
+    rounds, non_negative = cfg.pooled_iterations, spec.non_negative
 
     # (state, origin) rows that carry the pooled model as a candidate
     states = arrays.filter((F.col("region_level") == LEVEL_STATE) & F.array_contains(candidates, POOLED_NAME))
     starts = states.select(*SERIES_KEYS, "y", "n", "weeks", "vol",
                            F.inline(origin_array(H, cfg.backtest_folds, cfg.min_history_weeks)))
-    origins = sorted(r.origin for r in starts.select("origin").distinct().collect())  # <= folds + 1 values
-    if not origins:  # no state passes the volume gate: nothing to fit
-        empty = arrays.sparkSession.createDataFrame(
-            [], "series string, region_level string, region_code string, model_name string, origin int, "
-                "is_refit boolean, h int, forecast double, actual double")
-        train.unpersist()
-        return empty
-
-    gbt = GBTRegressor(featuresCol="features", labelCol="target", maxIter=cfg.pooled_iterations, stepSize=POOLED_STEP,
-                       maxDepth=POOLED_DEPTH, minInstancesPerNode=POOLED_MIN_LEAF, seed=POOLED_SEED,
-                       maxBins=max(32, n_regions))
-
-    def fit(origin: int):
-        return gbt.fit(train.filter(F.col("t") <= origin))
-
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism or len(origins), len(origins)))) as pool:
-        models = dict(zip(origins, pool.map(fit, origins)))
-
     v = (lambda x: F.log1p(F.greatest(x, F.lit(0.0)))) if log_t else (lambda x: x)
-    base = indexer.transform(starts).select(
-        *SERIES_KEYS, "y", "n", "origin", "is_refit", "region_idx",
-        F.slice(F.transform("y", v), 1, F.col("origin") + 1).alias("_z"),
-        F.element_at("weeks", F.col("origin") + 1).alias("_last_week"),
-        F.log1p(F.element_at("vol", F.col("origin") + 1)).alias("_exog"))
-    keep = base.columns
-    parts = []
-    for origin, model in models.items():
-        cur = base.filter(F.col("origin") == origin)
-        for h in range(1, H + 1):
-            step = _pooled_step_features(F.col("_z"), F.date_add("_last_week", 7 * h), with_vol)
-            scored = model.transform(assembler.transform(cur.withColumns(step)))
-            cur = scored.select(*[c for c in keep if c != "_z"],
-                                F.array_append("_z", F.col("prediction") + F.col("level_4")).alias("_z"))
-        parts.append(cur)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    train.unpersist()
-
-    path = F.slice("_z", F.col("origin") + 2, H)
-    if log_t:
-        path = F.transform(path, lambda x: F.expm1(x))
-    if spec.non_negative:
-        path = F.transform(path, lambda x: F.greatest(x, F.lit(0.0)))
-    x = out.select(*SERIES_KEYS, F.lit(POOLED_NAME).alias("model_name"), "origin", "is_refit", "y", "n",
-                   F.posexplode(path).alias("_i", "forecast"))
-    idx = F.col("origin") + F.col("_i") + 1
-    actual = F.when(idx < F.col("n"), F.try_element_at(F.col("y"), (idx + 1).cast("int")))
-    return x.select(*SERIES_KEYS, "model_name", "origin", "is_refit", (F.col("_i") + 1).alias("h"),
-                    "forecast", actual.alias("actual"))
+    starts = starts.select(
+        *SERIES_KEYS, "origin", "is_refit", F.slice(F.transform("y", v), 1, F.col("origin") + 1).alias("z"),
+        F.element_at("weeks", F.col("origin") + 1).cast("timestamp_ntz").alias("last_week"),
+        F.log1p(F.element_at("vol", F.col("origin") + 1)).alias("exog"), F.slice("y", F.col("origin") + 2, H).alias("actuals"))
+    # every state's feature rows up to the origin train it; the origins are those of any start row
+    feats = pooled_features(panel, log_t, with_vol)
+    origins = starts.select(F.col("series").alias("_s"), F.col("origin").alias("_o")).distinct()
+    train = feats.join(origins, F.col("series") == F.col("_s")).filter(F.col("t") <= F.col("_o"))
+    # fresh column identities: both sides of the cogroup come from the same panel
+    train = train.select(*[F.col(c).alias(c) for c in ("series", "region_code", "t", "target", *names)], F.col("_o").alias("origin"))
+
+    def one_origin(key, rows: pd.DataFrame, begin: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+
+        from shipwright.operators import boosting
+        begin = begin.sort_values("region_code", ignore_index=True)
+        rows = rows.sort_values(["region_code", "t"], ignore_index=True)
+        category = {r: i for i, r in enumerate(sorted(set(rows["region_code"]) | set(begin["region_code"])))}
+        x = np.column_stack([rows[names].to_numpy(dtype=float), rows["region_code"].map(category).to_numpy(dtype=float)])
+        if len(x):
+            model = boosting.fit(x, rows["target"].to_numpy(dtype=float), rounds, POOLED_STEP, POOLED_DEPTH, POOLED_MIN_LEAF,
+                                 POOLED_L2, categorical=x.shape[1] - 1)
+        else:                                   # no week has a full history: no change against the recent mean
+            model = boosting.Boosted(0.0, [], [])
+        out = []
+        for i, path in enumerate(_recursive_paths(model, begin, H, with_vol, category)):
+            path = np.expm1(path) if log_t else np.asarray(path)
+            path = np.maximum(path, 0.0) if non_negative else path
+            b = begin.iloc[i]
+            known = list(b["actuals"])
+            for h, f in enumerate(path, 1):
+                out.append((b["series"], b["region_level"], b["region_code"], POOLED_NAME, int(b["origin"]), bool(b["is_refit"]), h,
+                            float(f), float(known[h - 1]) if h <= len(known) else None))
+        return pd.DataFrame(out, columns=["series", "region_level", "region_code", "model_name", "origin", "is_refit", "h",
+                                          "forecast", "actual"])
+
+    # as many partitions as there may be groups: a fit is long, so groups shouldn't share a task
+    parts = 4 * (cfg.backtest_folds + 1)
+    return (train.repartition(parts, "series", "origin").groupBy("series", "origin")
+            .cogroup(starts.repartition(parts, "series", "origin").groupBy("series", "origin"))
+            .applyInPandas(one_origin, "series string, region_level string, region_code string, model_name string, origin int, "
+                                       "is_refit boolean, h int, forecast double, actual double"))

@@ -32,9 +32,9 @@ _READS: dict = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table of the test directory; one reader per (session, path) so the file
+    """Parquet table of the test directory; one reader per (application, path) so the file
     listing and footer reads happen once, however many raw tables use it."""
-    key = (id(spark), sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)   # a later session may reuse the id() of a stopped one
     if key not in _READS:
         _READS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return _READS[key]
