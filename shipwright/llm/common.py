@@ -2,29 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipwright.session import scratch_root
-
-
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the package to the executors' Python workers, unless their path already has it."""
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    root, app = os.path.dirname(package), spark.sparkContext.applicationId
-    if app in _SHIPPED or os.getcwd() == root or root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
-        return
-    name = os.path.basename(package)
-    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), name), "zip", root, name))
-    _SHIPPED.add(app)
+from shipwright.session import scratch_root, ship_package
 
 
 def shared_path(spark: SparkSession, tag: str) -> str:
