@@ -172,7 +172,16 @@ def accuracy_drilldown(latest: DataFrame) -> DataFrame:
 
 
 def realised_wape(fva: DataFrame) -> DataFrame:
-    """Realised WAPE of published demand forecasts, over weeks with an actual."""
-    d = fva.filter((F.col("series") == FC.DEMAND.name) & F.col("actual").isNotNull())
-    return d.agg(X.safe_divide(F.sum("abs_error"), F.sum("actual")).alias("realised_wape"),
-                 F.sum("forecast").alias("forecast_orders"), F.sum("actual").alias("actual_orders"))
+    """Forecast-page measures: demand forecast and actual totals over all weeks, and the WAPE over every
+    row (of any series) that has an actual."""
+    demand = F.col("series") == FC.DEMAND.name
+    known = F.col("actual").isNotNull()
+    return fva.agg(X.safe_divide(F.sum(F.when(known, F.col("abs_error"))), F.sum("actual")).alias("realised_wape"),
+                   F.sum(F.when(demand, F.col("forecast"))).alias("forecast_orders"),
+                   F.sum(F.when(demand, F.col("actual"))).alias("actual_orders"))
+
+
+def champion_backtest_wape(latest: DataFrame) -> DataFrame:
+    """Mean pooled backtest WAPE of the champions of the latest run."""
+    champions = latest.filter(F.col("is_champion") & (F.col("horizon_weeks") == 0))
+    return champions.agg(F.avg("wape").alias("champion_backtest_wape"))

@@ -22,24 +22,24 @@ ALLOWED_TABLES = ("analytics.fct_orders", "analytics.mart_kpi_daily_region", "an
                   "forecasts.forecast_runs")
 STATEMENT_TABLES = ("fct_orders", "mart_kpi_daily_region", "dim_regions")
 STATEMENT_FORMS = (
-    "select customer_state, count(*) from analytics.{t} group by 1",
-    "SELECT   count(*)\n FROM {t} -- all rows\n;",
-    "with base as (select * from analytics.{t}), agg as (select count(*) n from base) select n from agg",
-    "select 1 from `proj-{n}.analytics.{t}`",
-    "insert into analytics.{t} values ({n})",
-    "select 1 from analytics.{t}; drop table analytics.{t}",
-    "select * from analytics.{t} where 1=1 union all select * from raw.orders_{n}",
-    "select * from read_csv_auto('/data/{w}.csv')",
-    "select * from 'data/raw/{w}.csv'",
-    "with x as (delete from analytics.{t}) select 1 from x",
-    "select * from information_schema.tables",
-    "select {n}",
-    "",
-    "select count(*) from analytics.{t} where order_status = '{w}' and created_at_offset is null",
-    "/* {w} */ select * from analytics.{t} a join forecasts.forecast_runs r on a.x = r.y",
-    "select * from analytics.{t}, raw.secret_{n}",
+    "select {t}.* from analytics.{t} where {t}.region = '{w}'",
+    "/* {w} */ SELECT\tcount(1) AS c\nFROM {t};  -- {n}",
+    "with recent as (select * from {t} limit {n}), top as (select * from recent) select avg(x) from top",
+    "select max(v) from `acme-{n}`.analytics.{t}",
+    "update analytics.{t} set v = {n}",
+    "select a from {t}; select b from {t}",
+    "select l.* from {t} l join staging.{w}_{n} r on l.k = r.k",
+    "select * from glob('/tmp/{w}/*')",
+    "select v from '/tmp/{w}.parquet'",
+    "with gone as (truncate table {t}) select * from gone",
+    "select * from analytics.unknown_{w}",
+    "select {n} + 1",
+    " \n ",
+    "select 'drop {w}; delete' as note, dropped_at from {t}",
+    "select * from analytics.{t} as a left join forecasts.forecast_runs as b using (k)",
+    "select * from {t} natural join \"forecasts\".\"forecast_runs\" -- {w}",
 )
-UNGROUNDED_SQL = "select 42 from analytics.fct_orders"
+UNGROUNDED_SQL = "select sum(never_run) from analytics.dim_regions"
 
 
 def form_parts(form: str) -> list[str]:
