@@ -30,8 +30,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     ship_package(spark)
     groups = ngram_join.near_duplicate_components(docs)
     copies = stage(groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_copy")).distinct(), "copies")
-    few = copies.count() <= ngram_join.BROADCAST_ROWS        # beyond it the join shuffles
-    return docs.join(F.broadcast(copies) if few else copies, docs.doc_id == F.col("_copy"), "left_anti")
+    return docs.join(ngram_join.sized(copies), docs.doc_id == F.col("_copy"), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

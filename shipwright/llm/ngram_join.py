@@ -10,16 +10,18 @@ the rest:
 * a document with too few non-empty segments (allocation H + 1 not reached) adds the
   one-deletion neighbourhoods of its segments (an agreement up to one element counts double),
   and where even that is short, its single shingles;
+* a partner agrees in all but H of the signatures, so a document is only compared further if it shares
+  more of them than it has to spare (its signatures less H + 1);
 * a signature that more than ``POPULAR`` documents share costs too much: a document skips it as long
   as its other signatures still exceed H. Only documents that depend on popular signatures
   ("unsafe") are compared inside them.
 
-Links are found in two rounds, both verified on the whole sets. First every document is
-paired with the hub (smallest id) of each of its signatures: a large group of near copies is
-connected by a number of pairs that grows with the group, not with its square. Then, among documents
+Links are found in two rounds, both verified on the whole sets. A signature's hub is its smallest
+id. First every document is paired with the hub it shares most signatures with: a large group of near
+copies is connected by as many pairs as it has documents, not by their square. Then, among documents
 that share a signature and are still in different components, all remaining pairs are
-compared by a parity sketch in place (a lower bound of the difference; it never loses a link)
-and the survivors verified. The result is the set of connected components of all links.
+compared in place. Pairs pass a parity sketch (a lower bound of the difference, so it never loses a
+link) before their sets are fetched. The result is the connected components of all links.
 
 Scale: signatures are (8-byte signature, id) rows, shuffled and sorted once and read as a
 stream, so a signature held by a third of all documents needs no memory; equal sets leave a task
@@ -49,7 +51,7 @@ BAND_RATIO = 1.5
 SEGMENTS_PER_SIZE = 0.30         # segments of a band by its largest size
 SPARE_SEGMENTS = 4
 POPULAR = 64
-BROADCAST_ROWS = 1_000_000       # ids sent to all executors at most; more are joined by shuffle
+BROADCAST_ROWS = 500_000         # narrow rows sent to all executors at most; more are joined by shuffle
 SEEN_SETS = 500_000              # sets a task remembers to write equal ones once
 ROWS_OUT = 200_000               # signature rows in a batch
 BAND_BITS = np.uint64(63)        # low bits of a signature: its band
@@ -145,7 +147,7 @@ def _sets(batch: pa.RecordBatch, column: int = 1) -> Iterator[tuple[int, np.ndar
 
 
 def _doc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, set size, two set hashes, spare signatures by plan."""
+    """doc_id, set size, two set hashes, own band, spare signatures there and one band below, parity sketch."""
     for batch in batches:
         for lo, values, offsets in _sets(batch):
             n = np.diff(offsets)
@@ -154,16 +156,19 @@ def _doc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(full):
                 sums[full] = np.add.reduceat(S.mix(values), offsets[full])
                 twists[full] = np.bitwise_xor.reduceat(S.mix(values + _U(77)), offsets[full])
-            spare = [[], []]
+            spare, marks = [[], []], []
             for i in range(len(n)):
-                got = spare_of(values[offsets[i]:offsets[i + 1]]) if n[i] else {}
+                part = values[offsets[i]:offsets[i + 1]]
+                got = spare_of(part) if n[i] else {}
+                marks.append(sketch(part) if n[i] else b"")
                 own = int(band_of(n[i])) if n[i] else 0
                 spare[0].append(got.get(own, 0))
                 spare[1].append(got.get(own - 1, 0))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(lo, len(n)), pa.array(n, pa.int64()), pa.array(sums.view(np.int64)),
-                 pa.array(twists.view(np.int64)), pa.array(spare[0], pa.int32()), pa.array(spare[1], pa.int32())],
-                ["doc_id", "n", "set_a", "set_b", "spare_own", "spare_low"])
+                 pa.array(twists.view(np.int64)), pa.array(band_of(n), pa.int32()), pa.array(spare[0], pa.int32()), pa.array(spare[1], pa.int32()),
+                 pa.array(marks, pa.binary())],
+                ["doc_id", "n", "set_a", "set_b", "band", "spare_own", "spare_low", "sketch"])
 
 
 def spare_of(values: np.ndarray) -> dict[int, int]:
@@ -246,15 +251,14 @@ def _shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, size, parity sketch and shingles of the documents asked for."""
+    """id, size and shingles of the documents asked for."""
     for batch in batches:
         for lo, values, offsets in _sets(batch):
             n = np.diff(offsets)
-            marks = [sketch(values[offsets[i]:offsets[i + 1]]) for i in range(len(n))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, len(n)), pa.array(n, pa.int64()), pa.array(marks, pa.binary()),
+                [batch.column(0).slice(lo, len(n)), pa.array(n, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int64)))],
-                ["id", "n", "sketch", "shingles"])
+                ["id", "n", "shingles"])
 
 
 def fold(sketches: list[bytes]) -> np.ndarray:
@@ -269,6 +273,11 @@ def fold(sketches: list[bytes]) -> np.ndarray:
     return np.array(rows)
 
 
+def _possible(differ: np.ndarray, small: np.ndarray, large: np.ndarray) -> np.ndarray:
+    """Whether sizes and a lower bound of the difference leave room for the similarity."""
+    return (differ * (DEN + NUM) <= (small + large) * (DEN - NUM)) & (DEN * np.minimum(small, large) >= NUM * np.maximum(small, large))
+
+
 def _close_pairs(ids, labels, sizes, sketches, tile: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of a group in different components that size and sketch allow; compared tile by tile."""
     marks = fold(sketches)
@@ -279,20 +288,23 @@ def _close_pairs(ids, labels, sizes, sketches, tile: int = 256) -> Iterator[tupl
             differ = np.zeros((x.stop - a, y.stop - b), np.int64)
             for w in range(marks.shape[1]):
                 differ += np.bitwise_count(marks[x, w][:, None] ^ marks[y, w][None, :])
-            total = sizes[x][:, None] + sizes[y][None, :]
-            small, large = np.minimum(sizes[x][:, None], sizes[y][None, :]), np.maximum(sizes[x][:, None], sizes[y][None, :])
-            good = (differ * (DEN + NUM) <= total * (DEN - NUM)) & (DEN * small >= NUM * large)
-            good &= labels[x][:, None] != labels[y][None, :]
-            i, j = np.nonzero(good)
-            up = ids[x][i] != ids[y][j]
-            if a == b:
-                up &= i < j
-            i, j = i[up], j[up]
+            good = _possible(differ, sizes[x][:, None], sizes[y][None, :])
+            good &= (labels[x][:, None] != labels[y][None, :]) & (ids[x][:, None] != ids[y][None, :])
+            i, j = np.nonzero(np.triu(good, 1) if a == b else good)
             if len(i):
                 p, q = ids[x][i], ids[y][j]
                 yield np.minimum(p, q), np.maximum(p, q)
 
 
+def _allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Reads (a, b, na, nb, ka, kb); passes on the pairs that sizes and sketches allow."""
+    for batch in batches:
+        na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+        differ = np.array([int(np.bitwise_count(m[0] ^ m[1]).sum()) for m in map(fold, zip(
+            batch.column("ka").to_pylist(), batch.column("kb").to_pylist()))], np.int64)
+        yield batch.select(["a", "b"]).filter(pa.array(_possible(differ, na, nb)))
+
+
 def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Reads (sig, id, label, n, sketch) sorted by sig; pairs still to be verified."""
     held, current = [], None
@@ -341,43 +353,69 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def sized(df: DataFrame) -> DataFrame:
+    """A staged narrow table with a broadcast hint where its row count allows one; else it is joined by shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _verified(pairs: DataFrame, named: DataFrame, tag: str) -> DataFrame:
+    """The similar ones of staged pairs; fetches the whole sets of their documents only."""
+    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), f"{tag}ids")
+    sets = stage(named.join(sized(ids), named.doc_id == F.col("id"), "left_semi").mapInArrow(
+        _set_rows, "id long, n long, shingles array<long>"), f"{tag}sets")
+    return stage(_similar(pairs, sets), f"{tag}links")
+
+
+def named_spares(rows: DataFrame) -> DataFrame:
+    """(id, band, spare) of both bands a document writes signatures for; the least of rows with the same id."""
+    two = F.inline(F.array(F.struct(F.col("band").alias("band"), F.col("spare_own").alias("spare")),
+                           F.struct((F.col("band") - 1).alias("band"), F.col("spare_low").alias("spare"))))
+    named = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
+    return named.select(F.col("doc_id").alias("id"), two).groupBy("id", "band").agg(F.min("spare").alias("spare"))
+
+
 def near_duplicate_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = stage(texts.mapInArrow(
-        _doc_rows, "doc_id long, n long, set_a long, set_b long, spare_own int, spare_low int"), "docsets")
+        _doc_rows, "doc_id long, n long, set_a long, set_b long, band int, spare_own int, spare_low int, sketch binary"), "docsets")
     named = texts.filter(F.col("doc_id").isNotNull())
-
     shared = stage(named.mapInArrow(_signature_rows, "sig long, id long").repartition("sig")
                    .sortWithinPartitions("sig", "id").mapInArrow(_shared_only, "sig long, id long, hub long"), "shared")
-    ids = stage(shared.select("id").distinct(), "ids")
-    few = ids.count() <= BROADCAST_ROWS
-    wanted = F.broadcast(ids) if few else ids
-    sets = stage(named.join(wanted, named.doc_id == wanted.id, "left_semi").mapInArrow(
-        _set_rows, "id long, n long, sketch binary, shingles array<long>"), "sets")
-
-    hubs = shared.filter(F.col("id") != F.col("hub")).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links = stage(_similar(hubs, sets), "links")
+
+    spare = named_spares(rows)
+    band = F.col("sig").bitwiseAND(F.lit(int(BAND_BITS))).cast("int")
+
+    # first round: each document with the hub it shares most signatures with
+    marks = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).select(F.col("doc_id").alias("id"), "n", "sketch")
+    ties = shared.filter(F.col("id") != F.col("hub")).groupBy("id", "hub", band.alias("band")).agg(F.count("*").alias("c"))
+    ties = ties.join(spare, ["id", "band"]).filter(F.col("c") > F.col("spare"))
+    best = ties.groupBy("id").agg(F.max(F.struct("c", (-F.col("hub")).alias("minus"))).alias("m")).select(
+        (-F.col("m.minus")).alias("a"), F.col("id").alias("b"))
+    left = marks.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
+    right = marks.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
+    near = stage(best.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "ka", "kb").mapInArrow(
+        _allowed, "a long, b long").distinct(), "near")
+    links = _verified(near, named, "first")
     labels = components(links)
 
-    # signatures whose documents are not all in one component yet
-    marked = shared.join(labels, "id", "left").select("sig", "id", F.coalesce("label", "id").alias("label"))
+    # second round: signatures whose documents are not all in one component yet
+    marked = shared.join(sized(labels), "id", "left").select("sig", "id", F.coalesce("label", "id").alias("label"))
     open_sigs = stage(marked.groupBy("sig").agg(F.count("*").alias("holders"), F.min("label").alias("lo"),
                                                 F.max("label").alias("hi"))
                       .filter(F.col("lo") != F.col("hi")).select("sig", "holders"), "open")
-    left = stage(marked.join(open_sigs, "sig"), "marked")
-    spare = rows.select(F.col("doc_id").alias("id"), "n", "spare_own", "spare_low").dropDuplicates(["id"])
-    band = F.col("sig").bitwiseAND(F.lit(int(BAND_BITS)))
-    popular = left.filter(F.col("holders") > POPULAR)
-    unsafe = (popular.groupBy("id", band.alias("band")).agg(F.count("*").alias("popular")).join(spare, "id")
-              .filter(F.col("popular") > F.when(_in_band("n", "band"), F.col("spare_own")).otherwise(F.col("spare_low")))
-              .select("id", "band"))
-    depend = popular.withColumn("band", band).join(unsafe, ["id", "band"], "left_semi")
-    rest = (left.filter(F.col("holders") <= POPULAR).select("sig", "id", "label")
-            .union(depend.select("sig", "id", "label")).join(sets.select("id", "n", "sketch"), "id"))
-    pairs = (rest.select("sig", "id", "label", "n", "sketch").repartition("sig").sortWithinPartitions("sig")
-             .mapInArrow(_open_pairs, "a long, b long").distinct())
-    more = stage(_similar(pairs, sets), "links")
+    left = stage(marked.join(sized(open_sigs), "sig"), "marked")
+    left = left.withColumn("band", band)
+    # a partner shares more signatures than there are to spare, all of them open; others have none to be found
+    able = stage(left.groupBy("id", "band").agg(
+        F.count("*").alias("c"), F.count(F.when(F.col("holders") > POPULAR, 1)).alias("popular"))
+        .join(spare, ["id", "band"]).filter(F.col("c") > F.col("spare"))
+        .select("id", "band", (F.col("popular") > F.col("spare")).alias("unsafe")), "able")
+    left = left.join(sized(able), ["id", "band"])
+    rest = left.filter((F.col("holders") <= POPULAR) | F.col("unsafe")).join(marks, "id")
+    pairs = stage(rest.select("sig", "id", "label", "n", "sketch").repartition("sig").sortWithinPartitions("sig")
+                  .mapInArrow(_open_pairs, "a long, b long").distinct(), "pairs")
+    more = _verified(pairs, named, "second")
     if not more.isEmpty():
         labels = components(links.union(more))
 
@@ -392,10 +430,3 @@ def near_duplicate_components(docs: DataFrame) -> DataFrame:
     return rows.join(by_class, key, "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
-
-
-def _in_band(size: str, band: str):
-    """Whether a set's own band is ``band``."""
-    low = F.array(*[F.lit(int(x)) for x in _LOW])
-    return (F.col(size) >= F.element_at(low, (F.col(band) + 1).cast("int"))) & (
-        F.col(size) < F.element_at(low, (F.col(band) + 2).cast("int")))
