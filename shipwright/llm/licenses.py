@@ -27,10 +27,14 @@ _PRIORITIES = sorted(CONFIDENCE)
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def canonical(text: Column) -> Column:
-    """Words with one blank before, between and after them; a single blank without words."""
+def with_canonical(df: DataFrame, text: str, out: str = "canon") -> DataFrame:
+    """Adds the text's words with one blank before, between and after them; a single blank without words.
+
+    In two steps, so that the replacement runs once for its three uses.
+    """
     words = F.trim(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD, " "))
-    return F.when(words == "", F.lit(" ")).otherwise(F.concat(F.lit(" "), words, F.lit(" ")))
+    padded = F.when(F.col("_words") == "", F.lit(" ")).otherwise(F.concat(F.lit(" "), "_words", F.lit(" ")))
+    return df.withColumn("_words", words).withColumn(out, padded).drop("_words")
 
 
 def _blanks(c: str) -> str:
@@ -66,7 +70,7 @@ def detections(docs: DataFrame, found: list[Rule] | None = None) -> DataFrame:
     Rows with rule null stand for the texts themselves. ``text_row`` tells texts apart.
     """
     found = rules() if found is None else found
-    df = docs.select(F.col("doc_id").cast("long"), canonical(F.col("text").cast("string")).alias("canon"))
+    df = with_canonical(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "text").drop("text")
     df = df.withColumn("text_row", F.monotonically_increasing_id())
     df = df.withColumn("n_words", F.expr(_blanks("canon") + " - 1").cast("long"))
     gate = F.lit(False)
@@ -97,7 +101,7 @@ def detections(docs: DataFrame, found: list[Rule] | None = None) -> DataFrame:
     df = df.withColumn("base_names", F.expr("coalesce(transform(filter(base, b -> size(b.at) > 0), b -> b.label), cast(array() as array<string>))"))
     df = df.select("text_row", "doc_id", "n_words", F.size("base_at").cast("long").alias("n_base"),
                    F.array_min("base_at").cast("long").alias("first_word"), F.array_max("base_at").cast("long").alias("last_word"),
-                   "base_names", F.inline("intervals"))
+                   "base_names", F.inline_outer("intervals"))   # never empty; inline() would add a filter that computes it twice
     before = (Window.partitionBy("text_row").orderBy("s", F.col("e").desc(), F.col("prio").desc(), "rule")
               .rowsBetween(Window.unboundedPreceding, -1))
     covered = F.lit(False)
