@@ -53,29 +53,53 @@ DOUBLE_COLUMNS = {
     'complete_weeks_demand': ['value', 'volume'],
     'complete_weeks_delivery': ['value', 'volume'],
     'rolling_origin_folds': [],
+    'rolling_origin_folds_delivery': [],
     'candidate_models': [],
+    'candidate_models_delivery': [],
+    'model_pooled_gbm': ['forecast', 'actual'],
+    'model_pooled_gbm_delivery': ['forecast', 'actual'],
     'model_moving_average': ['forecast', 'actual'],
+    'model_moving_average_delivery': ['forecast', 'actual'],
     'model_seasonal_naive': ['forecast', 'actual'],
+    'model_seasonal_naive_delivery': ['forecast', 'actual'],
     'model_holt_damped': ['forecast', 'actual'],
-    'model_pooled_gbm': ['forecast', 'actual'],
-    'model_custom_pandas': ['forecast'],
-    'pooled_features': ['target', 'woy_sin', 'woy_cos', 'level_4', 'level_8', 'lag_1', 'lag_2', 'lag_3', 'lag_4', 'lag_6', 'lag_8'],
+    'model_holt_damped_delivery': ['forecast', 'actual'],
     'backtest_univariate': ['forecast', 'actual'],
+    'backtest_univariate_delivery': ['forecast', 'actual'],
     'metrics_by_model': ['mae', 'smape', 'wape', 'bias'],
+    'metrics_by_model_delivery': ['mae', 'smape', 'wape', 'bias'],
     'residual_quantiles': ['q_lo', 'q_hi'],
+    'residual_quantiles_delivery': ['q_lo', 'q_hi'],
     'champion_models': ['backtest_wape'],
+    'champion_models_delivery': ['backtest_wape'],
+    'pooled_features': ['target', 'woy_sin', 'woy_cos', 'level_4', 'level_8', 'lag_1', 'lag_2', 'lag_3', 'lag_4', 'lag_6', 'lag_8'],
+    'pooled_features_delivery': ['target', 'woy_sin', 'woy_cos', 'level_4', 'level_8', 'lag_1', 'lag_2', 'lag_3', 'lag_4', 'lag_6', 'lag_8', 'exog_log_volume'],
     'forecast_accuracy': ['mae', 'smape', 'wape', 'bias'],
+    'uni_forecast_accuracy': ['mae', 'smape', 'wape', 'bias'],
     'forecast_publish': ['forecast', 'forecast_lower', 'forecast_upper', 'backtest_wape'],
+    'uni_forecast_publish': ['forecast', 'forecast_lower', 'forecast_upper', 'backtest_wape'],
     'forecast_publish_delivery': ['forecast', 'forecast_lower', 'forecast_upper', 'backtest_wape'],
+    'uni_forecast_publish_delivery': ['forecast', 'forecast_lower', 'forecast_upper', 'backtest_wape'],
     'forecast_runs': ['median_champion_wape', 'country_champion_wape'],
+    'uni_forecast_runs': ['median_champion_wape', 'country_champion_wape'],
     'mart_forecast_vs_actual': ['forecast', 'forecast_lower', 'forecast_upper', 'backtest_wape', 'actual', 'error', 'abs_error', 'abs_pct_error'],
+    'uni_mart_forecast_vs_actual': ['forecast', 'forecast_lower', 'forecast_upper', 'backtest_wape', 'actual', 'error', 'abs_error', 'abs_pct_error'],
     'mart_forecast_accuracy_latest': ['mae', 'smape', 'wape', 'bias'],
+    'uni_mart_forecast_accuracy_latest': ['mae', 'smape', 'wape', 'bias'],
     'dash_demand_actual_vs_forecast': ['orders', 'forecast', 'forecast_lower', 'forecast_upper'],
+    'uni_dash_demand_actual_vs_forecast': ['orders', 'forecast', 'forecast_lower', 'forecast_upper'],
     'dash_demand_chart': ['orders', 'forecast', 'forecast_lower', 'forecast_upper'],
+    'uni_dash_demand_chart': ['orders', 'forecast', 'forecast_lower', 'forecast_upper'],
     'dash_forecast_accuracy': ['wape', 'smape', 'bias'],
+    'uni_dash_forecast_accuracy': ['wape', 'smape', 'bias'],
     'dash_forecast_series': ['actual', 'forecast', 'forecast_lower', 'forecast_upper'],
+    'uni_dash_forecast_series': ['actual', 'forecast', 'forecast_lower', 'forecast_upper'],
     'dash_accuracy_drilldown': ['wape', 'smape', 'bias'],
+    'uni_dash_accuracy_drilldown': ['wape', 'smape', 'bias'],
     'realised_wape': ['realised_wape', 'forecast_orders', 'actual_orders'],
+    'uni_realised_wape': ['realised_wape', 'forecast_orders', 'actual_orders'],
+    'champion_backtest_wape': ['champion_backtest_wape'],
+    'uni_champion_backtest_wape': ['champion_backtest_wape'],
     'log_sql_normalise': [],
     'log_sql_tables': [],
     'log_sql_audit': [],
@@ -84,14 +108,27 @@ DOUBLE_COLUMNS = {
     'log_history_trim': [],
     'log_strip_mentions': [],
     'log_usage_totals': [],
+    'log_history_marks': [],
     'scan_csv_typed': [],
+    'scan_csv_customers': [],
+    'scan_csv_geolocation': ['geolocation_lat', 'geolocation_lng'],
+    'scan_csv_order_items': ['price', 'freight_value'],
+    'scan_csv_order_payments': ['payment_value'],
+    'scan_csv_order_reviews': [],
+    'scan_csv_products': ['product_weight_g', 'product_length_cm', 'product_height_cm', 'product_width_cm'],
+    'scan_csv_sellers': [],
+    'scan_csv_category_translation': [],
     'scan_header_check': [],
     'load_row_counts': [],
     'materialize_mart': ['on_time_rate', 'avg_delivery_days', 'avg_delivery_delay_days', 'avg_estimated_days', 'avg_review_score', 'gmv', 'freight_revenue', 'take_revenue', 'platform_revenue', 'delivery_cost', 'payment_fees', 'handling_cost', 'platform_cost', 'contribution_margin', 'margin_per_order', 'avg_order_value', 'cost_per_delivery', 'freight_to_gmv_ratio'],
     'forecast_append_runs': ['median_champion_wape', 'country_champion_wape'],
+    'uni_append_runs': ['median_champion_wape', 'country_champion_wape'],
+    'uni_append_counts': [],
     'catalog_tables': [],
     'catalog_columns': [],
     'bounded_query': ['avg_days'],
+    'bounded_query_truncated': [],
     'rows_to_json': [],
     'agg_approx_median': ['median_delivery_days_approx'],
+    'model_custom_pandas': ['forecast'],
 }

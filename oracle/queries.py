@@ -101,6 +101,10 @@ from oracle.forecast import FORECAST_ORACLE  # noqa: E402
 
 ORACLE.update(FORECAST_ORACLE)
 
+from oracle.backtest import BACKTEST_ORACLE  # noqa: E402
+
+ORACLE.update(BACKTEST_ORACLE)
+
 from oracle.querylog import LOG_ORACLE  # noqa: E402
 
 ORACLE.update(LOG_ORACLE)

@@ -389,7 +389,7 @@ def pooled_features(panel: DataFrame, log_target: bool, with_volume: bool) -> Da
 
 
 def custom_model_forecasts(panel: DataFrame, model_fn, name: str, horizon: int) -> DataFrame:
-    """Plug in a user model ``model_fn(y: numpy array) -> forecasts`` on every series.
+    """Plug in a user model ``model_fn(y: numpy array, horizon) -> forecasts`` on every series.
 
     Runs as a grouped-map Pandas UDF: each group is one series (its length is the number of
     calendar weeks, not the data size), and the series are spread over the executors.
@@ -400,7 +400,7 @@ def custom_model_forecasts(panel: DataFrame, model_fn, name: str, horizon: int)
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("week_start")
-        fc = np.asarray(model_fn(pdf["value"].to_numpy(dtype=float)), dtype=float)[:horizon]
+        fc = np.asarray(model_fn(pdf["value"].to_numpy(dtype=float), horizon), dtype=float)
         first = pdf.iloc[0]
         return pd.DataFrame({"series": first["series"], "region_level": first["region_level"],
                              "region_code": first["region_code"], "model_name": name,

@@ -9,7 +9,7 @@ totals, whose size is bounded by the number of calendar weeks, not by the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 LEVEL_STATE, LEVEL_MACRO, LEVEL_COUNTRY = "state", "macro_region", "country"
@@ -17,11 +17,11 @@ COUNTRY_CODE = "BR"
 SERIES_KEYS = ("series", "region_level", "region_code")
 
 
-def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
-    """One row per day from start to end inclusive (a calendar, sized by the date range)."""
-    return spark.range(1).select(
-        F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)), F.expr("interval 1 day")))
-        .alias("date_day"))
+def date_spine(dates: DataFrame, column: str) -> DataFrame:
+    """One row per day of the whole years that ``column`` spans (a calendar; no rows without a date)."""
+    ends = dates.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).filter(F.col("lo").isNotNull())
+    first, last = F.to_date(F.trunc("lo", "year")), F.date_sub(F.add_months(F.trunc("hi", "year"), 12), 1)
+    return ends.select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("date_day"))
 
 
 def build_panel(mart: DataFrame, series: str, value_col: str, weight_col: str | None, aggregate: str) -> DataFrame:
@@ -85,25 +85,29 @@ def trim_incomplete_tail(panel: DataFrame, share: float = 0.7, lookback: int = 8
 
 
 def censor_tail(panel: DataFrame, weeks: int = 1) -> DataFrame:
-    """Drop the last ``weeks`` distinct weeks of each series (right-censored observations)."""
+    """Drop the last ``weeks`` distinct weeks of each series (right-censored observations).
+
+    A series with no more weeks than that has no observation that is surely complete; its last
+    ``weeks`` weeks go, which leaves none. The weeks of a series are calendar-sized, so they are kept as one sorted array.
+    """
     if weeks <= 0:
         return panel
-    wk = panel.select("series", "week_start").distinct()
-    ranked = wk.withColumn("_r", F.dense_rank().over(Window.partitionBy("series").orderBy(F.col("week_start").desc())))
-    cutoff = ranked.filter(F.col("_r") == weeks + 1).select("series", F.col("week_start").alias("_cut"))
-    return panel.join(cutoff, "series", "inner").filter(F.col("week_start") <= F.col("_cut")).drop("_cut")
+    seen = panel.groupBy("series").agg(F.sort_array(F.collect_set("week_start"), asc=False).alias("_weeks"))
+    cutoff = seen.select(F.col("series").alias("_s"), F.get("_weeks", weeks).alias("_cut"))
+    return panel.join(cutoff, F.col("series") == F.col("_s")).filter(F.col("week_start") <= F.col("_cut")).drop("_s", "_cut")
 
 
 def complete_weeks(panel: DataFrame, aggregate: str) -> DataFrame:
     """Every region on every Monday between the series' first and last week.
 
     Sum series fill gaps with 0; mean series carry the last value forward, then the first
-    value backward. Volume gaps are 0. The calendar is generated per series from its range.
+    value backward. Volume gaps are 0. Each region row carries its series' bounds (a window over the few
+    region rows) and explodes its own weeks, so regions and weeks are never joined.
     """
-    bounds = panel.groupBy("series").agg(F.min("week_start").alias("_lo"), F.max("week_start").alias("_hi"))
-    weeks = bounds.select("series", F.explode(F.sequence("_lo", "_hi", F.expr("interval 7 days"))).alias("week_start"))
-    regions = panel.select(*SERIES_KEYS).distinct()
-    grid = regions.join(weeks, "series", "inner")
+    ends = panel.groupBy(*SERIES_KEYS).agg(F.min("week_start").alias("_lo"), F.max("week_start").alias("_hi"))
+    of_series = Window.partitionBy("series")
+    ends = ends.select(*SERIES_KEYS, F.min("_lo").over(of_series).alias("_lo"), F.max("_hi").over(of_series).alias("_hi"))
+    grid = ends.select(*SERIES_KEYS, F.explode(F.sequence("_lo", "_hi", F.expr("interval 7 days"))).alias("week_start"))
     full = grid.join(panel, [*SERIES_KEYS, "week_start"], "left")
     if aggregate == "sum":
         value = F.coalesce(F.col("value"), F.lit(0.0))
@@ -113,22 +117,3 @@ def complete_weeks(panel: DataFrame, aggregate: str) -> DataFrame:
                            F.first("value", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
     return full.select(*SERIES_KEYS, "week_start", value.alias("value"),
                        F.coalesce(F.col("volume"), F.lit(0.0)).alias("volume"))
-
-
-def with_week_index(panel: DataFrame) -> DataFrame:
-    """Add t = 0..n-1 per series-region and n = series length."""
-    w = Window.partitionBy(*SERIES_KEYS).orderBy("week_start")
-    return (panel.withColumn("t", F.row_number().over(w) - 1)
-                 .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*SERIES_KEYS))))
-
-
-def rolling_origin_folds(lengths: DataFrame, horizon: int, folds: int, min_history: int) -> DataFrame:
-    """Backtest origins per series: n - horizon - k - 1 for k < folds, kept when origin + 1 >= min_history.
-
-    ``lengths`` has the series keys and ``n``; the result has one row per (series, origin).
-    """
-    k = F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("_k")
-    return (lengths.select(*[c for c in lengths.columns], k)
-                   .withColumn("origin", F.col("n") - F.lit(horizon) - F.col("_k") - 1)
-                   .filter(F.col("origin") + 1 >= F.lit(min_history))
-                   .drop("_k"))

@@ -8,6 +8,8 @@ lost executor only recomputes from the last written table.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from shipwright.sources.sinks import materialize
 
 TABLE_MODELS = (
@@ -22,12 +24,26 @@ TABLE_MODELS = (
 DEFAULT_PARTITIONING: dict[str, list[str]] = {}
 
 
+# Tables of one step read only tables of earlier steps, so they are written side by side.
+STEPS = (
+    ("dim_regions", "dim_dates", "dim_customers", "dim_sellers", "dim_products"),
+    ("fct_orders",),
+    ("fct_order_items", "mart_kpi_daily_region", "mart_unit_economics_monthly", "mart_demand_weekly_region",
+     "mart_delivery_time_weekly_region"),
+    ("mart_seller_performance", "mart_category_monthly"),
+)
+
+
 def build_warehouse(wh, root: str, tables=TABLE_MODELS, partitioning=None) -> dict[str, str]:
     """Write every table model under ``{root}/analytics`` and point the context at the files."""
     partitioning = DEFAULT_PARTITIONING if partitioning is None else partitioning
-    paths = {}
-    for name in tables:
-        df = materialize(wh[name], root, "analytics", name, partitioning.get(name))
-        wh.override(name, df)
-        paths[name] = f"{root.rstrip('/')}/analytics/{name}"
+    paths = {name: f"{root.rstrip('/')}/analytics/{name}" for name in tables}
+    for step in STEPS:
+        frames = {name: wh[name] for name in step if name in paths}     # plans are put together one at a time
+        if not frames:
+            continue
+        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+            written = pool.map(lambda kv: (kv[0], materialize(kv[1], root, "analytics", kv[0], partitioning.get(kv[0]))), frames.items())
+        for name, df in written:
+            wh.override(name, df)
     return paths

@@ -71,7 +71,7 @@ def dim_products(wh):
 
 @model("dim_dates")
 def dim_dates(wh):
-    spine = date_spine(wh.spark, wh.params["date_spine_start"], wh.params["date_spine_end"])
+    spine = date_spine(wh["stg_orders"], "purchase_date")
     d = F.col("date_day")
     return spine.select(
         d, F.year(d).cast("long").alias("year"), F.quarter(d).cast("long").alias("quarter"),

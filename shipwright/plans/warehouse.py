@@ -52,13 +52,11 @@ class Warehouse:
         return cls(spark, lazy_raw_tables(spark, sf_dir), params)
 
 
-# Unit-economics assumptions and calendar range (fixed values of the reference model).
+# Unit-economics assumptions (fixed values of the reference model).
 DEFAULT_PARAMS = {
     "marketplace_take_rate": 0.20,
     "payment_processing_rate": 0.03,
     "delivery_cost_ratio": 1.0,
     "handling_cost_per_order": 3.0,
     "handling_cost_per_extra_item": 1.0,
-    "date_spine_start": "2016-09-01",
-    "date_spine_end": "2019-12-31",
 }

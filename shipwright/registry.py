@@ -6,7 +6,9 @@ given directory so every one of them reads the whole input tables.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,8 +18,7 @@ from shipwright.plans import dashboard as dash
 from shipwright.plans.warehouse import Warehouse
 from shipwright.session import ship_package
 
-# The test data spans 1995-2001; the calendar and dashboard ranges are set to cover it.
-TESTBED_PARAMS = {"date_spine_start": "1994-01-01", "date_spine_end": "2002-12-31"}
+# The test data spans 1995-2001; the dashboard range lies inside it.
 DASH_RANGE = ("1997-01-01", "1999-12-31")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,7 +33,7 @@ def query(name: str):
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     ship_package(spark)
-    return Warehouse.from_testdata(spark, sf_dir, TESTBED_PARAMS)
+    return Warehouse.from_testdata(spark, sf_dir)
 
 
 def _model_query(name: str):
@@ -150,117 +151,108 @@ def _arrays(spark, sf_dir, spec=FC.DEMAND):
     return FC.series_arrays(FP.completed_panel(warehouse(spark, sf_dir), spec, CFG))
 
 
-@query("rolling_origin_folds")
-def _folds(spark, sf_dir):
-    a = _arrays(spark, sf_dir)
-    o = FC.rolling_origins(a, CFG.horizon_weeks, CFG.backtest_folds, CFG.min_history_weeks)
+def _folds(spark, sf_dir, spec):
+    o = FC.rolling_origins(_arrays(spark, sf_dir, spec), CFG.horizon_weeks, CFG.backtest_folds, CFG.min_history_weeks)
     return o.withColumn("origin", F.col("origin").cast("long"))
 
 
-@query("candidate_models")
-def _candidates(spark, sf_dir):
-    return FC.candidate_models(_arrays(spark, sf_dir), FC.DEMAND.min_weekly_volume, CFG.pooled_model)
+def _candidates(spark, sf_dir, spec):
+    return FC.candidate_models(_arrays(spark, sf_dir, spec), spec.min_weekly_volume, CFG.pooled_model)
 
 
-def _model_rows(spark, sf_dir, model_name, spec=FC.DEMAND):
-    """Backtest + refit forecasts of one model on every region of a series (no gating)."""
-    a = _arrays(spark, sf_dir, spec)
-    rows = FC.backtest_rows(a, CFG.horizon_weeks, CFG.backtest_folds, CFG.min_history_weeks,
-                            F.array(F.lit(model_name)), spec.non_negative)
+def _longs(rows):
     return rows.withColumns({"origin": F.col("origin").cast("long"), "h": F.col("h").cast("long")})
 
 
-QUERIES["model_moving_average"] = lambda spark, sf_dir: _model_rows(spark, sf_dir, FC.MA_NAME)
-QUERIES["model_seasonal_naive"] = lambda spark, sf_dir: _model_rows(spark, sf_dir, FC.SEASONAL_NAME)
-QUERIES["model_holt_damped"] = lambda spark, sf_dir: _model_rows(spark, sf_dir, FC.HOLT_NAME)
-
-
-@query("model_pooled_gbm")
-def _pooled_gbm(spark, sf_dir):
-    """Backtest + refit forecasts of the pooled model on every state (no volume gate)."""
-    panel = FP.completed_panel(warehouse(spark, sf_dir), FC.DEMAND, CFG)
-    rows = FC.pooled_gbm_rows(panel, FC.series_arrays(panel), FC.DEMAND, CFG, F.array(F.lit(FC.POOLED_NAME)))
-    return rows.withColumns({"origin": F.col("origin").cast("long"), "h": F.col("h").cast("long")})
+def _model_rows(spark, sf_dir, spec, model_name):
+    """Backtest + refit forecasts of one model on every region of a series (no gating)."""
+    return _longs(FC.backtest_rows(_arrays(spark, sf_dir, spec), CFG.horizon_weeks, CFG.backtest_folds, CFG.min_history_weeks,
+                                   F.array(F.lit(model_name)), spec.non_negative))
 
 
-@query("backtest_univariate")
-def _backtest(spark, sf_dir):
-    a = _arrays(spark, sf_dir)
-    rows = FC.backtest_rows(a, CFG.horizon_weeks, CFG.backtest_folds, CFG.min_history_weeks,
-                            FC.candidate_array(FC.DEMAND.min_weekly_volume))
-    return rows.filter(~F.col("is_refit"))
+def _staged(df, tag):
+    """A small frame (regions x weeks) written once, so that the branches over it don't repeat the marts."""
+    path = _scratch(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
-@query("metrics_by_model")
-def _metrics(spark, sf_dir):
-    rows = _backtest(spark, sf_dir).withColumn("is_refit", F.lit(False))
-    return FC.accuracy_summary(rows).filter(F.col("horizon_weeks") == 0)
+def _pooled_rows(spark, sf_dir, spec):
+    """Backtest + refit forecasts of the pooled model on every state (no volume gate)."""
+    panel = _staged(FP.completed_panel(warehouse(spark, sf_dir), spec, CFG), "panel")
+    return _longs(FC.pooled_gbm_rows(panel, FC.series_arrays(panel), spec, CFG, F.array(F.lit(FC.POOLED_NAME))))
 
 
-@query("residual_quantiles")
-def _residuals(spark, sf_dir):
-    rows = _backtest(spark, sf_dir).withColumn("is_refit", F.lit(False))
-    return FC.residual_quantiles(rows, CFG.interval_quantiles)
+def _backtest(spark, sf_dir, spec):
+    rows = FC.backtest_rows(_arrays(spark, sf_dir, spec), CFG.horizon_weeks, CFG.backtest_folds, CFG.min_history_weeks,
+                            FC.candidate_array(spec.min_weekly_volume), spec.non_negative)
+    return _longs(rows.filter(~F.col("is_refit")))
 
 
-@query("champion_models")
-def _champions(spark, sf_dir):
-    a = _arrays(spark, sf_dir)
-    cands = FC.candidate_models(a, FC.DEMAND.min_weekly_volume)
-    rows = _backtest(spark, sf_dir).withColumn("is_refit", F.lit(False))
-    return FC.champions(cands, FC.accuracy_summary(rows))
+def _metrics(spark, sf_dir, spec):
+    return FC.accuracy_summary(_backtest(spark, sf_dir, spec)).filter(F.col("horizon_weeks") == 0)
 
 
-QUERIES["forecast_accuracy"] = lambda spark, sf_dir: _run(spark, sf_dir)["forecast_accuracy"]
-QUERIES["forecast_publish"] = lambda spark, sf_dir: _run(spark, sf_dir)["forecast_demand_weekly_region"]
-QUERIES["forecast_publish_delivery"] = lambda spark, sf_dir: _run(spark, sf_dir)[
-    "forecast_delivery_time_weekly_region"]
-QUERIES["forecast_runs"] = lambda spark, sf_dir: _run(spark, sf_dir)["forecast_runs"]
+def _residuals(spark, sf_dir, spec):
+    return FC.residual_quantiles(_backtest(spark, sf_dir, spec), CFG.interval_quantiles)
 
 
-@query("mart_forecast_vs_actual")
-def _fva(spark, sf_dir):
-    wh = warehouse(spark, sf_dir)
-    out = _run(spark, sf_dir)
-    return FP.forecast_vs_actual(wh, out["forecast_demand_weekly_region"], out["forecast_delivery_time_weekly_region"])
+def _champions(spark, sf_dir, spec):
+    cands = FC.candidate_models(_arrays(spark, sf_dir, spec), spec.min_weekly_volume)
+    return FC.champions(cands, FC.accuracy_summary(_backtest(spark, sf_dir, spec)))
 
 
-@query("mart_forecast_accuracy_latest")
-def _acc_latest(spark, sf_dir):
-    out = _run(spark, sf_dir)
-    return FP.accuracy_latest(out["forecast_accuracy"], out["forecast_runs"])
+def _features(spark, sf_dir, spec):
+    mean_series = spec.aggregate == "weighted_mean"
+    panel = FP.completed_panel(warehouse(spark, sf_dir), spec, CFG)
+    return FC.pooled_features(panel, log_target=not mean_series, with_volume=mean_series).withColumn("t", F.col("t").cast("long"))
 
 
-@query("dash_demand_actual_vs_forecast")
-def _dash_dvf(spark, sf_dir):
-    wh = warehouse(spark, sf_dir)
-    out = _run(spark, sf_dir)
-    return FP.demand_actual_vs_forecast(wh, out["forecast_demand_weekly_region"], out["forecast_runs"], DASH_RANGE[0])
+_BY_SERIES = {
+    "rolling_origin_folds": _folds, "candidate_models": _candidates, "model_pooled_gbm": _pooled_rows,
+    "model_moving_average": lambda *a: _model_rows(*a, FC.MA_NAME), "model_seasonal_naive": lambda *a: _model_rows(*a, FC.SEASONAL_NAME),
+    "model_holt_damped": lambda *a: _model_rows(*a, FC.HOLT_NAME), "backtest_univariate": _backtest, "metrics_by_model": _metrics,
+    "residual_quantiles": _residuals, "champion_models": _champions, "pooled_features": _features,
+}
+for _name, _fn in _BY_SERIES.items():
+    for _tag, _spec in (("", FC.DEMAND), ("_delivery", FC.DELIVERY_TIME)):
+        QUERIES[_name + _tag] = (lambda f, spec: lambda spark, sf_dir: f(spark, sf_dir, spec))(_fn, _spec)
 
 
-@query("dash_demand_chart")
-def _dash_chart(spark, sf_dir):
-    return FP.demand_chart_frame(_dash_dvf(spark, sf_dir))
+# Readers of a run: of the reference configuration, and (uni_) of one with the three univariate models only.
+UNI_CFG = dataclasses.replace(CFG, pooled_model=False)
 
 
-@query("dash_forecast_accuracy")
-def _dash_acc(spark, sf_dir):
-    return FP.forecast_accuracy_by_region(_acc_latest(spark, sf_dir))
+def _fva(wh, out):
+    return FP.forecast_vs_actual(wh, out["forecast_demand_weekly_region"], out["forecast_delivery_time_weekly_region"])
 
 
-@query("dash_forecast_series")
-def _dash_fseries(spark, sf_dir):
-    return FP.forecast_series_weekly(_fva(spark, sf_dir))
+def _latest(wh, out):
+    return FP.accuracy_latest(out["forecast_accuracy"], out["forecast_runs"])
 
 
-@query("dash_accuracy_drilldown")
-def _dash_drill(spark, sf_dir):
-    return FP.accuracy_drilldown(_acc_latest(spark, sf_dir))
+def _dvf(wh, out):
+    return FP.demand_actual_vs_forecast(wh, out["forecast_demand_weekly_region"], out["forecast_runs"], DASH_RANGE[0])
 
 
-@query("realised_wape")
-def _realised(spark, sf_dir):
-    return FP.realised_wape(_fva(spark, sf_dir))
+_RUN_READERS = {
+    "forecast_accuracy": lambda wh, out: out["forecast_accuracy"],
+    "forecast_publish": lambda wh, out: out["forecast_demand_weekly_region"],
+    "forecast_publish_delivery": lambda wh, out: out["forecast_delivery_time_weekly_region"],
+    "forecast_runs": lambda wh, out: out["forecast_runs"],
+    "mart_forecast_vs_actual": _fva,
+    "mart_forecast_accuracy_latest": _latest,
+    "dash_demand_actual_vs_forecast": _dvf,
+    "dash_demand_chart": lambda wh, out: FP.demand_chart_frame(_dvf(wh, out)),
+    "dash_forecast_accuracy": lambda wh, out: FP.forecast_accuracy_by_region(_latest(wh, out)),
+    "dash_forecast_series": lambda wh, out: FP.forecast_series_weekly(_fva(wh, out)),
+    "dash_accuracy_drilldown": lambda wh, out: FP.accuracy_drilldown(_latest(wh, out)),
+    "realised_wape": lambda wh, out: FP.realised_wape(_fva(wh, out)),
+    "champion_backtest_wape": lambda wh, out: FP.champion_backtest_wape(_latest(wh, out)),
+}
+for _name, _fn in _RUN_READERS.items():
+    for _tag, _cfg in (("", CFG), ("uni_", UNI_CFG)):
+        QUERIES[_tag + _name] = (lambda f, cfg: lambda spark, sf_dir: f(warehouse(spark, sf_dir), _run(spark, sf_dir, cfg)))(_fn, _cfg)
 
 
 # ------------------------------------------------------------------ query-log analytics
@@ -310,6 +302,11 @@ def _log_usage(spark, sf_dir):
     return QL.usage_totals(LOGS.usage(spark, sf_dir))
 
 
+@query("log_history_marks")
+def _log_history_marks(spark, sf_dir):
+    return QL.history_marks(LOGS.messages(spark, sf_dir))
+
+
 # ------------------------------------------------------------------ sources, sinks, catalogue
 import uuid as _uuid  # noqa: E402
 
@@ -324,19 +321,35 @@ def _scratch(spark, tag):
     return scratch_root(spark, f"{tag}-{_uuid.uuid4().hex[:8]}")
 
 
-@query("scan_csv_typed")
-def _scan_csv(spark, sf_dir):
+def _csv_files(spark, sf_dir):
     wh = warehouse(spark, sf_dir)
-    path = CSV.write_csv(wh["raw_orders"], f"{_scratch(spark, 'csv')}/raw_orders")
-    return CSV.read_csv_typed(spark, path, "raw_orders")
+    root = _scratch(spark, "csv")
+    return wh, {t: CSV.write_csv(wh[t].select(*CSV.schema_of(t).names), f"{root}/{t}") for t in CSV.RAW_SCHEMAS}
+
+
+def _scan(table):
+    def run(spark, sf_dir):
+        wh = warehouse(spark, sf_dir)
+        path = CSV.write_csv(wh[table].select(*CSV.schema_of(table).names), f"{_scratch(spark, 'csv')}/{table}")
+        return CSV.read_csv_typed(spark, path, table)
+    return run
+
+
+QUERIES["scan_csv_typed"] = _scan("raw_orders")
+for _t in CSV.RAW_SCHEMAS:
+    if _t != "raw_orders":
+        QUERIES["scan_csv_" + _t.removeprefix("raw_")] = _scan(_t)
 
 
 @query("scan_header_check")
 def _scan_header(spark, sf_dir):
-    wh = warehouse(spark, sf_dir)
-    root = _scratch(spark, "csv")
-    paths = {t: CSV.write_csv(wh[t], f"{root}/{t}") for t in ("raw_orders", "raw_customers")}
-    return CSV.header_report(spark, paths)
+    """Header verdict of every raw table next to the number of rows read under that header."""
+    _, paths = _csv_files(spark, sf_dir)
+    report = CSV.header_report(spark, paths).groupBy("table").agg(
+        F.max("header").alias("header"), F.min("ok").alias("ok"))
+    counts = reduce(DataFrame.unionByName, [
+        CSV.read_csv_typed(spark, p, t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table"), "rows") for t, p in paths.items()])
+    return report.join(counts, "table")
 
 
 @query("load_row_counts")
@@ -353,77 +366,102 @@ def _materialize(spark, sf_dir):
     return SINK.materialize(wh["mart_kpi_daily_region"], _scratch(spark, "wh"), "analytics", "mart_kpi_daily_region")
 
 
-@query("forecast_append_runs")
-def _append_runs(spark, sf_dir):
-    out = _run(spark, sf_dir)
+def _appended(spark, sf_dir, cfg):
+    """Two runs appended: all four output tables of each, the second a week later."""
+    out = _run(spark, sf_dir, cfg)
     root = _scratch(spark, "fc")
-    first = out["forecast_runs"]
-    SINK.append_table(first, root, "forecasts", "forecast_runs")
-    second = first.withColumns({"run_id": F.lit("testbed0002"),
-                                "run_at": F.col("run_at") + F.expr("interval 7 days")})
-    SINK.append_table(second, root, "forecasts", "forecast_runs")
-    return SINK.read_table(spark, root, "forecasts", "forecast_runs")
+    FP.append_run(out, root)
+    FP.append_run({name: df.withColumns({"run_id": F.lit("testbed0002"), "run_at": F.col("run_at") + F.expr("interval 7 days")})
+                   for name, df in out.items()}, root)
+    return root
+
+
+def _appended_runs(spark, sf_dir, cfg):
+    return SINK.read_table(spark, _appended(spark, sf_dir, cfg), "forecasts", "forecast_runs")
+
+
+QUERIES["forecast_append_runs"] = lambda spark, sf_dir: _appended_runs(spark, sf_dir, CFG)
+QUERIES["uni_append_runs"] = lambda spark, sf_dir: _appended_runs(spark, sf_dir, UNI_CFG)
 
 
-CATALOGUED = ("dim_regions", "dim_customers", "dim_sellers", "dim_products", "fct_orders", "mart_kpi_daily_region",
-              "mart_category_monthly")
+@query("uni_append_counts")
+def _append_counts(spark, sf_dir):
+    """Rows by run of each appended forecast table."""
+    root = _appended(spark, sf_dir, UNI_CFG)
+    return reduce(DataFrame.unionByName, [
+        SINK.read_table(spark, root, "forecasts", t).groupBy("run_id").agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(t).alias("table_name"), "run_id", "rows") for t in FP.OUTPUT_TABLES])
 
 
 def _built(spark, sf_dir):
+    """The whole warehouse written, with the forecast tables of a three-model run registered beside it."""
     wh = warehouse(spark, sf_dir)
-    build_warehouse(wh, _scratch(spark, "wh"), CATALOGUED)
+    root = _scratch(spark, "wh")
+    build_warehouse(wh, root)
+    for name, df in _run(spark, sf_dir, UNI_CFG).items():
+        df.createOrReplaceTempView(SINK.view_name("forecasts", name))
     return wh
 
 
 @query("catalog_tables")
 def _catalog_tables(spark, sf_dir):
     _built(spark, sf_dir)
-    return CAT.catalog_tables(spark).filter(F.col("table_name").isin(*CATALOGUED))
+    return CAT.catalog_tables(spark)
 
 
 @query("catalog_columns")
 def _catalog_columns(spark, sf_dir):
+    """Columns with row counts and descriptions from a documentation frame."""
     _built(spark, sf_dir)
-    return CAT.catalog_columns(spark).filter(F.col("table_name").isin(*CATALOGUED))
+    docs = spark.createDataFrame(list(CAT.COLUMN_DOCS), "table_name string, column_name string, description string")
+    return CAT.catalog_columns(spark, docs).join(CAT.catalog_tables(spark).select("table_schema", "table_name", "row_count"),
+                                                 ["table_schema", "table_name"])
 
 
 BOUNDED_SQL = ("select customer_state, count(*) as orders, avg(delivery_days) as avg_days "
-               "from analytics.fct_orders group by customer_state")
+               "from analytics.fct_orders where order_status <> 'analytics.fct_orders' group by customer_state")
+BOUNDED_OVER_SQL = "select order_id from fct_orders where is_delivered"
 
 
-@query("bounded_query")
-def _bounded(spark, sf_dir):
-    root = _scratch(spark, "wh")
-    wh = warehouse(spark, sf_dir)
-    paths = build_warehouse(wh, root, ("fct_orders",))
-    return QL.run_bounded(spark, BOUNDED_SQL, {"analytics.fct_orders": paths["fct_orders"]},
-                          LOGS.allowed_tables(spark), max_rows=QL.MAX_ROWS)
+def _bounded(statement, max_rows):
+    def run(spark, sf_dir):
+        wh = warehouse(spark, sf_dir)
+        paths = build_warehouse(wh, _scratch(spark, "wh"), ("fct_orders",))
+        return QL.run_bounded(spark, statement, {"analytics.fct_orders": paths["fct_orders"]}, LOGS.allowed_tables(spark), max_rows)
+    return run
+
+
+QUERIES["bounded_query"] = _bounded(BOUNDED_SQL, QL.MAX_ROWS)
+
+
+@query("bounded_query_truncated")
+def _bounded_over(spark, sf_dir):
+    """More rows than the bound: which ones come is open, so their number and the mark are the result."""
+    rows = _bounded(BOUNDED_OVER_SQL, QL.MAX_ROWS)(spark, sf_dir)
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.min("_truncated").alias("truncated"), F.count_distinct("order_id").alias("orders"))
 
 
 @query("rows_to_json")
 def _rows_to_json(spark, sf_dir):
-    m = warehouse(spark, sf_dir)["mart_category_monthly"]
-    return m.select("month_start", "category_name", F.to_json(F.struct(*m.columns)).alias("row_json"))
+    m = warehouse(spark, sf_dir)["mart_category_monthly"].select(
+        "month_start", "category_name", "orders", F.col("gmv").cast("decimal(18,2)").alias("gmv"),
+        F.col("category_name").cast("binary").alias("raw_name"), F.col("month_start").cast("timestamp_ntz").alias("at"))
+    return m.select("month_start", "category_name", QL.json_row(m).alias("row_json"))
 
 
 @query("agg_approx_median")
 def _approx_median(spark, sf_dir):
+    """Approximate median, exact here: the accuracy exceeds every group's number of rows."""
     f = warehouse(spark, sf_dir)["fct_orders"].filter(F.col("is_delivered") & F.col("delivery_days").isNotNull())
     return (f.groupBy(F.col("purchase_week").alias("week_start"), F.col("customer_state").alias("state_code"))
-             .agg(F.percentile_approx("delivery_days", 0.5).alias("median_delivery_days_approx")))
-
-
-@query("pooled_features")
-def _pooled_features(spark, sf_dir):
-    panel = FP.completed_panel(warehouse(spark, sf_dir), FC.DEMAND, CFG)
-    return FC.pooled_features(panel, log_target=True, with_volume=False).withColumn("t", F.col("t").cast("long"))
+             .agg(F.percentile_approx("delivery_days", 0.5, F.lit(10_000)).alias("median_delivery_days_approx")))
 
 
-def drift_model(y):
-    """Example user model for the plug-in: last value plus the mean weekly change, 8 weeks."""
+def drift_model(y, horizon):
+    """Example user model for the plug-in: last value plus the mean weekly change."""
     import numpy as np
     step = (y[-1] - y[0]) / max(len(y) - 1, 1)
-    return y[-1] + step * np.arange(1, 9)
+    return y[-1] + step * np.arange(1, horizon + 1)
 
 
 @query("model_custom_pandas")

@@ -12,7 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CATALOG_PREFIXES = ("dim_", "fct_", "mart_", "forecast_")
-MAX_COLUMNS_PER_TABLE = 60
+
+# Descriptions of columns whose meaning the name doesn't give away: (table, column, description).
+COLUMN_DOCS = (
+    ("fct_orders", "contribution_margin", "platform revenue less platform cost"),
+    ("fct_orders", "delivery_days", "days from purchase to delivery, delivered orders only"),
+    ("fct_orders", "distance_km", "great-circle distance between customer and primary seller"),
+    ("mart_kpi_daily_region", "on_time_rate", "delivered on or before the estimated date, share of delivered orders"),
+    ("dim_dates", "iso_day_of_week", "1 Monday to 7 Sunday"),
+    ("forecast_accuracy", "horizon_weeks", "weeks ahead; 0 pools all horizons"),
+    ("forecast_accuracy", "wape", "sum of absolute errors over sum of absolute actuals"),
+)
 
 
 def catalog_views(spark: SparkSession, schemas=("analytics", "forecasts")) -> list[tuple[str, str]]:
@@ -28,29 +38,30 @@ def catalog_views(spark: SparkSession, schemas=("analytics", "forecasts")) -> li
 
 
 def catalog_tables(spark: SparkSession, schemas=("analytics", "forecasts")) -> DataFrame:
-    """One row per catalogued table: schema, name, column count, row count. A view that fails
-    to resolve is skipped, as a broken table would be."""
+    """One row per catalogued table: schema, name, column count, row count; a view that fails to
+    resolve is listed with its error and no counts."""
     parts = []
     for schema, table in catalog_views(spark, schemas):
+        label = [F.lit(schema).alias("table_schema"), F.lit(table).alias("table_name")]
         try:
             df = spark.table(f"{schema}__{table}")
             n_cols = len(df.columns)
-        except Exception:  # noqa: BLE001 - a broken table is left out of the catalogue
+        except Exception as e:  # noqa: BLE001 - whatever is wrong with it is reported
+            parts.append(spark.range(1).select(*label, F.lit(None).cast("int").alias("n_columns"), F.lit(None).cast("long").alias("row_count"),
+                                               F.lit(str(e).splitlines()[0]).alias("error")))
             continue
-        parts.append(df.agg(F.count(F.lit(1)).alias("row_count"))
-                       .select(F.lit(schema).alias("table_schema"), F.lit(table).alias("table_name"),
-                               F.lit(n_cols).alias("n_columns"), "row_count"))
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(*label, F.lit(n_cols).alias("n_columns"), "row_count",
+                                                                        F.lit(None).cast("string").alias("error")))
     if not parts:
-        return spark.createDataFrame([], "table_schema string, table_name string, n_columns int, row_count bigint")
+        return spark.createDataFrame([], "table_schema string, table_name string, n_columns int, row_count bigint, error string")
     return reduce(DataFrame.unionByName, parts)
 
 
 def catalog_columns(spark: SparkSession, docs: DataFrame | None = None, schemas=("analytics", "forecasts"),
-                    max_columns: int = MAX_COLUMNS_PER_TABLE) -> DataFrame:
+                    max_columns: int | None = None) -> DataFrame:
     """Columns of every catalogued table with their description ('' when undocumented).
 
-    At most ``max_columns`` columns per table are listed; a table with more gets one extra row
-    whose column name says how many were left out.
+    With ``max_columns`` a table lists that many columns and one more row that counts the others.
     """
     rows = []
     for schema, table in catalog_views(spark, schemas):
@@ -63,10 +74,11 @@ def catalog_columns(spark: SparkSession, docs: DataFrame | None = None, schemas=
     else:
         cols = cols.withColumn("description", F.lit(None).cast("string"))
     cols = cols.withColumn("description", F.coalesce("description", F.lit("")))
-    listed = cols.filter(F.col("ordinal") < max_columns)
+    if max_columns is None:
+        return cols
     more = (cols.filter(F.col("ordinal") >= max_columns).groupBy("table_schema", "table_name")
                 .agg(F.count(F.lit(1)).alias("_n"))
                 .select("table_schema", "table_name", F.lit(max_columns).alias("ordinal"),
                         F.concat(F.lit("... "), F.col("_n").cast("string"), F.lit(" more columns")).alias("column_name"),
                         F.lit("").alias("data_type"), F.lit("").alias("description")))
-    return listed.unionByName(more)
+    return cols.filter(F.col("ordinal") < max_columns).unionByName(more)

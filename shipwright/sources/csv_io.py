@@ -1,8 +1,8 @@
 """Typed CSV ingestion of the raw layer.
 
 Files are read with a declared schema (never inferred): header line present, timestamps as
-``yyyy-MM-dd HH:mm:ss`` zone-less, empty fields as NULL, quoted fields may hold newlines and
-doubled quotes, zip prefixes stay strings so leading zeros survive.
+``yyyy-MM-dd HH:mm:ss`` zone-less, empty fields as NULL, quoted fields may hold doubled quotes and (in
+free-text tables) newlines, zip prefixes stay strings so leading zeros survive.
 """
 
 from __future__ import annotations
@@ -46,8 +46,12 @@ def schema_of(table: str) -> StructType:
     return StructType.fromDDL(RAW_SCHEMAS[table])
 
 
+# Tables with free text, whose quoted fields may hold newlines; only their files must be read whole by one task.
+FREE_TEXT = ("raw_order_reviews",)
+
+
 def _options(reader_or_writer):
-    return (reader_or_writer.option("header", True).option("multiLine", True).option("quote", '"')
+    return (reader_or_writer.option("header", True).option("quote", '"')
             .option("escape", '"').option("timestampNTZFormat", TIMESTAMP_FORMAT).option("nullValue", "")
             .option("emptyValue", None))
 
@@ -55,7 +59,7 @@ def _options(reader_or_writer):
 def read_csv_typed(spark: SparkSession, path: str, table: str, strict: bool = True) -> DataFrame:
     """Read a raw CSV with its declared schema. ``strict`` fails on malformed rows and, via
     ``enforceSchema=false``, on a header that does not name the declared columns."""
-    r = _options(spark.read.schema(schema_of(table)))
+    r = _options(spark.read.schema(schema_of(table))).option("multiLine", table in FREE_TEXT)
     if strict:
         r = r.option("mode", "FAILFAST").option("enforceSchema", False)
     return r.csv(path)
@@ -68,28 +72,33 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 
 def header_report(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Compare each file set's header line with the declared columns (a leading BOM is tolerated).
+    """Compare the first line of every file with the declared columns (a leading BOM is tolerated).
 
-    Header lines are found by a distributed scan of the text (one per part file), so no file
-    is opened on the driver. Output: table, header, ok.
+    The first line is the earliest one of the block at file offset 0; rows of a file's other
+    blocks are dropped as they are read. Output: table, file, header, ok; an empty file is not ok.
     """
     parts = []
     for table, path in paths.items():
-        expected = ",".join(schema_of(table).names)
-        lines = spark.read.text(path).select(F.regexp_replace("value", f"^{BOM}", "").alias("line"))
-        first = lines.filter(F.col("line").startswith(schema_of(table).names[0] + ","))
-        parts.append(first.agg(F.max("line").alias("header"), F.min("line").alias("_min"))
-                          .select(F.lit(table).alias("table"), "header",
-                                  ((F.col("header") == expected) & (F.col("_min") == expected)).alias("ok")))
+        lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                             F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+        first = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("line"))
+        header = F.regexp_replace("line", f"^{BOM}", "")
+        parts.append(first.select(F.lit(table).alias("table"), "file", header.alias("header"),
+                                  F.coalesce(header == ",".join(schema_of(table).names), F.lit(False)).alias("ok")))
     return reduce(DataFrame.unionByName, parts)
 
 
-def row_count_report(loaded: dict[str, DataFrame], expected: dict[str, DataFrame]) -> DataFrame:
-    """(table, rows, expected, ok) for every loaded table, as one lazy union of counts."""
+def row_count_report(loaded: dict[str, DataFrame], expected: dict[str, DataFrame | int]) -> DataFrame:
+    """(table, rows, expected, ok) for every loaded table, as one lazy union of counts.
+
+    ``expected`` is a declared number of rows or the frame the table was loaded from.
+    """
     parts = []
     for table, df in loaded.items():
         a = df.agg(F.count(F.lit(1)).alias("rows"))
-        b = expected[table].agg(F.count(F.lit(1)).alias("expected"))
+        want = expected[table]
+        b = (a.select(F.lit(want).cast("long").alias("expected")) if isinstance(want, int)
+             else want.agg(F.count(F.lit(1)).alias("expected")))
         both = (a.select(F.lit(table).alias("table"), "rows", F.lit(None).cast("long").alias("expected"))
                  .unionByName(b.select(F.lit(table).alias("table"), F.lit(None).cast("long").alias("rows"), "expected"))
                  .groupBy("table").agg(F.max("rows").alias("rows"), F.max("expected").alias("expected")))

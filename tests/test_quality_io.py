@@ -1,6 +1,5 @@
 import datetime as dt
 import os
-import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,23 +30,59 @@ def _write(path, text):
         fh.write(text)
 
 
-def test_typed_csv_keeps_zeros_nulls_newlines_and_timestamps(spark):
-    d = tempfile.mkdtemp(prefix="sw-csv-")
-    _write(os.path.join(d, "c.csv"), "﻿customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,"
-                                     "customer_state\nc1,u1,01037,\"sao\npaulo\",SP\n")
-    c = CSV.read_csv_typed(spark, d, "raw_customers").first()
-    assert c.customer_zip_code_prefix == "01037" and c.customer_city == "sao\npaulo"
-    d2 = tempfile.mkdtemp(prefix="sw-csv-")
-    _write(os.path.join(d2, "r.csv"), "review_id,order_id,review_score,review_comment_title,review_comment_message,"
-                                      "review_creation_date,review_answer_timestamp\n"
-                                      "r1,o1,5,,\"great, \"\"really\"\"\",2017-10-01 00:00:00,2017-10-02 00:00:00\n")
-    r = CSV.read_csv_typed(spark, d2, "raw_order_reviews").first()
-    assert r.review_comment_title is None and r.review_comment_message == 'great, "really"'
-    assert r.review_creation_date == dt.datetime(2017, 10, 1)
-
-
-def test_bad_header_raises(spark):
-    d = tempfile.mkdtemp(prefix="sw-csv-")
-    _write(os.path.join(d, "s.csv"), "seller_id,wrong,seller_city,seller_state\ns1,13023,campinas,SP\n")
+def test_typed_csv_values(spark, tmp_path):
+    d = tmp_path / "customers"
+    d.mkdir()
+    _write(d / "c.csv", "\ufeffcustomer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
+                        'k9,u4,00720,"Nova ""Velha"", sul",ZZ\n')
+    c = CSV.read_csv_typed(spark, str(d), "raw_customers").first()
+    assert c.customer_zip_code_prefix == "00720" and c.customer_city == 'Nova "Velha", sul'
+    d = tmp_path / "reviews"
+    d.mkdir()
+    _write(d / "r.csv", ",".join(CSV.schema_of("raw_order_reviews").names) + '\nq7,o3,2,,"slow\nand ""late""",2021-05-04 03:02:01,\n')
+    r = CSV.read_csv_typed(spark, str(d), "raw_order_reviews").first()
+    assert r.review_comment_title is None and r.review_comment_message == 'slow\nand "late"'
+    assert r.review_creation_date == dt.datetime(2021, 5, 4, 3, 2, 1) and r.review_answer_timestamp is None
+
+
+def test_headers_are_judged_file_by_file(spark, tmp_path):
+    good, bad = "seller_id,seller_zip_code_prefix,seller_city,seller_state", "id,seller_zip_code_prefix,seller_city,seller_state"
+    d = tmp_path / "sellers"
+    d.mkdir()
+    _write(d / "a.csv", f"\ufeff{good}\ns1,1,x,y\n")
+    _write(d / "b.csv", f"{bad}\n{good}\n")                    # a data line that looks like the header
+    out = {os.path.basename(r.file): (r.header, r.ok) for r in CSV.header_report(spark, {"raw_sellers": str(d)}).collect()}
+    assert out == {"a.csv": (good, True), "b.csv": (bad, False)}
     with pytest.raises(Exception):
-        CSV.read_csv_typed(spark, d, "raw_sellers").collect()
+        CSV.read_csv_typed(spark, str(d), "raw_sellers").collect()
+
+
+def test_declared_row_counts(spark):
+    df = spark.range(3)
+    out = {r.table: (r.rows, r.expected, r.ok) for r in CSV.row_count_report({"t": df, "u": df}, {"t": 3, "u": 5}).collect()}
+    assert out == {"t": (3, 3, True), "u": (3, 5, False)}
+
+
+def test_catalogue_lists_everything(spark, tmp_path):
+    from shipwright.sources import catalog as CAT
+    wide = spark.range(2).select(*[F.lit(i).alias(f"c{i}") for i in range(75)])
+    wide.createOrReplaceTempView("wide_test__dim_wide")
+    docs = spark.createDataFrame([("dim_wide", "c70", "the seventieth")], "table_name string, column_name string, description string")
+    cols = CAT.catalog_columns(spark, docs, schemas=("wide_test",)).collect()
+    assert len(cols) == 75 and {r.description for r in cols if r.column_name == "c70"} == {"the seventieth"}
+    assert CAT.catalog_columns(spark, None, ("wide_test",), max_columns=60).count() == 61
+    path = str(tmp_path / "gone")
+    spark.range(1).write.parquet(path)
+    spark.read.parquet(path).selectExpr("id as a").createOrReplaceTempView("wide_test__dim_ok")
+    tables = {r.table_name: (r.row_count, r.error) for r in CAT.catalog_tables(spark, ("wide_test",)).collect()}
+    assert tables == {"dim_wide": (2, None), "dim_ok": (1, None)}
+    for v in ("wide_test__dim_wide", "wide_test__dim_ok"):
+        spark.catalog.dropTempView(v)
+
+
+def test_calendar_spans_the_years_of_the_dates(spark):
+    from shipwright.operators.timeseries import date_spine
+    df = spark.createDataFrame([(dt.date(2019, 5, 6),), (dt.date(2020, 2, 1),), (None,)], "d date")
+    days = [r.date_day for r in date_spine(df, "d").orderBy("date_day").collect()]
+    assert len(days) == 365 + 366 and days[0] == dt.date(2019, 1, 1) and days[-1] == dt.date(2020, 12, 31)
+    assert date_spine(df.filter("d is null"), "d").count() == 0
