@@ -203,3 +203,14 @@ BACKTEST_ORACLE["pooled_features_delivery"] = sql("""
         from ix_delivery where region_level = 'state' window w as (partition by region_code order by week_start))
     select series, region_code, week_start, t, v - level_4 as target, woy_sin, woy_cos, level_4, level_8, lag_1, lag_2, lag_3, lag_4,
            lag_6, lag_8, exog_log_volume from f where t >= 8""", "delivery")
+
+BACKTEST_ORACLE["uni_dq_forecast_marts"] = sql("\nunion all\n".join(
+    f"select '{t}__{m}__{c}' as test_id, '{m}' as model, '{c}' as column_name, '{t}' as test, cast(count(*) as bigint) as failures from ({v}) v"
+    for t, m, c, v in [
+        ("accepted_values", "mart_forecast_vs_actual", "series", "select distinct series from fva where series not in ('demand_orders', 'delivery_days')"),
+        ("accepted_values", "mart_forecast_vs_actual", "region_level",
+         "select distinct region_level from fva where region_level not in ('state', 'macro_region', 'country')"),
+        ("between", "mart_forecast_vs_actual", "horizon_weeks", "select 1 from fva where horizon_weeks not between 1 and 52"),
+        ("not_null", "mart_forecast_vs_actual", "forecast", "select 1 from fva where forecast is null"),
+        ("not_null", "mart_forecast_accuracy_latest", "wape", "select 1 from latest where wape is null"),
+        ("non_negative", "mart_forecast_accuracy_latest", "wape", "select 1 from latest where wape < 0")]), run=True)

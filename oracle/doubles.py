@@ -131,4 +131,17 @@ DOUBLE_COLUMNS = {
     'rows_to_json': [],
     'agg_approx_median': ['median_delivery_days_approx'],
     'model_custom_pandas': ['forecast'],
+    'dq_probe_suite': [],
+    'dq_probe_unique': [],
+    'dq_probe_not_null': [],
+    'dq_probe_accepted_values': [],
+    'dq_probe_relationships': [],
+    'dq_probe_row_count_matches': [],
+    'dq_probe_unique_combination': [],
+    'dq_probe_margin_components': [],
+    'dq_probe_delivered_timestamp': [],
+    'dq_probe_kpi_reconcile': [],
+    'uni_dq_forecast_marts': [],
+    'dq_probe_non_negative': ['value'],
+    'dq_probe_between': ['value'],
 }

@@ -97,3 +97,49 @@ QUALITY_ORACLE = {
         "where m.n <> f.n"),
 }
 
+QUALITY_ORACLE |= {
+    "dq_probe_suite": _union([
+        f"select '{i}' as test_id, '{m}' as model, {c} as column_name, '{t}' as test, cast(count(*) as bigint) as failures from ({v}) v"
+        for i, m, c, t, v in [
+            ("unique__raw_order_reviews__review_id", "raw_order_reviews", "'review_id'", "unique",
+             "select review_id from raw_order_reviews group by 1 having count(*) > 1"),
+            ("not_null__raw_orders__order_approved_at", "raw_orders", "'order_approved_at'", "not_null",
+             "select 1 from raw_orders where order_approved_at is null"),
+            ("accepted_values__fct_orders__order_status", "fct_orders", "'order_status'", "accepted_values",
+             "select distinct order_status from fct_orders where order_status not in ('delivered', 'shipped')"),
+            ("relationships__raw_customers__customer_zip_code_prefix", "raw_customers", "'customer_zip_code_prefix'", "relationships",
+             "select 1 from raw_customers where customer_zip_code_prefix not in (select geolocation_zip_code_prefix from raw_geolocation)"),
+            ("non_negative__fct_orders__delivery_delay_days", "fct_orders", "'delivery_delay_days'", "non_negative",
+             "select 1 from fct_orders where delivery_delay_days < 0"),
+            ("between__fct_orders__delivery_delay_days", "fct_orders", "'delivery_delay_days'", "between",
+             "select 1 from fct_orders where abs(delivery_delay_days) > 3"),
+            ("row_count_matches__stg_order_reviews__raw_order_reviews", "stg_order_reviews", "cast(null as varchar)", "row_count_matches",
+             "select 1 where (select count(*) from stg_order_reviews) <> (select count(*) from raw_order_reviews)"),
+            ("unique_combination__raw_order_items__product_id_seller_id", "raw_order_items", "cast(null as varchar)", "unique_combination",
+             "select 1 from raw_order_items group by product_id, seller_id having count(*) > 1"),
+        ]]),
+    "dq_probe_unique": with_models("""select 'raw_order_reviews' as model, 'review_id' as column_name, cast(review_id as varchar) as value,
+        count(*) as n_records from raw_order_reviews group by review_id having count(*) > 1"""),
+    "dq_probe_not_null": with_models("""select 'raw_orders' as model, 'order_approved_at' as column_name, cast(order_id as varchar) as record_key
+        from raw_orders where order_approved_at is null"""),
+    "dq_probe_accepted_values": with_models("""select 'fct_orders' as model, 'order_status' as column_name, order_status as value,
+        count(*) as n_records from fct_orders where order_status not in ('delivered', 'shipped') group by order_status"""),
+    "dq_probe_relationships": with_models("""select 'raw_customers' as model, 'customer_zip_code_prefix' as column_name,
+        customer_zip_code_prefix as value, count(*) as n_records from raw_customers c
+        where not exists (select 1 from raw_geolocation g where g.geolocation_zip_code_prefix = c.customer_zip_code_prefix) group by 3"""),
+    "dq_probe_non_negative": with_models("""select 'fct_orders' as model, 'delivery_delay_days' as column_name,
+        cast(order_id as varchar) as record_key, cast(delivery_delay_days as double) as value from fct_orders where delivery_delay_days < 0"""),
+    "dq_probe_between": with_models("""select 'fct_orders' as model, 'delivery_delay_days' as column_name,
+        cast(order_id as varchar) as record_key, cast(delivery_delay_days as double) as value from fct_orders where abs(delivery_delay_days) > 3"""),
+    "dq_probe_row_count_matches": with_models("""select 'stg_order_reviews' as model, 'raw_order_reviews' as compare_model, a.n as model_rows,
+        b.n as compare_rows from (select count(*) as n from stg_order_reviews) a, (select count(*) as n from raw_order_reviews) b where a.n <> b.n"""),
+    "dq_probe_unique_combination": with_models("""select 'raw_order_items' as model, 'product_id,seller_id' as combination,
+        product_id || '|' || seller_id as key_values, count(*) as n_records from raw_order_items group by product_id, seller_id having count(*) > 1"""),
+    "dq_probe_margin_components": with_models("""select order_id from fct_orders
+        where abs(contribution_margin + case when n_items = 2 then 1 else 0 end - (platform_revenue - platform_cost)) > 0.001"""),
+    "dq_probe_delivered_timestamp": with_models("""select count(*) as missing from fct_orders
+        where is_delivered and (delivered_at is null or n_items = 3) having count(*) > 10"""),
+    "dq_probe_kpi_reconcile": with_models("""select m.n as mart_orders, f.n as fct_orders
+        from (select cast(sum(orders) as bigint) as n from mart_kpi_daily_region where orders > 1) m,
+             (select count(*) as n from fct_orders where not is_canceled) f where m.n <> f.n"""),
+}

@@ -103,6 +103,24 @@ DECLARED = [
     ("dim_regions", "macro_region", "accepted_values", MACRO_REGIONS),
 ]
 
+# The tests of the two forecast marts; their models come from a run and are set on the context.
+FORECAST_DECLARED = [
+    ("mart_forecast_vs_actual", "series", "accepted_values", ["demand_orders", "delivery_days"]),
+    ("mart_forecast_vs_actual", "region_level", "accepted_values", ["state", "macro_region", "country"]),
+    ("mart_forecast_vs_actual", "horizon_weeks", "between", (1, 52)), ("mart_forecast_vs_actual", "forecast", "not_null", None),
+    ("mart_forecast_accuracy_latest", "wape", "not_null", None), ("mart_forecast_accuracy_latest", "wape", "non_negative", None),
+]
+
+# Checks that the data does violate, so that a check which never reports anything can't pass unseen.
+PROBES = [
+    ("raw_order_reviews", "review_id", "unique", None), ("raw_orders", "order_approved_at", "not_null", None),
+    ("fct_orders", "order_status", "accepted_values", ["delivered", "shipped"]),
+    ("raw_customers", "customer_zip_code_prefix", "relationships", ("raw_geolocation", "geolocation_zip_code_prefix")),
+    ("fct_orders", "delivery_delay_days", "non_negative", None), ("fct_orders", "delivery_delay_days", "between", (-3, 3)),
+    ("stg_order_reviews", None, "row_count_matches", "raw_order_reviews"),
+    ("raw_order_items", None, "unique_combination", ("product_id", "seller_id")),
+]
+
 ROW_LEVEL = ("not_null", "non_negative", "between")
 
 
@@ -165,40 +183,40 @@ def set_level_violations(wh, d) -> DataFrame:
     raise ValueError(test)
 
 
-def _of(test):
-    return [d for d in DECLARED if d[2] == test]
+def _of(test, declared):
+    return [d for d in declared if d[2] == test]
 
 
 def _as_text(col):
     return F.col(col).cast("string")
 
 
-def unique_violations(wh) -> DataFrame:
+def unique_violations(wh, declared=DECLARED) -> DataFrame:
     parts = [Q.unique(wh[m], c).select(F.lit(m).alias("model"), F.lit(c).alias("column_name"),
                                        _as_text(c).alias("value"), "n_records")
-             for m, c, _, _ in _of("unique")]
+             for m, c, _, _ in _of("unique", declared)]
     return reduce(DataFrame.unionByName, parts)
 
 
-def not_null_violations(wh) -> DataFrame:
+def not_null_violations(wh, declared=DECLARED) -> DataFrame:
     parts = [Q.not_null(wh[m], c).select(F.lit(m).alias("model"), F.lit(c).alias("column_name"),
                                          _as_text(wh[m].columns[0]).alias("record_key"))
-             for m, c, _, _ in _of("not_null")]
+             for m, c, _, _ in _of("not_null", declared)]
     return reduce(DataFrame.unionByName, parts)
 
 
-def accepted_values_violations(wh) -> DataFrame:
+def accepted_values_violations(wh, declared=DECLARED) -> DataFrame:
     parts = [Q.accepted_values(wh[m], c, a).select(F.lit(m).alias("model"), F.lit(c).alias("column_name"),
                                                    _as_text(c).alias("value"), "n_records")
-             for m, c, _, a in _of("accepted_values")]
+             for m, c, _, a in _of("accepted_values", declared)]
     return reduce(DataFrame.unionByName, parts)
 
 
-def relationship_violations(wh) -> DataFrame:
+def relationship_violations(wh, declared=DECLARED) -> DataFrame:
     parts = [Q.relationships(wh[m], c, wh[a[0]], a[1])
              .groupBy(_as_text(c).alias("value")).agg(F.count(F.lit(1)).alias("n_records"))
              .select(F.lit(m).alias("model"), F.lit(c).alias("column_name"), "value", "n_records")
-             for m, c, _, a in _of("relationships")]
+             for m, c, _, a in _of("relationships", declared)]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -210,26 +228,26 @@ def _valued(test, fn):
     return reduce(DataFrame.unionByName, parts)
 
 
-def non_negative_violations(wh) -> DataFrame:
-    return _valued([(m, c, a, wh[m]) for m, c, _, a in _of("non_negative")], lambda df, c, a: Q.non_negative(df, c))
+def non_negative_violations(wh, declared=DECLARED) -> DataFrame:
+    return _valued([(m, c, a, wh[m]) for m, c, _, a in _of("non_negative", declared)], lambda df, c, a: Q.non_negative(df, c))
 
 
-def between_violations(wh) -> DataFrame:
-    return _valued([(m, c, a, wh[m]) for m, c, _, a in _of("between")], lambda df, c, a: Q.between(df, c, *a))
+def between_violations(wh, declared=DECLARED) -> DataFrame:
+    return _valued([(m, c, a, wh[m]) for m, c, _, a in _of("between", declared)], lambda df, c, a: Q.between(df, c, *a))
 
 
-def row_count_violations(wh) -> DataFrame:
+def row_count_violations(wh, declared=DECLARED) -> DataFrame:
     parts = [Q.row_count_matches(wh[m], wh[a]).select(F.lit(m).alias("model"), F.lit(a).alias("compare_model"),
                                                       "model_rows", "compare_rows")
-             for m, _, _, a in _of("row_count_matches")]
+             for m, _, _, a in _of("row_count_matches", declared)]
     return reduce(DataFrame.unionByName, parts)
 
 
-def unique_combination_violations(wh) -> DataFrame:
+def unique_combination_violations(wh, declared=DECLARED) -> DataFrame:
     parts = [Q.unique_combination(wh[m], list(a))
              .select(F.lit(m).alias("model"), F.lit(",".join(a)).alias("combination"),
                      F.concat_ws("|", *[_as_text(x) for x in a]).alias("key_values"), F.col("n").alias("n_records"))
-             for m, _, _, a in _of("unique_combination")]
+             for m, _, _, a in _of("unique_combination", declared)]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -253,3 +271,13 @@ def kpi_reconcile(wh) -> DataFrame:
     both = mart.unionByName(fct).agg(F.sum("_m").alias("mart_orders"), F.sum("_f").alias("fct_orders"))
     return both.filter(~F.col("mart_orders").eqNullSafe(F.col("fct_orders")))
 
+
+def spoilt(wh):
+    """A context whose fact and daily mart break the singular tests in known places."""
+    fct = wh["fct_orders"]
+    out = type(wh)(wh.spark, wh.raw, wh.params)
+    out.override("mart_kpi_daily_region", wh["mart_kpi_daily_region"].filter("orders > 1"))
+    out.override("fct_orders", fct.withColumns({
+        "contribution_margin": F.col("contribution_margin") + F.when(F.col("n_items") == 2, 1.0).otherwise(0.0),
+        "delivered_at": F.when(F.coalesce(F.col("n_items") != 3, F.lit(True)), F.col("delivered_at"))}))
+    return out

@@ -110,6 +110,19 @@ for _name, _fn in _DQ.items():
     QUERIES[_name] = (lambda f: lambda spark, sf_dir: f(warehouse(spark, sf_dir)))(_fn)
 
 
+_PROBE_FNS = {
+    "dq_probe_suite": dq.failures_by_test, "dq_probe_unique": dq.unique_violations, "dq_probe_not_null": dq.not_null_violations,
+    "dq_probe_accepted_values": dq.accepted_values_violations, "dq_probe_relationships": dq.relationship_violations,
+    "dq_probe_non_negative": dq.non_negative_violations, "dq_probe_between": dq.between_violations,
+    "dq_probe_row_count_matches": dq.row_count_violations, "dq_probe_unique_combination": dq.unique_combination_violations,
+}
+for _name, _fn in _PROBE_FNS.items():
+    QUERIES[_name] = (lambda f: lambda spark, sf_dir: f(warehouse(spark, sf_dir), dq.PROBES))(_fn)
+for _name, _fn in {"dq_probe_margin_components": dq.margin_components, "dq_probe_delivered_timestamp": dq.delivered_without_timestamp,
+                   "dq_probe_kpi_reconcile": dq.kpi_reconcile}.items():
+    QUERIES[_name] = (lambda f: lambda spark, sf_dir: f(dq.spoilt(warehouse(spark, sf_dir))))(_fn)
+
+
 # ------------------------------------------------------------------ forecasting
 from datetime import datetime  # noqa: E402
 
@@ -255,6 +268,14 @@ for _name, _fn in _RUN_READERS.items():
         QUERIES[_tag + _name] = (lambda f, cfg: lambda spark, sf_dir: f(warehouse(spark, sf_dir), _run(spark, sf_dir, cfg)))(_fn, _cfg)
 
 
+@query("uni_dq_forecast_marts")
+def _dq_forecast(spark, sf_dir):
+    wh, out = warehouse(spark, sf_dir), _run(spark, sf_dir, UNI_CFG)
+    wh.override("mart_forecast_vs_actual", _fva(wh, out))
+    wh.override("mart_forecast_accuracy_latest", _latest(wh, out))
+    return dq.failures_by_test(wh, dq.FORECAST_DECLARED)
+
+
 # ------------------------------------------------------------------ query-log analytics
 from shipwright.operators import querylog as QL  # noqa: E402
 from shipwright.sources import testbed_logs as LOGS  # noqa: E402
