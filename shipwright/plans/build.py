@@ -34,16 +34,35 @@ STEPS = (
 )
 
 
-def build_warehouse(wh, root: str, tables=TABLE_MODELS, partitioning=None) -> dict[str, str]:
-    """Write every table model under ``{root}/analytics`` and point the context at the files."""
-    partitioning = DEFAULT_PARTITIONING if partitioning is None else partitioning
-    paths = {name: f"{root.rstrip('/')}/analytics/{name}" for name in tables}
-    for step in STEPS:
-        frames = {name: wh[name] for name in step if name in paths}     # plans are put together one at a time
+# Views that several data tests and later models read: written too when a whole suite runs over them.
+VIEW_STEPS = (
+    ("stg_orders", "stg_customers", "stg_sellers", "stg_products", "stg_order_items", "stg_order_payments", "stg_order_reviews",
+     "stg_geolocation_zip"),
+    ("int_order_items_agg", "int_order_payments_agg", "int_order_reviews_latest", "int_order_distance"),
+)
+
+
+def _write_steps(wh, root: str, schema: str, steps, partitioning) -> dict[str, str]:
+    paths = {}
+    for step in steps:
+        frames = {name: wh[name] for name in step}     # plans are put together one at a time
         if not frames:
             continue
         with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-            written = pool.map(lambda kv: (kv[0], materialize(kv[1], root, "analytics", kv[0], partitioning.get(kv[0]))), frames.items())
+            written = pool.map(lambda kv: (kv[0], materialize(kv[1], root, schema, kv[0], partitioning.get(kv[0]))), frames.items())
         for name, df in written:
             wh.override(name, df)
+            paths[name] = f"{root.rstrip('/')}/{schema}/{name}"
     return paths
+
+
+def build_warehouse(wh, root: str, tables=TABLE_MODELS, partitioning=None) -> dict[str, str]:
+    """Write every table model under ``{root}/analytics`` and point the context at the files."""
+    steps = [[name for name in step if name in tables] for step in STEPS]
+    return _write_steps(wh, root, "analytics", steps, DEFAULT_PARTITIONING if partitioning is None else partitioning)
+
+
+def build_for_checks(wh, root: str) -> None:
+    """Write every model that data tests read, views included, so that each is computed once for all its tests."""
+    _write_steps(wh, root, "staging", VIEW_STEPS, {})
+    build_warehouse(wh, root)

@@ -93,7 +93,6 @@ def _kpi_previous_period(spark, sf_dir):
 from shipwright.plans import quality_suite as dq  # noqa: E402
 
 _DQ = {
-    "dq_suite": dq.failures_by_test,
     "dq_unique": dq.unique_violations,
     "dq_not_null": dq.not_null_violations,
     "dq_accepted_values": dq.accepted_values_violations,
@@ -110,6 +109,13 @@ for _name, _fn in _DQ.items():
     QUERIES[_name] = (lambda f: lambda spark, sf_dir: f(warehouse(spark, sf_dir)))(_fn)
 
 
+@query("dq_suite")
+def _dq_suite(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    build_for_checks(wh, _scratch(spark, "dq"))
+    return dq.failures_by_test(wh)
+
+
 _PROBE_FNS = {
     "dq_probe_suite": dq.failures_by_test, "dq_probe_unique": dq.unique_violations, "dq_probe_not_null": dq.not_null_violations,
     "dq_probe_accepted_values": dq.accepted_values_violations, "dq_probe_relationships": dq.relationship_violations,
@@ -331,7 +337,7 @@ def _log_history_marks(spark, sf_dir):
 # ------------------------------------------------------------------ sources, sinks, catalogue
 import uuid as _uuid  # noqa: E402
 
-from shipwright.plans.build import build_warehouse  # noqa: E402
+from shipwright.plans.build import build_for_checks, build_warehouse  # noqa: E402
 from shipwright.session import scratch_root  # noqa: E402
 from shipwright.sources import catalog as CAT  # noqa: E402
 from shipwright.sources import csv_io as CSV  # noqa: E402
