@@ -12,8 +12,8 @@ next document in doc_id order. The order comes from a range partitioning of the
 hash) keys alone; texts are shuffled once, by key, and a document sends the document before it only
 the head that one needs.
 
-Words are the runs of characters other than blank and 0x09-0x0D after A-Z is lower-cased; one to four words
-are a single shingle. Defined cases: null text counts as empty; a text without words has an
+Words are the lower-cased runs of characters other than blank and 0x09-0x0D; one to four words are a
+single shingle. Defined cases: null text counts as empty; a text without words has an
 empty fingerprint, whose likeness is 1 to another empty one and else 0; rows with equal doc_id
 and text are one document with one next document; a null doc_id sorts first; the only
 document of a table is its own next one; an empty table gives no rows; other columns are not read.
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shipwright.llm.common import ascii_lower, stage
+from shipwright.llm.common import stage
 
 BINS = 128                    # a power of two
 BITS = 8
@@ -34,8 +34,8 @@ _SHIFT = 63 - (BINS.bit_length() - 1)
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds the fingerprint of a text column; the steps are columns of their own, computed once each."""
-    hashes, low, bins = f"_{out}_h", f"_{out}_low", f"_{out}_bins"
-    words = F.filter(F.split(ascii_lower(F.col(text)), "[ \t-\r]+"), lambda w: w != "")
+    hashes, low = f"_{out}_h", f"_{out}_low"
+    words = F.filter(F.split(F.lower(text), "[ \t-\r]+"), lambda w: w != "")
     df = df.withColumn(hashes, F.transform(words, lambda w: F.xxhash64(w)))
     shingles = (
         F.when(F.size(hashes) >= WIDTH, F.transform(
@@ -49,20 +49,28 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
         F.shiftright(x, _SHIFT) != F.shiftright(F.get(F.col(hashes), i - 1), _SHIFT)))
     df = df.withColumn(low, first)
 
+    def bin_of(x: Column) -> Column:
+        return F.shiftright(x, _SHIFT).cast("int")
+
     def borrowed(b: Column) -> Column:
         """Value of the non-empty bin with the smallest hash together with bin b."""
-        ranked = F.transform(F.col(low), lambda x: F.struct(F.xxhash64(b, F.shiftright(x, _SHIFT)).alias("rank"), x.alias("x")))
+        ranked = F.transform(F.col(low), lambda x: F.struct(F.xxhash64(b, bin_of(x)).alias("rank"), x.alias("x")))
         return F.array_min(ranked)["x"]
 
-    by_bin = F.map_from_entries(F.transform(F.col(low), lambda x: F.struct(F.shiftright(x, _SHIFT), x)))
-    df = df.withColumn(bins, F.when(F.size(low) < BINS, by_bin))
-    dense = F.when(F.size(low) == BINS, F.col(low)).otherwise(F.transform(
-        F.sequence(F.lit(0).cast("long"), F.lit(BINS - 1).cast("long")),
-        lambda b: F.coalesce(F.element_at(F.col(bins), b), borrowed(b))))
+    def filled(start: Column, stop: Column) -> Column:
+        """Values of the empty bins start..stop."""
+        none = F.expr("cast(array() as array<bigint>)")
+        return F.when(start <= stop, F.transform(F.sequence(start, stop), borrowed)).otherwise(none)
+
+    # the bins in order: before each non-empty one the empty ones since its forerunner
+    upto = F.transform(F.col(low), lambda x, i: F.concat(
+        filled(F.when(i == 0, 0).otherwise(bin_of(F.get(F.col(low), i - 1)) + 1), bin_of(x) - 1), F.array(x)))
+    after = filled(bin_of(F.element_at(F.col(low), -1)) + 1, F.lit(BINS - 1))
+    dense = F.when(F.size(low) == BINS, F.col(low)).otherwise(F.concat(F.flatten(upto), after))
     # bits of (value, bin), so values borrowed by many bins don't agree by chance in all of them at once
     packed = F.array_join(F.transform(dense, lambda x, b: F.substring(
         F.hex(F.xxhash64(x, b).bitwiseAND(F.lit((1 << BITS) - 1)) + F.lit(1 << BITS)), 2, BITS // 4)), "")
-    return df.withColumn(out, F.when(F.size(low) == 0, F.lit("")).otherwise(F.lower(packed))).drop(hashes, low, bins)
+    return df.withColumn(out, F.when(F.size(low) == 0, F.lit("")).otherwise(F.lower(packed))).drop(hashes, low)
 
 
 def likeness(a: str, b: str) -> Column:
