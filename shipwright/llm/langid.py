@@ -235,7 +235,9 @@ def predict(docs: DataFrame, model: Model, keep: list[str], pred: str = "lang_pr
     schema = StructType([base.schema[c] for c in keep] + [StructField(pred, StringType()), StructField(score, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(held.value)
+        # the worker keeps the broadcast model between tasks, and with it the words scored so far
+        scorer = held.value.__dict__.setdefault("scorer", None) or Scorer(held.value)
+        held.value.scorer = scorer
         for batch in batches:
             for lo, hi in tokens.chunks(batch.column(at).fill_null("")):
                 part = batch.slice(lo, hi - lo)
