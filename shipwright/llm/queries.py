@@ -92,6 +92,31 @@ def _op7(spark, sf_dir):
     return ngram_join.near_duplicate_components(table(spark, sf_dir, "documents"))
 
 
+ORACLE["op7_ngram_jaccard_join"] = """
+with recursive w as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x20\\x09-\\x0D]+') as ws from documents
+), s as (
+    select doc_id, case when len(ws) >= 5 then list_distinct([array_to_string(ws[i:i + 4], ' ') for i in range(1, len(ws) - 3)])
+                        when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end as grams from w
+), x as (
+    select doc_id, len(grams) as n, unnest(grams) as gram from s
+), shared as (
+    select a.doc_id as a, b.doc_id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as common
+    from x a join x b on a.gram = b.gram and a.doc_id < b.doc_id group by a.doc_id, b.doc_id
+), links as (
+    select a, b from shared where 100 * common >= 80 * (na + nb - common)
+), ways as (
+    select a, b from links union all select b, a from links
+), reach as (
+    select doc_id as start, doc_id as goal from documents
+    union select r.start, w.b from reach r join ways w on w.a = r.goal
+)
+select s.doc_id, cast(len(s.grams) as bigint) as n_shingles, r.component_id
+from s join (select start, min(goal) as component_id from reach group by start) r on r.start = s.doc_id
+"""
+
+
 @query("op8_license_scan")
 def _op8(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
