@@ -48,7 +48,11 @@ def ship_package(spark: SparkSession) -> None:
     """Give the package to the executors' Python workers, unless their path already has it."""
     package = os.path.dirname(os.path.abspath(__file__))
     root, app = os.path.dirname(package), spark.sparkContext.applicationId
-    if app in _SHIPPED or os.getcwd() == root or root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+    master = spark.sparkContext.master
+    # workers on this machine see the driver's working folder (local) or its PYTHONPATH (local-cluster too)
+    seen = (is_local(master) and os.getcwd() == root) or (
+        master.startswith("local") and root in os.environ.get("PYTHONPATH", "").split(os.pathsep))
+    if app in _SHIPPED or seen:
         return
     name = os.path.basename(package)
     spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), name), "zip", root, name))
