@@ -57,6 +57,7 @@ def _counted(path: str):
                 n = enc.counts(texts.slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64())],
                                                  ["content_digest", "n_tokens"])
+        enc.forget()
     return run
 
 

@@ -3,7 +3,7 @@
 Byte-pair encoders work inside pre-tokens, so a text may be cut at any place that is certainly
 a pre-token boundary and the parts encoded apart. ``PieceEncoder`` cuts a batch of texts with
 Arrow kernels, dictionary-encodes the pieces, asks the library for each distinct piece once
-(kept in a bounded cache of the Python worker) and gathers the ids back with numpy. Texts with
+(kept in a bounded cache while a task runs) and gathers the ids back with numpy. Texts with
 anything the cutting rule doesn't cover go to the library whole, so the ids are always those
 of ``Tokenizer.encode(text, add_special_tokens=False)``.
 """
@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark runs the tasks; no threads inside one
 
-MAX_CACHED_PIECES = 600_000   # entries; the cache is emptied when it is full
+MAX_CACHED_PIECES = 400_000   # entries; the cache is emptied when it is full
 CHUNK_BYTES = 6 << 20         # texts handled at once
 JOINED = 64                   # distinct pieces given to the library in one string
 
@@ -64,6 +64,10 @@ class PieceEncoder:
         self.style = style
         self.cache: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Empties the cache: a reused worker must not carry it into the tasks of other stages."""
+        self.cache.clear()
+
     def whole(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
