@@ -188,11 +188,6 @@ WORDINGS = [
 #: Phrases of the base scan: words, label.
 BASE = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 
-#: Every rule's matches hold one of these, so a text with none of them needs no rule tried.
-GATE = ["licen", "copyright", "copyleft", "permission", "warrant", "public domain", "spdx", "redistribut", "all rights reserved",
-        "confidential", "as is", "cc0", "cc by", "creative commons", "gnu org", "endorse", "advertising", "includes software",
-        "includes php", "same terms as perl", "beer in return", "without restriction", "sil org ofl", "eclipse org legal", "mozilla org"]
-
 _GRANT = r"(?:licen[cs]ed|released|distributed|available|provided|published|covered|dual licen[cs]ed) (?:to you )?(?:under|by|with) (?:the )?(?:terms of )?(?:the )?"
 _NOTICE = r"(?:this (?:file|work|project|program|software|library|package|document) is )"
 
@@ -215,3 +210,12 @@ def rules() -> list[Rule]:
         if keyword in ("cc by", "creative commons") or "license" in regex:    # the name says it is a license
             out.append(Rule(label, 2, keyword, regex))
     return out
+
+
+def gate(found: list[Rule]) -> list[str]:
+    """The rules' keywords without those that hold another one: a text with none of them has no rule to try."""
+    keywords = {r.keyword for r in found}
+    return sorted(k for k in keywords if not any(o != k and o in k for o in keywords))
+
+
+GATE = gate(rules())

@@ -1,8 +1,8 @@
 """License scan with ordered signature rules, in built-in functions.
 
-A text becomes its words (A-Z lower-cased, marks as blanks) with one blank between them. Texts without
-any gate word are done after that. For the others each rule whose keyword the text holds is tried;
-its matches are intervals of words. An interval that lies inside another one of a higher or equal
+A text becomes its words (A-Z lower-cased, marks as blanks) with one blank between them. The rules'
+distinct keywords are looked up once a text; a text with none of them is done after that. For the others
+each rule whose keyword the text holds is tried; its matches are intervals of words. An interval that lies inside another one of a higher or equal
 priority (of equal ones: the longer, then the earlier rule) is suppressed; the rest give the labels.
 Base phrases are counted at all their places and are never suppressed.
 
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shipwright.llm.common import ascii_lower
-from shipwright.llm.license_rules import BASE, GATE, Rule, rules
+from shipwright.llm.license_rules import BASE, Rule, rules
 
 CONFIDENCE = {3: 0.95, 2: 0.8, 1: 0.5}      # of a detection, by the rule's priority
 _PRIORITIES = sorted(CONFIDENCE)
@@ -73,20 +73,18 @@ def detections(docs: DataFrame, found: list[Rule] | None = None) -> DataFrame:
     df = with_canonical(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "text").drop("text")
     df = df.withColumn("text_row", F.monotonically_increasing_id())
     df = df.withColumn("n_words", F.expr(_blanks("canon") + " - 1").cast("long"))
-    gate = F.lit(False)
-    for word in GATE:
-        gate = gate | F.contains("canon", F.lit(word))
-    df = df.withColumn("gated", gate)
+    keywords = F.array(*[F.lit(k) for k in sorted({r.keyword for r in found})])
+    df = df.withColumn("keywords", F.filter(keywords, lambda k: F.contains("canon", k)))
     base = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(_bounded(phrase)).alias("re")) for phrase, label in BASE])
-    df = df.withColumn("base_rules", F.when(F.col("gated"), base))
+    df = df.withColumn("base_rules", F.when(F.contains("canon", F.lit("license ")), base))
     df = df.withColumn("base", F.expr(f"""
-        transform(transform(filter(base_rules, r -> contains(canon, 'license ')),
+        transform(transform(base_rules,
                             r -> struct(r.label as label, split(canon, r.re, -1) as p, regexp_extract_all(canon, r.re, 0) as m)),
                   c -> struct(c.label as label, if(size(c.m) = 0, cast(array() as array<struct<s: int, e: int>>),
                                                    {_places('c.p', 'c.m')}) as at))""")).drop("base_rules")
-    df = df.withColumn("rules", F.when(F.col("gated"), _rule_table(found)))
+    df = df.withColumn("rules", F.when(F.size("keywords") > 0, _rule_table(found)))
     df = df.withColumn("hits", F.expr("""
-        filter(transform(filter(rules, r -> contains(canon, r.kw)),
+        filter(transform(filter(rules, r -> array_contains(keywords, r.kw)),
                          r -> struct(r.rule as rule, r.prio as prio, r.label as label, r.re as re,
                                      regexp_extract_all(canon, r.re, 0) as m)), c -> size(c.m) > 0)""")).drop("rules")
     df = df.withColumn("hits", F.expr("""

@@ -56,6 +56,42 @@ def test_scan_matches_brute_force(spark, odd_docs):
     assert licenses.scan(odd_docs).count() == 9 and licenses.scan(odd_docs.limit(0)).count() == 0
 
 
+def generated(tree, rnd):
+    """A text that the parsed regex matches, with what its lookahead asks for."""
+    out = ""
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "IN":
+            kind, v = arg[0]
+            out += chr(v[0] if str(kind) == "RANGE" else v)
+        elif name == "BRANCH":
+            out += generated(rnd.choice(arg[1]), rnd)
+        elif name == "SUBPATTERN":
+            out += generated(arg[3], rnd)
+        elif name == "MAX_REPEAT":
+            out += "".join(generated(arg[2], rnd) for _ in range(rnd.randint(arg[0], min(arg[1], 4))))
+        else:
+            assert name == "ASSERT", name
+            out += generated(arg[1], rnd)
+    return out
+
+
+def test_every_rule_form_passes_the_gate(spark, rnd):
+    from re import _parser
+    texts = ["This program is distributed under the terms of the GNU GPL version 2", "released under the MIT", "this code is GPL v2 only"]
+    for r in RULES:
+        tree = _parser.parse(r.regex)
+        for text in [generated(tree, rnd) for _ in range(3)]:
+            texts.append(f"a {text} b" + ("" if r.keyword in text else f" {r.keyword}"))      # some wordings ask for a word elsewhere
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: tuple(r)[1:] for r in licenses.scan(df).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == brute_scan(t) and got[i][-2], t
+    assert [got[i][-2] for i in range(3)] == ["gpl-2.0", "mit", "gpl-2.0"]
+
+
 def test_rules_are_many_and_compile():
     assert len(RULES) > 300 and all(re.compile(r.regex) for r in RULES)
 
