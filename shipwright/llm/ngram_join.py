@@ -12,15 +12,16 @@ the rest:
   and where even that is short, its single shingles;
 * a partner agrees in all but H of the signatures, so a document is only compared further if it shares
   more of them than it has to spare (its signatures less H + 1);
-* a signature that more than ``POPULAR`` documents share costs too much: a document skips it as long
-  as its other signatures still exceed H. Only documents that depend on popular signatures
-  ("unsafe") are compared inside them.
+* of the signatures a partner must share some with, a document keeps only the rarest: all of its open ones less its
+  spare. Two similar documents share more signatures than either has to spare, so, with all signatures in one
+  order by holders, the rarest they share is among those that both keep.
 
 Links are found in two rounds, both verified on the whole sets. A signature's hub is its smallest
 id. First every document is paired with the hub it shares most signatures with: a large group of near
 copies is connected by as many pairs as it has documents, not by their square. Then, among documents
 that share a signature and are still in different components, all remaining pairs are
-compared in place. Pairs pass a parity sketch (a lower bound of the difference, so it never loses a
+compared in place; documents of a signature beyond ``POPULAR`` are cut into blocks, and each pair of blocks is a
+tile of its own, dealt to any task. Pairs pass a parity sketch (a lower bound of the difference, so it never loses a
 link) before their sets are fetched. The result is the connected components of all links.
 
 Scale: signatures are (8-byte signature, id) rows, shuffled and sorted once and read as a
@@ -39,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shipwright.llm import shingles as S
@@ -50,7 +51,7 @@ NUM, DEN = 80, 100               # similarity as a ratio of whole numbers
 BAND_RATIO = 1.5
 SEGMENTS_PER_SIZE = 0.30         # segments of a band by its largest size
 SPARE_SEGMENTS = 4
-POPULAR = 64
+POPULAR = 4096                   # about so many documents of a signature are compared in a task
 BROADCAST_ROWS = 500_000         # narrow rows sent to all executors at most; more are joined by shuffle
 SEEN_SETS = 500_000              # sets a task remembers to write equal ones once
 ROWS_OUT = 200_000               # signature rows in a batch
@@ -278,13 +279,16 @@ def _possible(differ: np.ndarray, small: np.ndarray, large: np.ndarray) -> np.nd
     return (differ * (DEN + NUM) <= (small + large) * (DEN - NUM)) & (DEN * np.minimum(small, large) >= NUM * np.maximum(small, large))
 
 
-def _close_pairs(ids, labels, sizes, sketches, tile: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of a group in different components that size and sketch allow; compared tile by tile."""
+def _close_pairs(ids, labels, sizes, sketches, split: int = 0, tile: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a group in different components that size and sketch allow; compared tile by tile.
+
+    With ``split`` only pairs of a row before it and one from it on.
+    """
     marks = fold(sketches)
     n = len(ids)
-    for a in range(0, n, tile):
-        for b in range(a, n, tile):
-            x, y = slice(a, min(n, a + tile)), slice(b, min(n, b + tile))
+    for a in range(0, split or n, tile):
+        for b in range(split or a, n, tile):
+            x, y = slice(a, min(split or n, a + tile)), slice(b, min(n, b + tile))
             differ = np.zeros((x.stop - a, y.stop - b), np.int64)
             for w in range(marks.shape[1]):
                 differ += np.bitwise_count(marks[x, w][:, None] ^ marks[y, w][None, :])
@@ -305,21 +309,39 @@ def _allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(_possible(differ, na, nb)))
 
 
+def dealt(rest: DataFrame) -> DataFrame:
+    """Rows (sig, id, ...) with the tiles (low, high) of blocks that they are compared in, and their block.
+
+    A signature with at most ``POPULAR`` rows is one tile. The rows of a larger one fall into blocks by a hash, and
+    each goes to the tiles of its own block with every block.
+    """
+    many = stage(rest.groupBy("sig").agg(F.count("*").alias("c")).filter(F.col("c") > POPULAR).select(
+        "sig", F.ceil(2 * F.col("c") / F.lit(POPULAR)).cast("int").alias("blocks")), "tiles")
+    rows = rest.join(sized(many), "sig", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "sig"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.withColumns({"low": F.least("block", "_with"), "high": F.greatest("block", "_with")}).drop("blocks", "_with")
+
+
 def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Reads (sig, id, label, n, sketch) sorted by sig; pairs still to be verified."""
+    """Reads (sig, low, high, block, id, label, n, sketch) sorted so; pairs still to be verified."""
     held, current = [], None
 
     def flush():
         if len(held) > 1:
-            ids, labels, sizes, sketches = zip(*held)
-            for a, b in _close_pairs(np.array(ids), np.array(labels), np.array(sizes), list(sketches)):
+            blocks, ids, labels, sizes, sketches = zip(*held)
+            _, low, high = current
+            split = blocks.count(low) if low < high else 0
+            if low < high and split in (0, len(held)):      # one of the blocks has no row
+                return
+            for a, b in _close_pairs(np.array(ids), np.array(labels), np.array(sizes), list(sketches), split):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     for batch in batches:
-        for sig, *row in zip(*(c.to_pylist() for c in batch.columns)):
-            if sig != current:
+        for sig, low, high, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if (sig, low, high) != current:
                 yield from flush()
-                held, current = [], sig
+                held, current = [], (sig, low, high)
             held.append(row)
     yield from flush()
 
@@ -405,15 +427,14 @@ def near_duplicate_components(docs: DataFrame) -> DataFrame:
                                                 F.max("label").alias("hi"))
                       .filter(F.col("lo") != F.col("hi")).select("sig", "holders"), "open")
     left = stage(marked.join(sized(open_sigs), "sig"), "marked")
-    left = left.withColumn("band", band)
-    # a partner shares more signatures than there are to spare, all of them open; others have none to be found
-    able = stage(left.groupBy("id", "band").agg(
-        F.count("*").alias("c"), F.count(F.when(F.col("holders") > POPULAR, 1)).alias("popular"))
-        .join(spare, ["id", "band"]).filter(F.col("c") > F.col("spare"))
-        .select("id", "band", (F.col("popular") > F.col("spare")).alias("unsafe")), "able")
-    left = left.join(sized(able), ["id", "band"])
-    rest = left.filter((F.col("holders") <= POPULAR) | F.col("unsafe")).join(marks, "id")
-    pairs = stage(rest.select("sig", "id", "label", "n", "sketch").repartition("sig").sortWithinPartitions("sig")
+    # a partner shares more signatures than there are to spare, all of them open; the rarest of them are enough
+    each = Window.partitionBy("id", "band")
+    rest = left.withColumn("band", band).withColumns({
+        "c": F.count("*").over(each), "place": F.row_number().over(each.orderBy("holders", "sig"))})
+    rest = rest.join(spare, ["id", "band"]).filter(F.col("place") <= F.col("c") - F.col("spare"))
+    rest = dealt(stage(rest.select("sig", "id", "label"), "rest")).join(marks, "id")
+    order = ["sig", "low", "high", "block"]
+    pairs = stage(rest.select(*order, "id", "label", "n", "sketch").repartition("sig", "low", "high").sortWithinPartitions(*order)
                   .mapInArrow(_open_pairs, "a long, b long").distinct(), "pairs")
     more = _verified(pairs, named, "second")
     if not more.isEmpty():

@@ -77,6 +77,27 @@ def test_popular_signatures_lose_no_link(spark, rnd, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_popular_signature_is_dealt_in_bounded_tiles(spark, monkeypatch):
+    """Texts of a template share most signatures and no link: none of their groups lands in one task."""
+    monkeypatch.setattr(J, "POPULAR", 40)
+    tiles = J.dealt(spark.createDataFrame([(7, i, i) for i in range(300)] + [(8, i, i) for i in range(30)], "sig long, id long, label long")).collect()
+    groups = defaultdict(list)
+    for r in tiles:
+        groups[r.sig, r.low, r.high].append((r.block, r.id))
+    assert max(map(len, groups.values())) < 80 and len(groups[8, 0, 0]) == 30
+    met = defaultdict(int)
+    for (sig, low, high), rows in groups.items():
+        for a, i in rows:
+            for b, j in rows:
+                if i < j and (low == high or a != b):
+                    met[sig, i, j] += 1
+    assert len(met) == 300 * 299 // 2 + 30 * 29 // 2 and set(met.values()) == {1}
+    rows = [(i, f"one two three four five six seven eight w{i}") for i in range(200)] + [(200 + i, f"one two three four five six seven eight w{i} x") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.near_duplicate_components(df).collect()}
+    assert got == brute_components(rows) and got[200][1] == 0
+
+
 def test_odd_rows(spark, odd_docs):
     got = sorted(((str(r.doc_id), r.n_shingles, r.component_id) for r in J.near_duplicate_components(odd_docs).collect()), key=str)
     assert got == sorted([("1", 3, 1), ("2", 0, 2), ("3", 0, 3), ("None", 3, None), ("4", 0, 4), ("5", 997, 5), ("6", 3, 1),
