@@ -26,11 +26,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates: the one with the smallest doc_id."""
+    """Keeps one row of each group of near duplicates: the one with the smallest doc_id (nulls last).
+
+    Rows are linked by a number of their own, written once with them, so rows that repeat a doc_id or have
+    none are rows like the others; of equal doc_ids the smallest number stays. Texts without a word have no copies.
+    """
     ship_package(spark)
-    groups = ngram_join.near_duplicate_components(docs)
-    copies = stage(groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_copy")).distinct(), "copies")
-    return docs.join(ngram_join.sized(copies), docs.doc_id == F.col("_copy"), "left_anti")
+    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "joinrows")
+    groups = ngram_join.near_duplicate_components(rows.select(F.col("_row").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("_copy"), "component_id")
+    ids = rows.select(F.col("_row").alias("_copy"), F.col("doc_id").cast("long").alias("_id"))
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_copy"))
+    shared = groups.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    members = stage(groups.join(shared, "component_id").join(ids, "_copy"), "members")
+    stay = members.groupBy("component_id").agg(first.alias("first")).select(F.col("first._copy").alias("_copy"))
+    copies = stage(members.join(stay, "_copy", "left_anti").select("_copy"), "copies")
+    return rows.join(ngram_join.sized(copies), F.col("_row") == F.col("_copy"), "left_anti").drop("_row")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

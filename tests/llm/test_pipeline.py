@@ -38,6 +38,15 @@ def test_one_document_of_each_group_stays(outputs):
     assert sorted(r.doc_id for r in after.collect()) == want
 
 
+def test_repeated_and_null_doc_ids_lose_copies_only(spark):
+    import corpus_pipeline as P
+    text, other, third = ("one two three four five six seven", "quite another text of eight words it is", "a third text that nobody else has here")
+    rows = [(1, text), (1, text), (2, text), (None, other), (None, other), (None, text), (1, third), (None, ""), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in P.ngram_jaccard_join(spark, docs, SF).collect()), key=str)
+    assert got == sorted([(1, text), (None, other), (1, third), (None, ""), (9, "")], key=str)
+
+
 def test_mix_repeats_whole_documents(outputs):
     _, before, after = outputs[2]
     texts = {r.doc_id: r.text for r in before.collect()}
