@@ -45,7 +45,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the temperature mix takes it, at least once."""
+    """Each document as often as the temperature mix takes it, at least once, in the order of the mixed blocks."""
     return mixing.mixed_documents(docs)
 
 

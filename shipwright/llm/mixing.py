@@ -39,6 +39,7 @@ BLOCK_TOKENS = 1_000_000
 CELL_TOKENS = 2_000_000
 LEVELS = 8                    # bisection levels a job
 ROUNDS = 5                    # 8 * 5 levels: the exponent to 2^-40
+PLACES_SENT = 500_000         # narrow rows sent to all executors at most
 SEED = 17
 
 
@@ -154,8 +155,9 @@ def with_copies(rows: DataFrame, sources: DataFrame, seed: int = SEED) -> DataFr
     return rows.withColumn("copies", F.col("_whole") + F.when(extra, 1).otherwise(0)).drop("_whole", "_rest", "_cut")
 
 
-def arrange(rows: DataFrame, sources: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:
-    """One row a copy: epoch, block and slot in the mixed stream. ``rows`` are narrow, with copies."""
+def arrange(rows: DataFrame, sources: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: int = SEED,
+            keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row a copy: epoch, block and slot in the mixed stream. ``rows`` are narrow, with copies; ``keep``: columns passed on."""
     copies = rows.filter("copies > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     copies = _with_source(copies, sources, ["tokens", "budget", "cells", "weight"])
     # of the last epoch only the head is there, so the sums ahead of it are the same
@@ -166,7 +168,7 @@ def arrange(rows: DataFrame, sources: DataFrame, block_tokens: int = BLOCK_TOKEN
     block = F.least(F.lit(blocks - 1), F.floor(at / F.greatest("_budget", F.lit(1)) * blocks)).cast("int")
     order = Window.partitionBy("block").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id", "epoch", "th"), "doc_id", "epoch", "th")
     return copies.withColumn("block", block).withColumn("slot", (F.row_number().over(order) - 1).cast("long")).select(
-        "doc_id", "source", "n_tokens", "epoch", "copies", "block", "slot", F.col("_weight").alias("weight"))
+        "doc_id", "source", "n_tokens", "epoch", "copies", "block", "slot", F.col("_weight").alias("weight"), *keep)
 
 
 def mixed_stream(docs: DataFrame, target_entropy: float = TARGET_ENTROPY, max_epochs: float = MAX_EPOCHS,
@@ -178,12 +180,20 @@ def mixed_stream(docs: DataFrame, target_entropy: float = TARGET_ENTROPY, max_ep
 
 
 def mixed_documents(docs: DataFrame, target_entropy: float = TARGET_ENTROPY, max_epochs: float = MAX_EPOCHS,
-                    budget: int | None = None, seed: int = SEED) -> DataFrame:
-    """The rows of ``docs`` themselves, each as often as the mix takes it. Texts are not shuffled."""
+                    budget: int | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs`` themselves, each as often as the mix takes it, in the order of the mixed stream.
+
+    Rows get a number, written once with their texts; the stream is arranged on narrow rows, and the
+    copies are exchanged by ranges of (block, slot). The places are joined to the texts by broadcast, or
+    beyond ``PLACES_SENT`` of them by a shuffle.
+    """
     names = docs.columns
-    narrow = keyed(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text")).drop("text")
-    sources = source_plan(stage(narrow, "mixrows"), target_entropy, max_epochs, budget, seed)
-    key = docs.select(F.struct(*names).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"),
-                      F.col("source").cast("string").alias("source"), F.xxhash64(F.col("text").cast("string")).alias("th"))
-    rows = with_copies(key, sources, seed).filter("copies > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_row.*")
+    held = stage(docs.select(F.struct(*names).alias("_row"), F.monotonically_increasing_id().alias("_at")), "mixdocs")
+    narrow = stage(keyed(held.select("_at", F.col("_row.doc_id").cast("long").alias("doc_id"), F.col("_row.source").cast("string").alias("source"),
+                                     F.col("_row.text").alias("text"))).drop("text"), "mixrows")
+    sources = source_plan(narrow, target_entropy, max_epochs, budget, seed)
+    places = stage(arrange(with_copies(narrow, sources, seed), sources, block_tokens, seed, ("_at",)).select("_at", "block", "slot"), "mixplaces")
+    if places.count() <= PLACES_SENT:
+        places = F.broadcast(places)
+    return (held.join(places, "_at").repartitionByRange("block", "slot").sortWithinPartitions("block", "slot")
+            .select("_row.*"))

@@ -54,6 +54,15 @@ def test_mix_repeats_whole_documents(outputs):
     assert {r.doc_id for r in got} == set(texts) and all(r.text == texts[r.doc_id] for r in got)
 
 
+def test_mix_is_in_the_order_of_the_stream(outputs):
+    from shipwright.llm import mixing
+    _, before, _ = outputs[2]
+    before = before.limit(150).cache()
+    want = [r.doc_id for r in mixing.mixed_stream(before, block_tokens=5000).orderBy("block", "slot").collect()]
+    got = [r.doc_id for r in mixing.mixed_documents(before, block_tokens=5000).collect()]
+    assert got == want and got != sorted(got)
+
+
 def test_pieces_cover_the_mix(outputs):
     _, before, after = outputs[3]
     enc = tokens.encoder(tokens.tokenizer_path("word_bpe_49k.json"), "spaces_dropped")
