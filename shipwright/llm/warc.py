@@ -8,11 +8,14 @@ meets in one task, and the compressed records are shuffled once. Each task strea
 file of its own name in the shared folder; only files of successful tasks are in the manifest, so
 what a lost executor left behind is never read.
 
-The salvage reader takes archives as gzip members or plain records. A record counts when its member
-inflates with the right checksum, its version line and headers parse, its Content-Length fits and,
-for responses, the payload's SHA-1 agrees with its header. After a failed check it searches for the
-next valid member (gzip magic) or version line, goes on from there, and logs the bytes between as a
-quarantined gap. It reads in pieces: memory is bounded by the largest record, not the archive.
+The salvage reader takes archives as gzip members, of one record or many, or plain records. A record
+counts when its version line and headers parse, its Content-Length fits, for responses the payload's
+SHA-1 agrees with its header and, in a member, another record's version line or the member's end with the right
+checksum follows. After a failed check it searches for the next version line in the inflated bytes, or the
+next valid member (gzip magic) or version line in the archive, goes on from there, and logs the bytes
+between as a quarantined gap. A gap inside a member that has good records is logged with the archive bytes
+of the member, and its inflated bytes in the reason; the records before a damaged end count, but the last.
+Members are inflated in pieces: memory is bounded by the largest record, not the archive or the member.
 
 Defined cases: a null html is an empty payload; a null page_id is written without a page header, read
 back as null, always a response and never named by a revisit; rows with the same page_id and payload as the
@@ -38,9 +41,10 @@ MIN_REVISIT = 1000
 ARCHIVE_BYTES = 64 << 20      # compressed; a task starts a new archive beyond it
 SALTS = 64
 READ_BYTES = 1 << 20
-MAX_MEMBER = 1 << 30          # bytes a record may inflate to; larger ones are quarantined
+MAX_MEMBER = 1 << 30          # bytes of a record; larger ones are quarantined
 VERSION = b"WARC/1."
 GZIP = b"\x1f\x8b\x08"
+_VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _MARK = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 
 RECORDS = ("path string, at long, record_type string, page_id long, url string, payload_digest string, payload_bytes long, "
@@ -127,15 +131,92 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
             "refers_to": number("x-refers-to-page"), "payload": None if kind == "revisit" else payload}, stop + 4
 
 
+class _Member:
+    """Records of one gzip member, inflated in pieces."""
+
+    def __init__(self):
+        self.z = zlib.decompressobj(31)
+        self.plain, self.base, self.at = b"", 0, 0       # plain[0] stands at inflated offset base
+        self.held = None                                 # a good record that nothing vouches for yet
+        self.held_at = 0
+        self.gap_from, self.reason = None, ""
+        self.gaps: list[tuple[int, int, str]] = []
+
+    def inflate(self, piece: bytes) -> tuple[int, str | None]:
+        """(bytes taken, error or None); what inflates before an error is kept."""
+        before = self.z.copy()
+        try:
+            self.plain += self.z.decompress(piece)
+            return len(piece) - len(self.z.unused_data), None
+        except zlib.error as e:
+            self.z, error = before, f"member: {str(e)[:60]}"
+        for i in range(len(piece)):                      # up to the byte that fails
+            try:
+                self.plain += self.z.decompress(piece[i:i + 1])
+            except zlib.error:
+                return i, error
+        return len(piece), error
+
+    def _bad(self, reason: str) -> None:
+        if self.gap_from is None:
+            self.gap_from, self.reason = self.base + self.at, reason
+
+    def records(self, ended: bool) -> Iterator[dict]:
+        """Records that count by now; ``ended``: nothing more will inflate."""
+        while True:
+            if self.gap_from is not None:                # look for the next version line
+                hit = _VERSION_LINE.search(self.plain, self.at)
+                if not hit:
+                    self.at = max(self.at, len(self.plain) - (0 if ended else 16))
+                    break
+                self.at = hit.start()
+            elif self.at >= len(self.plain):
+                break
+            try:
+                record, end = parse_record(self.plain, self.at)
+            except More:
+                if not ended:
+                    break
+                self._bad("ends inside a record")
+                self.at += 1
+                continue
+            except BadRecord as e:
+                self._bad(str(e))
+                self.at += 1
+                continue
+            if self.gap_from is not None:
+                self.gaps.append((self.gap_from, self.base + self.at, self.reason))
+                self.gap_from = None
+            if self.held is not None:
+                yield self.held
+            self.held, self.held_at, self.at = record, self.base + self.at, end
+        if self.at > READ_BYTES:
+            self.plain, self.base, self.at = self.plain[self.at:], self.base + self.at, 0
+
+    def close(self, error: str | None) -> Iterator[dict]:
+        """The last records; after an error the last good one goes with the damage."""
+        yield from self.records(True)
+        end = self.base + len(self.plain)
+        if error is not None:
+            lost = [x for x in (self.gap_from, self.held_at if self.held is not None else None) if x is not None]
+            self.gaps.append((min(lost, default=end), end, error))
+            return
+        if self.gap_from is not None:
+            self.gaps.append((self.gap_from, end, self.reason))
+        if self.held is not None:
+            yield self.held
+
+
 def salvage(read, read_bytes: int = READ_BYTES) -> Iterator[tuple[str, int, object]]:
     """("record", offset, record) and ("gap", start, (end, reason)) of an archive.
 
-    ``read(n)`` gives the next bytes, none at the end. Offsets count archive bytes; a gap holds
-    everything between the last good record and the next one.
+    ``read(n)`` gives the next bytes, none at the end. Offsets count archive bytes, of a record in a member the
+    member's; a gap holds everything between the last good record and the next one.
     """
     data, base, done = b"", 0, False         # data[0] stands at archive offset base
     gap_from, reason = None, ""
     at = 0
+    floor = 0                                # version lines before this archive offset lie in a member that was read
 
     def fill() -> bool:
         nonlocal data, done
@@ -153,30 +234,76 @@ def salvage(read, read_bytes: int = READ_BYTES) -> Iterator[tuple[str, int, obje
             continue
         if at >= len(data):
             break
-        try:
-            end, found = _one(data, at)
-        except More:
-            if fill():
-                read_bytes = min(max(READ_BYTES, len(data)), 64 << 20)   # a large record: read on in growing steps
-                continue
-            error = "ends inside a record"
-        except BadRecord as e:
-            error = str(e)
+        start = at + 1                       # where to search on after a failed check
+        if data.startswith(GZIP, at):
+            member, member_at, pos, good, error = _Member(), base + at, at, 0, None
+            resume = base + start
+            while not member.z.eof and error is None:
+                if pos >= len(data) and not fill():
+                    error = "ends inside a record"
+                    break
+                begin = base + pos
+                taken, error = member.inflate(data[pos:pos + (1 << 16)])
+                pos += taken
+                for record in member.records(False):
+                    if gap_from is not None:
+                        yield "gap", gap_from, (member_at, reason)
+                        gap_from = None
+                    yield "record", member_at, record
+                    good, resume = good + 1, max(resume, begin)
+                if good and resume - base > 4 * READ_BYTES:
+                    data, base, pos = data[resume - base:], resume, pos - (resume - base)
+            for record in member.close(error):
+                if gap_from is not None:
+                    yield "gap", gap_from, (member_at, reason)
+                    gap_from = None
+                yield "record", member_at, record
+                good += 1
+            if good or (error is None and not member.gaps):
+                if gap_from is not None:
+                    yield "gap", gap_from, (member_at, reason)
+                    gap_from = None
+                lost = [f"member bytes {a}-{b}: {why}" for a, b, why in member.gaps]
+                if error is None:
+                    for why in lost:
+                        yield "gap", member_at, (base + pos, why)
+                    at = pos
+                    continue
+                gap_from, reason = member_at, "; ".join(lost)
+                start, floor = max(0, resume - base), base + pos
+                at = start - 1
+            else:
+                error = member.gaps[0][2]
+                at = start - 1
         else:
-            if gap_from is not None:
-                yield "gap", gap_from, (base + at, reason)
-                gap_from = None
-            for record in found:
+            try:
+                record, end = parse_record(data, at)
+            except More:
+                if fill():
+                    read_bytes = min(max(READ_BYTES, len(data)), 64 << 20)   # a large record: read on in growing steps
+                    continue
+                error = "ends inside a record"
+            except BadRecord as e:
+                error = str(e)
+            else:
+                if gap_from is not None:
+                    yield "gap", gap_from, (base + at, reason)
+                    gap_from = None
                 yield "record", base + at, record
-            at = end
-            continue
+                at = end
+                continue
         if gap_from is None:
             gap_from, reason = base + at, error
         # the next place that may begin a member or a record
-        start = at + 1
-        while not (hit := _MARK.search(data, start)):
-            data, base = data[max(at + 1, len(data) - 16):], base + max(at + 1, len(data) - 16)
-            at, start = -1, 0
+        while True:
+            hit = _MARK.search(data, start)
+            if hit and base + hit.start() < floor and not hit[0].startswith(GZIP):
+                start = hit.end()
+                continue
+            if hit:
+                break
+            cut = max(start, len(data) - 16)
+            data, base, start = data[cut:], base + cut, 0
             if not fill():
                 break
         at = hit.start() if hit else len(data)
@@ -184,33 +311,6 @@ def salvage(read, read_bytes: int = READ_BYTES) -> Iterator[tuple[str, int, obje
         yield "gap", gap_from, (base + len(data), reason)
 
 
-def _one(data: bytes, at: int) -> tuple[int, list[dict]]:
-    """(end, records) of the member or record that begins at ``at``."""
-    if data.startswith(GZIP, at):
-        z, view, end, plain = zlib.decompressobj(31), memoryview(data), at, bytearray()
-        try:
-            while not z.eof and end < len(data):
-                plain += z.decompress(view[end:end + (1 << 16)])
-                end = min(end + (1 << 16), len(data))
-                if len(plain) > MAX_MEMBER:
-                    raise BadRecord("member too large")
-        except zlib.error as e:
-            raise BadRecord(f"member: {str(e)[:60]}") from None
-        if not z.eof:
-            raise More
-        plain = bytes(plain)
-        records, k = [], 0
-        try:
-            while k < len(plain):
-                record, k = parse_record(plain, k)
-                records.append(record)
-        except More:
-            raise BadRecord("member ends inside a record") from None
-        return end - len(z.unused_data), records
-    record, end = parse_record(data, at)
-    return end, [record]
-
-
 # ------------------------------------------------------------------ writing
 def _filesystem(path: str):
     """(filesystem, path in it) of a shared folder: a mounted path, file:, hdfs:, s3:, gs:, ..."""

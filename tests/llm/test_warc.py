@@ -66,6 +66,24 @@ def test_any_damage_keeps_the_records_around_it(junk, where, packed):
     assert covered <= len(data) - len(good[0]) - len(good[2])
 
 
+@pytest.mark.parametrize("read_bytes", [16, 100, 1 << 20])
+@pytest.mark.parametrize("level", [0, 4])
+def test_one_bad_record_of_a_member_costs_only_itself(read_bytes, level, monkeypatch):
+    wrong = warc.record_bytes(7, None, "0" * 40, 3, b"abc")
+    member = warc.gzip_member(record(1) + record(2) + wrong + record(3) + b"junk" + record(4), level)
+    data = warc.gzip_member(record(0), level) + member + record(5)
+    ids, gaps = parts(data, read_bytes)
+    first = len(warc.gzip_member(record(0), level))
+    assert ids == [0, 1, 2, 3, 4, 5] and gaps == [(first, first + len(member))] * 2
+    # a tail that is missing: the last record goes with it
+    many = warc.gzip_member(b"".join(record(i, 300 + i) for i in range(10, 30)), level)
+    ids, gaps = parts(many[:-9] + warc.gzip_member(record(5), level), read_bytes)
+    assert ids[:-1] == list(range(10, 10 + len(ids) - 1)) and len(ids) >= 18 and ids[-1] == 5 and gaps == [(0, len(many) - 9)]
+    # the limit holds for a record, not for a member of many
+    monkeypatch.setattr(warc, "MAX_MEMBER", 1000)
+    assert parts(many, read_bytes) == (list(range(10, 30)), [])
+
+
 def test_other_tools_read_the_members():
     data = b"".join(warc.gzip_member(record(i)) for i in range(3))
     assert gzip.decompress(data) == b"".join(record(i) for i in range(3))
