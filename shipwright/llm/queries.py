@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipwright.llm import langid, licenses, minhash, mixing, ngram_join, packing, sharding, token_counts, topk, warc
+from shipwright.llm import (
+    codes, langid, licenses, minhash, mixing, ngram_join, packing, secret_scan, sharding, spelling, token_counts, topk, warc)
 from shipwright.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +134,102 @@ def _op10(spark, sf_dir):
     model = langid.train(docs.filter(~langid.held_out()))
     rows = docs.select(F.col("doc_id").cast("long"), "text", langid.held_out().alias("held_out"))
     return langid.predict(rows, model, ["doc_id", "held_out"])
+
+
+@query("op11_trigram_secret_scan")
+def _op11(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op12_bounded_vector_codes")
+def _op12(spark, sf_dir):
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op12_bounded_vector_codes"] = """
+with kept as (
+    select vec_id, label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
+    where embedding is not null and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(cast(x as double)), false)))
+), parts as materialized (
+    select vec_id, u.p, v[u.p * (len(v) // 16) + 1:(u.p + 1) * (len(v) // 16)] as part from kept, unnest(range(0, 16)) u(p)
+), firsts as (
+    select vec_id, row_number() over (order by vec_id) - 1 as e from kept qualify e < 64
+), book0 as materialized (
+    select x.p, f.e, x.part from firsts f join parts x on x.vec_id = f.vec_id
+), near0 as materialized (
+    select x.vec_id, x.p, first(b.e order by list_sum(list_transform(list_zip(x.part, b.part), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), b.e) as e, min(list_sum(list_transform(list_zip(x.part, b.part), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) as d
+    from parts x join book0 b on b.p = x.p group by x.vec_id, x.p
+), mean0 as (
+    select p, e, list(m order by i) as part from (
+        select n.p, n.e, u.i, floor(sum(x.part[u.i]) / count(*)) as m
+        from near0 n join parts x on x.vec_id = n.vec_id and x.p = n.p, unnest(range(1, len(x.part) + 1)) u(i) group by n.p, n.e, u.i) group by p, e
+), book1 as materialized (
+    select b.p, b.e, coalesce(m.part, b.part) as part from book0 b left join mean0 m on m.p = b.p and m.e = b.e
+), near1 as materialized (
+    select x.vec_id, x.p, first(b.e order by list_sum(list_transform(list_zip(x.part, b.part), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), b.e) as e, min(list_sum(list_transform(list_zip(x.part, b.part), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) as d
+    from parts x join book1 b on b.p = x.p group by x.vec_id, x.p
+), mean1 as (
+    select p, e, list(m order by i) as part from (
+        select n.p, n.e, u.i, floor(sum(x.part[u.i]) / count(*)) as m
+        from near1 n join parts x on x.vec_id = n.vec_id and x.p = n.p, unnest(range(1, len(x.part) + 1)) u(i) group by n.p, n.e, u.i) group by p, e
+), book2 as materialized (
+    select b.p, b.e, coalesce(m.part, b.part) as part from book1 b left join mean1 m on m.p = b.p and m.e = b.e
+), near2 as materialized (
+    select x.vec_id, x.p, first(b.e order by list_sum(list_transform(list_zip(x.part, b.part), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), b.e) as e, min(list_sum(list_transform(list_zip(x.part, b.part), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) as d
+    from parts x join book2 b on b.p = x.p group by x.vec_id, x.p
+), digest as (
+    select sha256(string_agg(array_to_string(list_transform(part, lambda x: cast(x as bigint)), ','), ',' order by p, e)) as sha from book2
+), coded as (
+    select vec_id, string_agg(format('{:02x}', e), '' order by p) as code, cast(sum(d) as bigint) as error from near2 group by vec_id
+)
+select c.vec_id, c.code, c.error, cast(sum(c.error) over (partition by k.label) as bigint) as label_error, digest.sha as codebooks_sha256
+from coded c join kept k on k.vec_id = c.vec_id, digest
+"""
+
+
+@query("op13_bitsliced_spelling")
+def _op13(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_bitsliced_spelling"] = """
+with recursive bits as (
+    select cast(r.range as bigint) as b, cast(r.range as bigint) as c, 0 as k from range(256) r
+    union all select b, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from bits where k < 8
+), crc as (
+    select list(c order by b) as t from bits where k = 8
+), runs as (
+    select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[a-z\\x{00C0}-\\x{00FF}]+')) as run from documents
+), seen as (
+    select doc_id, run, count(*) as n from runs group by doc_id, run
+), hexed as (
+    select run, n, hex(encode(coalesce(cast(doc_id as varchar), '') || ':' || run)) as x from seen
+), hashed as (
+    select run, n, xor(4294967295, list_reduce(
+        list_prepend(cast(4294967295 as bigint), list_transform(range(1, length(x), 2), lambda i: cast('0x' || substr(x, i, 2) as bigint))),
+        lambda a, b: xor(a >> 8, crc.t[1 + xor(a & 255, b)]))) as h
+    from hexed, crc
+), edited as (
+    select case when h % 199 = 0 then substr(run, 1, cast(h % length(run) as bigint)) || substr(run, cast(h % length(run) as bigint) + 2)
+                else run end as word, n from hashed
+), words as (
+    select word, cast(sum(n) as bigint) as n from edited where length(word) >= 6 group by word having sum(n) >= 5
+), cuts as (
+    select word, n, i, substr(word, 1, i) || substr(word, i + 2) as rest from words, unnest(range(0, length(word))) u(i)
+), pairs as (
+    select a.word, b.word as other, b.n from cuts a join cuts b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+    union select a.word, b.word, b.n from cuts a join words b on a.rest = b.word
+    union select b.word, a.word, a.n from cuts a join words b on a.rest = b.word
+), near as (
+    select word, count(*) as n_near, first(other order by n desc, encode(other)) as other, max(n) as best from pairs group by word
+), forms as (
+    select w.word, w.n, cast(coalesce(n_near, 0) as bigint) as n_near, case when best >= 5 * w.n then other end as form,
+        case when best >= 5 * w.n then best end as form_n
+    from words w left join near on near.word = w.word
+), chain as (
+    select word, word as at, form as ahead from forms
+    union all select c.word, f.word, f.form from chain c join forms f on f.word = c.ahead
+)
+select f.word, f.form, c.at as root, f.n, f.n_near, f.form_n from forms f join chain c on c.word = f.word where c.ahead is null
+"""
