@@ -29,6 +29,7 @@ largest long; equal labels are summed with nulls together; an empty table gives
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -86,7 +87,10 @@ def distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def _root(squares: np.ndarray) -> np.ndarray:
-    return np.sqrt(squares.astype(np.float64))
+    """Distances as floats; those beyond the largest float stand as a number a little below it, on both sides of a comparison."""
+    if squares.dtype != object:
+        return np.sqrt(squares)
+    return np.array([math.sqrt(x) if x < 1 << 1000 else min(math.isqrt(x), 17 * 10 ** 307) for x in squares.ravel()], np.float64).reshape(squares.shape)
 
 
 @dataclass
