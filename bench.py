@@ -8,7 +8,7 @@ Stages (each timed separately):
   dq_suite          every declared data test
   forecast_univariate  backtest, champions and publication with the three univariate models only
   forecast_run      the reference configuration: the same plus the pooled gradient-boosting model
-                    (Spark ML GBTRegressor, one fit per backtest origin and series)
+                    (one grouped fit per backtest origin and series)
   log_sql_audit     policy audit of the derived statement log
 """
 

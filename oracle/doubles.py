@@ -144,4 +144,6 @@ DOUBLE_COLUMNS = {
     'uni_dq_forecast_marts': [],
     'dq_probe_non_negative': ['value'],
     'dq_probe_between': ['value'],
+    'uni_append_repeated': [],
+    'sketch_median_rollup': [],
 }

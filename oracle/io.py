@@ -48,6 +48,13 @@ IO_ORACLE = {
     "uni_append_counts": sql(_UNION.join(
         f"select '{t}' as table_name, r.run_id, count(*) as rows from {q}, (values ('testbed0001'), ('testbed0002')) r(run_id) group by r.run_id"
         for t, q in FORECASTS.items()), run=True),
+    "uni_append_repeated": sql(_UNION.join(
+        f"select '{t}' as table_name, r.run_id, count(*) as rows from {q}, (values ('testbed0001'), ('testbed0002')) r(run_id) group by r.run_id"
+        for t, q in FORECASTS.items()), run=True),
+    "sketch_median_rollup": with_models(_UNION.join(
+        f"""select '{level}' as region_level, {code} as region_code, count(*) as orders, true as within_rank_error
+            from fct_orders where is_delivered and delivery_days is not null group by {code}"""
+        for level, code in (("state", "customer_state"), ("macro_region", "customer_macro_region"), ("country", "'BR'")))),
     "bounded_query": with_models("""
         select customer_state, count(*) as orders, avg(delivery_days) as avg_days, false as _truncated
         from fct_orders where order_status <> 'analytics.fct_orders' group by customer_state"""),

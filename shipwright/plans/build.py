@@ -1,16 +1,21 @@
 """Build the warehouse: materialise table models as parquet and register them as views.
 
 Views (staging, intermediate) stay lazy; dimensions, facts and marts are written once, in
-dependency order, and every later model reads the written files. Each table is read back
+dependency order, and every later model reads the written files. Readers of the warehouse see the
+build when all of it is there. Row counts and the row-level data tests are measured while writing. Each table is read back
 right after its write, so downstream plans start from files instead of the whole chain, and a
 lost executor only recomputes from the last written table.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from pyspark.sql import DataFrame
 
-from shipwright.sources.sinks import materialize
+from shipwright.functions import expr as X
+from shipwright.plans import quality_suite as dq
+from shipwright.sources import commits
+from shipwright.sources.commits import Write
+from shipwright.sources.sinks import view_name
 
 TABLE_MODELS = (
     "dim_regions", "dim_dates", "dim_customers", "dim_sellers", "dim_products",
@@ -19,9 +24,14 @@ TABLE_MODELS = (
     "mart_delivery_time_weekly_region", "mart_seller_performance", "mart_category_monthly",
 )
 
-# Optional directory partitioning per table (e.g. {"fct_orders": ["purchase_month"]} on a
-# cluster so date-filtered reads prune whole directories).
-DEFAULT_PARTITIONING: dict[str, list[str]] = {}
+# Tables that date-bound reads should not read whole: (date column, columns that rows are ordered by inside a month's files).
+# Files go to folders by month; a date column that is a month already names the folders itself.
+BY_MONTH: dict[str, tuple[str, list[str]]] = {
+    "fct_orders": ("purchase_date", ["customer_state", "purchase_date"]),
+    "mart_kpi_daily_region": ("date_day", ["state_code", "date_day"]),
+    "mart_unit_economics_monthly": ("month_start", ["state_code"]),
+}
+MONTH_FOLDER = "in_month"
 
 
 # Tables of one step read only tables of earlier steps, so they are written side by side.
@@ -42,24 +52,46 @@ VIEW_STEPS = (
 )
 
 
-def _write_steps(wh, root: str, schema: str, steps, partitioning) -> dict[str, str]:
-    paths = {}
+def by_month(df: DataFrame, date: str, order: list[str]) -> tuple[DataFrame, str]:
+    """The frame laid out for month folders, and the folder column.
+
+    Rows meet by month; adaptive execution cuts a month that is too large for one task. Inside a file they are in order,
+    so that row-group statistics let a filter on the leading columns skip most of it.
+    """
+    month = date if date == "month_start" else MONTH_FOLDER
+    if month != date:
+        df = df.withColumn(month, X.month_start(date))
+    return df.hint("rebalance", month).sortWithinPartitions(month, *order), month
+
+
+def _write_steps(wh, root: str, schema: str, steps, layouts) -> dict[str, str]:
+    """Writes the models step by step into folders nobody reads yet, then publishes all of them at once."""
+    spark, commit = wh.spark, commits.new_commit()
+    entries, months, columns = [], {}, {}
     for step in steps:
-        frames = {name: wh[name] for name in step}     # plans are put together one at a time
-        if not frames:
-            continue
-        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-            written = pool.map(lambda kv: (kv[0], materialize(kv[1], root, schema, kv[0], partitioning.get(kv[0]))), frames.items())
-        for name, df in written:
-            wh.override(name, df)
-            paths[name] = f"{root.rstrip('/')}/{schema}/{name}"
-    return paths
-
-
-def build_warehouse(wh, root: str, tables=TABLE_MODELS, partitioning=None) -> dict[str, str]:
+        writes = []
+        for name in step:                               # plans are put together one at a time
+            df = wh[name]
+            columns[name] = df.columns
+            measures = dq.row_measures(name)
+            if name in layouts:
+                df, months[name] = by_month(df, *layouts[name])
+            writes.append(Write(schema, name, df, partition_by=(months[name],) if name in months else (), measures=measures))
+        done = commits.write_all(root, commit, writes)
+        for e in done:
+            name = e["table_name"]
+            wh.written(name, spark.read.parquet(f"{root.rstrip('/')}/{e['folder']}"), columns[name], months.get(name), e["measures"])
+        entries += done
+    commits.publish(spark, root, commit, entries)
+    for name in columns:
+        wh[name].createOrReplaceTempView(view_name(schema, name))
+    return {e["table_name"]: f"{root.rstrip('/')}/{e['folder']}" for e in entries}
+
+
+def build_warehouse(wh, root: str, tables=TABLE_MODELS, layouts=None) -> dict[str, str]:
     """Write every table model under ``{root}/analytics`` and point the context at the files."""
     steps = [[name for name in step if name in tables] for step in STEPS]
-    return _write_steps(wh, root, "analytics", steps, DEFAULT_PARTITIONING if partitioning is None else partitioning)
+    return _write_steps(wh, root, "analytics", steps, BY_MONTH if layouts is None else layouts)
 
 
 def build_for_checks(wh, root: str) -> None:

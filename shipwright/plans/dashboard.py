@@ -27,7 +27,7 @@ def _weighted(value="avg_delivery_days", weight="delivered_orders"):
 
 
 def headline(wh, start=DEFAULT_RANGE[0], end=DEFAULT_RANGE[1]):
-    k = wh["mart_kpi_daily_region"].filter(F.col("date_day").between(_d(start), _d(end)))
+    k = wh.between("mart_kpi_daily_region", "date_day", start, end)
     return k.agg(F.sum("orders").alias("orders"),
                  F.sum("delivered_orders").alias("delivered_orders"),
                  _ratio(F.sum("on_time_orders").cast("double"), F.sum("delivered_orders")).alias("on_time_rate"),
@@ -40,7 +40,7 @@ def headline(wh, start=DEFAULT_RANGE[0], end=DEFAULT_RANGE[1]):
 
 def weekly_service(wh, start=DEFAULT_RANGE[0], end=DEFAULT_RANGE[1]):
     """Daily KPIs re-grained to weeks through the calendar dimension."""
-    k = wh["mart_kpi_daily_region"].filter(F.col("date_day").between(_d(start), _d(end)))
+    k = wh.between("mart_kpi_daily_region", "date_day", start, end)
     d = wh["dim_dates"].select("date_day", "week_start")
     return (k.join(d, "date_day", "inner")
              .groupBy("week_start", "macro_region")
@@ -51,7 +51,7 @@ def weekly_service(wh, start=DEFAULT_RANGE[0], end=DEFAULT_RANGE[1]):
 
 
 def monthly_unit_economics(wh, start=DEFAULT_RANGE[0], end=DEFAULT_RANGE[1]):
-    u = wh["mart_unit_economics_monthly"].filter(F.col("month_start").between(_d(start), _d(end)))
+    u = wh.between("mart_unit_economics_monthly", "month_start", start, end)
     return (u.groupBy("month_start")
              .agg(F.sum("orders").alias("orders"),
                   _ratio(X.exact_sum("contribution_margin"), F.sum("orders")).alias("margin_per_order"),
@@ -63,7 +63,7 @@ def monthly_unit_economics(wh, start=DEFAULT_RANGE[0], end=DEFAULT_RANGE[1]):
 
 
 def state_scorecard(wh, start=DEFAULT_RANGE[0], end=DEFAULT_RANGE[1]):
-    k = wh["mart_kpi_daily_region"].filter(F.col("date_day").between(_d(start), _d(end)))
+    k = wh.between("mart_kpi_daily_region", "date_day", start, end)
     return (k.groupBy("state_code", "macro_region")
              .agg(F.sum("orders").alias("orders"),
                   _ratio(F.sum("on_time_orders").cast("double"), F.sum("delivered_orders")).alias("on_time_rate"),

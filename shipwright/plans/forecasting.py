@@ -83,10 +83,13 @@ def run_forecasts(wh, cfg: FC.ForecastConfig | None = None, run_id: str | None =
     return outputs
 
 
-def append_run(outputs: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """Append each output to ``{root}/forecasts/{table}`` (created on first write)."""
-    from shipwright.sources.sinks import append_table
-    return {name: append_table(df, root, "forecasts", name) for name, df in outputs.items()}
+def append_run(outputs: dict[str, DataFrame], root: str, run_id: str) -> list[dict]:
+    """Append a run's outputs to the tables ``forecasts.*`` in one commit: readers see all four or none of them.
+
+    The same run appended again replaces its rows.
+    """
+    from shipwright.sources import sinks
+    return sinks.append_run(outputs, root, "forecasts", run_id)
 
 
 # ------------------------------------------------------------------------ forecast marts

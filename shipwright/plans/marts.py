@@ -7,9 +7,14 @@ denominators, never averaged.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shipwright.functions import expr as X
+from shipwright.operators.quantiles import exact_median, merge_sketches, sketch_quantile, sketch_table
+from shipwright.operators.timeseries import COUNTRY_CODE
 from shipwright.plans.core import CANCELED_STATUSES
 from shipwright.plans.warehouse import model
 
@@ -106,20 +111,47 @@ def mart_demand_weekly_region(wh):
                   F.count_distinct("customer_unique_id").alias("customers")))
 
 
+def delivered_with_days(wh):
+    return wh["fct_orders"].filter(F.col("is_delivered") & F.col("delivery_days").isNotNull())
+
+
 @model("mart_delivery_time_weekly_region")
 def mart_delivery_time_weekly_region(wh):
-    o = wh["fct_orders"].filter(F.col("is_delivered") & F.col("delivery_days").isNotNull())
-    return (o.groupBy(F.col("purchase_week").alias("week_start"), F.col("customer_state").alias("state_code"),
-                      F.col("customer_macro_region").alias("macro_region"))
-             .agg(n_rows().alias("delivered_orders"),
-                  F.avg("delivery_days").alias("avg_delivery_days"),
-                  F.median("delivery_days").alias("median_delivery_days"),
-                  F.avg("transit_days").alias("avg_transit_days"),
-                  F.avg("handling_days").alias("avg_handling_days"),
-                  F.avg("estimated_days").alias("avg_estimated_days"),
-                  F.avg("delivery_delay_days").alias("avg_delivery_delay_days"),
-                  F.avg("distance_km").alias("avg_distance_km"),
-                  X.safe_divide(F.sum(X.bool_to_int("is_on_time")), n_rows()).alias("on_time_rate")))
+    """Means in one aggregation; the medians are selected without holding a group and join by its key.
+
+    A reader that doesn't use the median doesn't compute it: the join is dropped, as its key is unique.
+    """
+    # a struct is one key without NULL whatever its parts are, so the join is a plain equality on a unique key
+    o = delivered_with_days(wh).withColumn("_key", F.struct("purchase_week", "customer_state", "customer_macro_region"))
+    means = (o.groupBy("_key")
+              .agg(n_rows().alias("delivered_orders"),
+                   F.avg("delivery_days").alias("avg_delivery_days"),
+                   F.avg("transit_days").alias("avg_transit_days"),
+                   F.avg("handling_days").alias("avg_handling_days"),
+                   F.avg("estimated_days").alias("avg_estimated_days"),
+                   F.avg("delivery_delay_days").alias("avg_delivery_delay_days"),
+                   F.avg("distance_km").alias("avg_distance_km"),
+                   X.safe_divide(F.sum(X.bool_to_int("is_on_time")), n_rows()).alias("on_time_rate")))
+    middle = exact_median(o, ["_key"], "delivery_days", "median_delivery_days")
+    return means.join(middle, "_key", "left").select(
+        F.col("_key.purchase_week").alias("week_start"), F.col("_key.customer_state").alias("state_code"),
+        F.col("_key.customer_macro_region").alias("macro_region"), "delivered_orders", "avg_delivery_days", "median_delivery_days",
+        "avg_transit_days", "avg_handling_days", "avg_estimated_days", "avg_delivery_delay_days", "avg_distance_km", "on_time_rate")
+
+
+@model("delivery_time_sketches")
+def delivery_time_sketches(wh):
+    """A mergeable sketch of delivery days per week and state, to be kept beside the mart."""
+    return sketch_table(delivered_with_days(wh), ["purchase_week", "customer_state", "customer_macro_region"], "delivery_days")
+
+
+def delivery_time_rollup(sketches):
+    """(region_level, region_code, orders, median_delivery_days) of states, macro-regions and the country from stored sketches."""
+    levels = {"state": F.col("customer_state"), "macro_region": F.col("customer_macro_region"), "country": F.lit(COUNTRY_CODE)}
+    parts = [merge_sketches(sketches.withColumns({"region_level": F.lit(level), "region_code": code}), ["region_level", "region_code"])
+             for level, code in levels.items()]
+    return reduce(DataFrame.unionByName, parts).select("region_level", "region_code", F.col("n").alias("orders"),
+                                                       sketch_quantile().alias("median_delivery_days"))
 
 
 @model("mart_seller_performance")

@@ -1,9 +1,9 @@
 """The declared data tests of the warehouse, and functions that run them.
 
-Each declaration is (model, column, test, argument). Row-level tests of one model (not_null,
-non_negative, between) are evaluated together in a single aggregation pass
-over that model; set-level tests (unique, accepted values, relationships, combinations, row counts) each need
-their own aggregation or anti join.
+Each declaration is (model, column, test, argument). A suite reads every model once, whatever the number of its
+tests: a row gives one event (test, key, side) for each test it has a say in, and one grouped aggregate over the events of
+all models decides uniqueness, combinations, anti-joins and counts together. Row-level tests (not_null, non_negative,
+between) that were measured while the model was written need no event at all.
 """
 
 from __future__ import annotations
@@ -141,30 +141,73 @@ def _violation(column, test, arg):
     raise ValueError(test)
 
 
+def row_measures(model_name: str, declared=DECLARED) -> dict:
+    """Conditions of a model's row-level tests by test id, to be counted while it is written."""
+    return {test_id(*d): _violation(*d[1:]) for d in declared if d[0] == model_name and d[2] in ROW_LEVEL}
+
+
+MODEL, OTHER = 0, 1       # side of an event: the tested model, or the one it is compared with
+
+
+def _key(*columns):
+    """Text of a key, one-to-one: every part with its length, NULL apart from ''."""
+    text = [F.col(c).cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text])
+
+
+def _events(wh, declared) -> dict[str, list]:
+    """By model, the (condition, test number, key, side) of the events that its rows give."""
+    out: dict[str, list] = {}
+    always = F.lit(True)
+    for i, (model_name, column, test, arg) in enumerate(declared):
+        mine = out.setdefault(model_name, [])
+        if test in ROW_LEVEL:
+            if test_id(model_name, column, test, arg) not in wh.measured(model_name):
+                mine.append((_violation(column, test, arg), i, F.lit(""), MODEL))
+        elif test == "accepted_values":
+            mine.append((_violation(column, test, arg), i, _key(column), MODEL))
+        elif test == "unique":
+            mine.append((F.col(column).isNotNull(), i, _key(column), MODEL))
+        elif test == "unique_combination":
+            mine.append((always, i, _key(*arg), MODEL))
+        elif test == "relationships":
+            mine.append((F.col(column).isNotNull(), i, _key(column), MODEL))
+            out.setdefault(arg[0], []).append((F.col(arg[1]).isNotNull(), i, _key(arg[1]), OTHER))
+        elif test == "row_count_matches":
+            mine.append((always, i, F.lit(""), MODEL))
+            out.setdefault(arg, []).append((always, i, F.lit(""), OTHER))
+        else:
+            raise ValueError(test)
+    return out
+
+
 def failures_by_test(wh, declared=DECLARED) -> DataFrame:
     """One row per declared test: (test_id, model, column_name, test, failures)."""
     parts = []
-    by_model: dict[str, list] = {}
-    for d in declared:
-        if d[2] in ROW_LEVEL:
-            by_model.setdefault(d[0], []).append(d)
-    for model_name, tests in by_model.items():
-        df = wh[model_name]
-        counts = df.agg(*[F.count(F.when(_violation(c, t, a), F.lit(1))).alias(f"_{i}")
-                          for i, (_, c, t, a) in enumerate(tests)])
-        stack = ", ".join(f"'{test_id(*d)}', '{d[1]}', '{d[2]}', _{i}" for i, d in enumerate(tests))
-        parts.append(counts.selectExpr(f"stack({len(tests)}, {stack}) as (test_id, column_name, test, failures)")
-                           .withColumn("model", F.lit(model_name)))
-    for d in declared:
-        model_name, column, test, arg = d
-        if test in ROW_LEVEL:
-            continue
-        v = set_level_violations(wh, d)
-        parts.append(v.agg(F.count(F.lit(1)).alias("failures"))
-                      .select(F.lit(test_id(*d)).alias("test_id"), F.lit(column).cast("string").alias("column_name"),
-                              F.lit(test).alias("test"), "failures", F.lit(model_name).alias("model")))
-    out = reduce(DataFrame.unionByName, parts)
-    return out.select("test_id", "model", "column_name", "test", F.col("failures").cast("long").alias("failures"))
+    for model_name, events in _events(wh, declared).items():
+        if events:
+            found = F.array(*[F.when(due, F.struct(F.lit(i).alias("i"), key.alias("key"), F.lit(side).alias("side"))) for due, i, key, side in events])
+            parts.append(wh[model_name].select(F.explode(F.array_compact(found)).alias("e")).select("e.*"))
+    kinds = [d[2] for d in declared]
+    tests = wh.spark.createDataFrame(
+        [(i, test_id(*d), d[0], d[1], d[2], wh.measured(d[0]).get(test_id(*d)) if d[2] in ROW_LEVEL else None) for i, d in enumerate(declared)],
+        "i int, test_id string, model string, column_name string, test string, measured long")
+    if not parts:
+        return tests.select("test_id", "model", "column_name", "test", F.col("measured").alias("failures"))
+    per_key = reduce(DataFrame.unionByName, parts).groupBy("i", "key").agg(
+        F.count_if(F.col("side") == MODEL).alias("a"), F.count_if(F.col("side") == OTHER).alias("b"))
+
+    def of(*names):
+        return F.col("i").isin(*[i for i, k in enumerate(kinds) if k in names] or [-1])
+
+    one, a, b = F.lit(1).cast("long"), F.col("a"), F.col("b")
+    failures = (F.when(of(*ROW_LEVEL), a).when(of("accepted_values"), one)
+                .when(of("unique", "unique_combination") & (a > 1), one)
+                .when(of("relationships") & (b == 0), a)
+                .when(of("row_count_matches") & (a != b), one).otherwise(0))
+    summed = per_key.groupBy("i").agg(F.sum(failures).alias("n"))
+    return tests.join(summed, "i", "left").select("test_id", "model", "column_name", "test",
+                                                  F.coalesce("measured", "n", F.lit(0)).cast("long").alias("failures"))
 
 
 def set_level_violations(wh, d) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {}
 
@@ -29,6 +30,8 @@ class Warehouse:
         self.raw = dict(raw)
         self.params = dict(DEFAULT_PARAMS, **(params or {}))
         self._built: dict[str, DataFrame] = {}
+        self._months: dict[str, tuple[DataFrame, str]] = {}      # written by month: (frame with the partition column, its name)
+        self._measured: dict[str, dict[str, int]] = {}           # seen while a model was written: failures by row test
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self.raw:
@@ -45,6 +48,29 @@ class Warehouse:
     def override(self, name: str, df: DataFrame) -> None:
         """Replace a model by a given frame (e.g. a materialised table read back)."""
         self._built[name] = df
+        self._months.pop(name, None)
+        self._measured.pop(name, None)
+
+    def written(self, name: str, df: DataFrame, columns: list[str], month: str | None, measured: dict[str, int]) -> None:
+        """Replace a model by its files, read back as ``df``: their columns, month folders and measures."""
+        self.override(name, df.select(*columns))
+        if month:
+            self._months[name] = (df, month)
+        self._measured[name] = dict(measured)
+
+    def measured(self, name: str) -> dict[str, int]:
+        """Failures by row test of the model's files, as seen while they were written."""
+        return self._measured.get(name, {})
+
+    def between(self, name: str, column: str, start: str, end: str) -> DataFrame:
+        """Rows of a model with start <= column <= end; of files in month folders only those months are read."""
+        df = self[name]
+        lo, hi = F.to_date(F.lit(start)), F.to_date(F.lit(end))
+        if name not in self._months:
+            return df.filter(F.col(column).between(lo, hi))
+        files, month = self._months[name]
+        inside = F.col(month).between(F.trunc(lo, "month"), F.trunc(hi, "month"))
+        return files.filter(inside & F.col(column).between(lo, hi)).select(*df.columns)
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, params: dict | None = None) -> Warehouse:

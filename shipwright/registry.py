@@ -17,6 +17,7 @@ from shipwright.plans import core, intermediate, marts, staging  # noqa: F401
 from shipwright.plans import dashboard as dash
 from shipwright.plans.warehouse import Warehouse
 from shipwright.session import ship_package
+from shipwright.sources.testbed import TABLES as TESTBED_TABLES
 
 # The test data spans 1995-2001; the dashboard range lies inside it.
 DASH_RANGE = ("1997-01-01", "1999-12-31")
@@ -135,6 +136,7 @@ from datetime import datetime  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from shipwright.operators import forecast as FC  # noqa: E402
+from shipwright.operators import quantiles as QU  # noqa: E402
 from shipwright.operators import timeseries as TS  # noqa: E402
 from shipwright.plans import forecasting as FP  # noqa: E402
 
@@ -146,13 +148,20 @@ CFG = FC.ForecastConfig()
 _RUNS: dict = {}
 
 
+def _state_of(spark, sf_dir):
+    """Names, sizes and times of the input files, listed without reading them."""
+    files = spark.read.format("binaryFile").load([f"{sf_dir}/{t}.parquet" for t in TESTBED_TABLES])
+    return tuple(sorted((r.path, r.length, r.modificationTime) for r in files.select("path", "length", "modificationTime").collect()))
+
+
 def _run(spark, sf_dir, cfg=CFG):
-    """The outputs of one forecast run, computed once and written; all readers of a session share the files."""
-    key = (spark.sparkContext.applicationId, sf_dir, cfg)
+    """The outputs of one forecast run, computed once and written; all readers of a session share the files
+    as long as the input files are the same."""
+    key = (spark.sparkContext.applicationId, sf_dir, _state_of(spark, sf_dir), cfg)
     if key not in _RUNS:
         root = _scratch(spark, "run")
         out = FP.run_forecasts(warehouse(spark, sf_dir), cfg, *TESTBED_RUN)
-        FP.append_run(out, root)
+        FP.append_run(out, root, TESTBED_RUN[0])
         _RUNS[key] = {name: SINK.read_table(spark, root, "forecasts", name) for name in out}
     return _RUNS[key]
 
@@ -340,6 +349,7 @@ import uuid as _uuid  # noqa: E402
 from shipwright.plans.build import build_for_checks, build_warehouse  # noqa: E402
 from shipwright.session import scratch_root  # noqa: E402
 from shipwright.sources import catalog as CAT  # noqa: E402
+from shipwright.sources import commits as COMMITS  # noqa: E402
 from shipwright.sources import csv_io as CSV  # noqa: E402
 from shipwright.sources import sinks as SINK  # noqa: E402
 
@@ -383,8 +393,9 @@ def _scan_header(spark, sf_dir):
 def _load_counts(spark, sf_dir):
     wh = warehouse(spark, sf_dir)
     sources = {t: wh[t] for t in CSV.RAW_SCHEMAS}
-    loaded = CSV.load_raw_layer(spark, sources, _scratch(spark, "load"))
-    return CSV.row_count_report(loaded, sources)
+    root = _scratch(spark, "load")
+    CSV.load_raw_layer(spark, sources, root)
+    return CSV.load_report(spark, root)
 
 
 @query("materialize_mart")
@@ -393,13 +404,15 @@ def _materialize(spark, sf_dir):
     return SINK.materialize(wh["mart_kpi_daily_region"], _scratch(spark, "wh"), "analytics", "mart_kpi_daily_region")
 
 
-def _appended(spark, sf_dir, cfg):
-    """Two runs appended: all four output tables of each, the second a week later."""
+def _appended(spark, sf_dir, cfg, again=False):
+    """Two runs appended: all four output tables of each, the second a week later; ``again`` repeats both."""
     out = _run(spark, sf_dir, cfg)
+    later = {name: df.withColumns({"run_id": F.lit("testbed0002"), "run_at": F.col("run_at") + F.expr("interval 7 days")})
+             for name, df in out.items()}
     root = _scratch(spark, "fc")
-    FP.append_run(out, root)
-    FP.append_run({name: df.withColumns({"run_id": F.lit("testbed0002"), "run_at": F.col("run_at") + F.expr("interval 7 days")})
-                   for name, df in out.items()}, root)
+    for _ in range(2 if again else 1):
+        FP.append_run(out, root, TESTBED_RUN[0])
+        FP.append_run(later, root, "testbed0002")
     return root
 
 
@@ -411,37 +424,46 @@ QUERIES["forecast_append_runs"] = lambda spark, sf_dir: _appended_runs(spark, sf
 QUERIES["uni_append_runs"] = lambda spark, sf_dir: _appended_runs(spark, sf_dir, UNI_CFG)
 
 
-@query("uni_append_counts")
-def _append_counts(spark, sf_dir):
-    """Rows by run of each appended forecast table."""
-    root = _appended(spark, sf_dir, UNI_CFG)
+def _run_counts(spark, root):
     return reduce(DataFrame.unionByName, [
         SINK.read_table(spark, root, "forecasts", t).groupBy("run_id").agg(F.count(F.lit(1)).alias("rows"))
         .select(F.lit(t).alias("table_name"), "run_id", "rows") for t in FP.OUTPUT_TABLES])
 
 
+@query("uni_append_counts")
+def _append_counts(spark, sf_dir):
+    """Rows by run of each appended forecast table."""
+    return _run_counts(spark, _appended(spark, sf_dir, UNI_CFG))
+
+
+@query("uni_append_repeated")
+def _append_repeated(spark, sf_dir):
+    """The same when both runs were appended twice."""
+    return _run_counts(spark, _appended(spark, sf_dir, UNI_CFG, again=True))
+
+
 def _built(spark, sf_dir):
-    """The whole warehouse written, with the forecast tables of a three-model run registered beside it."""
+    """The whole warehouse written, the forecast tables of a three-model run appended beside it; their row counts as recorded."""
     wh = warehouse(spark, sf_dir)
     root = _scratch(spark, "wh")
     build_warehouse(wh, root)
-    for name, df in _run(spark, sf_dir, UNI_CFG).items():
-        df.createOrReplaceTempView(SINK.view_name("forecasts", name))
-    return wh
+    FP.append_run(_run(spark, sf_dir, UNI_CFG), root, TESTBED_RUN[0])
+    for name in FP.OUTPUT_TABLES:
+        SINK.read_table(spark, root, "forecasts", name).createOrReplaceTempView(SINK.view_name("forecasts", name))
+    return COMMITS.recorded(spark, root)
 
 
 @query("catalog_tables")
 def _catalog_tables(spark, sf_dir):
-    _built(spark, sf_dir)
-    return CAT.catalog_tables(spark)
+    return CAT.catalog_tables(spark, recorded=_built(spark, sf_dir))
 
 
 @query("catalog_columns")
 def _catalog_columns(spark, sf_dir):
     """Columns with row counts and descriptions from a documentation frame."""
-    _built(spark, sf_dir)
+    recorded = _built(spark, sf_dir)
     docs = spark.createDataFrame(list(CAT.COLUMN_DOCS), "table_name string, column_name string, description string")
-    return CAT.catalog_columns(spark, docs).join(CAT.catalog_tables(spark).select("table_schema", "table_name", "row_count"),
+    return CAT.catalog_columns(spark, docs).join(CAT.catalog_tables(spark, recorded=recorded).select("table_schema", "table_name", "row_count"),
                                                  ["table_schema", "table_name"])
 
 
@@ -478,10 +500,29 @@ def _rows_to_json(spark, sf_dir):
 
 @query("agg_approx_median")
 def _approx_median(spark, sf_dir):
-    """Approximate median, exact here: the accuracy exceeds every group's number of rows."""
+    """Approximate median per week and state; rank error at most 1/200 of a group."""
     f = warehouse(spark, sf_dir)["fct_orders"].filter(F.col("is_delivered") & F.col("delivery_days").isNotNull())
     return (f.groupBy(F.col("purchase_week").alias("week_start"), F.col("customer_state").alias("state_code"))
-             .agg(F.percentile_approx("delivery_days", 0.5, F.lit(10_000)).alias("median_delivery_days_approx")))
+             .agg(F.percentile_approx("delivery_days", 0.5, F.lit(200)).alias("median_delivery_days_approx")))
+
+
+@query("sketch_median_rollup")
+def _sketch_rollup(spark, sf_dir):
+    """Median delivery days by state, macro-region and country from stored weekly sketches, judged by exact ranks.
+
+    The answers themselves vary with the sketch's coin tosses; whether their true rank is within its error doesn't.
+    """
+    wh = warehouse(spark, sf_dir)
+    stored = SINK.materialize(wh["delivery_time_sketches"], _scratch(spark, "sketches"), "analytics", "delivery_time_sketches")
+    answers = marts.delivery_time_rollup(stored)
+    rows = marts.delivered_with_days(wh)
+    levels = {"state": F.col("customer_state"), "macro_region": F.col("customer_macro_region"), "country": F.lit(TS.COUNTRY_CODE)}
+    each = reduce(DataFrame.unionByName, [rows.select(F.lit(k).alias("region_level"), c.alias("region_code"), "delivery_days") for k, c in levels.items()])
+    by = ["region_level", "region_code"]
+    ranks = QU.rank_range(each, by, "delivery_days", answers, "median_delivery_days")
+    bound = 3 * QU.rank_error()
+    return answers.join(ranks.drop("n"), by, "left").select(
+        *by, "orders", ((F.col("low") <= 0.5 + bound) & (F.col("high") >= 0.5 - bound)).alias("within_rank_error"))
 
 
 def drift_model(y, horizon):

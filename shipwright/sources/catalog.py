@@ -1,7 +1,7 @@
 """Warehouse catalogue (S9-S10): tables, columns, row counts and column documentation.
 
-The listing itself is metadata (a few dozen tables); row counts are computed by one lazy union
-of count aggregates over the registered views.
+The listing itself is metadata (a few dozen tables); row counts are those recorded by the commits that wrote
+the tables, or one pass over the registered views.
 """
 
 from __future__ import annotations
@@ -37,24 +37,35 @@ def catalog_views(spark: SparkSession, schemas=("analytics", "forecasts")) -> li
     return sorted(out)
 
 
-def catalog_tables(spark: SparkSession, schemas=("analytics", "forecasts")) -> DataFrame:
+def catalog_tables(spark: SparkSession, schemas=("analytics", "forecasts"), recorded: DataFrame | None = None) -> DataFrame:
     """One row per catalogued table: schema, name, column count, row count; a view that fails to
-    resolve is listed with its error and no counts."""
-    parts = []
+    resolve is listed with its error and no counts.
+
+    ``recorded`` has row counts (table_schema, table_name, row_count) measured while tables were written; tables it hasn't
+    are counted, all in one pass.
+    """
+    known = set() if recorded is None else {(r.table_schema, r.table_name) for r in recorded.select("table_schema", "table_name").collect()}
+    listed, counted = [], []
     for schema, table in catalog_views(spark, schemas):
-        label = [F.lit(schema).alias("table_schema"), F.lit(table).alias("table_name")]
         try:
             df = spark.table(f"{schema}__{table}")
-            n_cols = len(df.columns)
+            listed.append((schema, table, len(df.columns), None))
         except Exception as e:  # noqa: BLE001 - whatever is wrong with it is reported
-            parts.append(spark.range(1).select(*label, F.lit(None).cast("int").alias("n_columns"), F.lit(None).cast("long").alias("row_count"),
-                                               F.lit(str(e).splitlines()[0]).alias("error")))
+            listed.append((schema, table, None, str(e).splitlines()[0]))
             continue
-        parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(*label, F.lit(n_cols).alias("n_columns"), "row_count",
-                                                                        F.lit(None).cast("string").alias("error")))
-    if not parts:
-        return spark.createDataFrame([], "table_schema string, table_name string, n_columns int, row_count bigint, error string")
-    return reduce(DataFrame.unionByName, parts)
+        if (schema, table) not in known:
+            counted.append(df.select(F.lit(schema).alias("table_schema"), F.lit(table).alias("table_name")))
+    keys = ["table_schema", "table_name"]
+    tables = spark.createDataFrame(listed, "table_schema string, table_name string, n_columns int, error string")
+    counts = [] if recorded is None else [recorded.select(*keys, "row_count")]
+    if counted:
+        counts.append(reduce(DataFrame.unionByName, counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")))
+    if counts:
+        tables = tables.join(reduce(DataFrame.unionByName, counts), keys, "left")
+    else:
+        tables = tables.withColumn("row_count", F.lit(None).cast("long"))
+    # a resolved table without rows gives none to count
+    return tables.select(*keys, "n_columns", F.coalesce("row_count", F.when(F.col("error").isNull(), F.lit(0))).cast("long").alias("row_count"), "error")
 
 
 def catalog_columns(spark: SparkSession, docs: DataFrame | None = None, schemas=("analytics", "forecasts"),

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shipwright.sources.sinks import table_path
+from shipwright.sources import commits
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 BOM = "﻿"
@@ -89,28 +89,44 @@ def header_report(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 def row_count_report(loaded: dict[str, DataFrame], expected: dict[str, DataFrame | int]) -> DataFrame:
-    """(table, rows, expected, ok) for every loaded table, as one lazy union of counts.
+    """(table, rows, expected, ok) for every loaded table, counted in one pass over all of them.
 
     ``expected`` is a declared number of rows or the frame the table was loaded from.
     """
+    one = F.lit(1).cast("long")
+    none = F.lit(0).cast("long")
     parts = []
     for table, df in loaded.items():
-        a = df.agg(F.count(F.lit(1)).alias("rows"))
+        parts.append(df.select(F.lit(table).alias("table"), one.alias("rows"), none.alias("expected")))
         want = expected[table]
-        b = (a.select(F.lit(want).cast("long").alias("expected")) if isinstance(want, int)
-             else want.agg(F.count(F.lit(1)).alias("expected")))
-        both = (a.select(F.lit(table).alias("table"), "rows", F.lit(None).cast("long").alias("expected"))
-                 .unionByName(b.select(F.lit(table).alias("table"), F.lit(None).cast("long").alias("rows"), "expected"))
-                 .groupBy("table").agg(F.max("rows").alias("rows"), F.max("expected").alias("expected")))
-        parts.append(both)
-    out = reduce(DataFrame.unionByName, parts)
+        parts.append(df.sparkSession.range(1).select(F.lit(table).alias("table"), none.alias("rows"), F.lit(want).cast("long").alias("expected"))
+                     if isinstance(want, int) else want.select(F.lit(table).alias("table"), none.alias("rows"), one.alias("expected")))
+    out = reduce(DataFrame.unionByName, parts).groupBy("table").agg(F.sum("rows").alias("rows"), F.sum("expected").alias("expected"))
     return out.withColumn("ok", F.col("rows") == F.col("expected"))
 
 
-def load_raw_layer(spark: SparkSession, sources: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Write each source to ``{root}/raw/{table}`` as CSV and read it back typed (overwrite = idempotent)."""
-    out = {}
+def load_raw_layer(spark: SparkSession, sources: dict[str, DataFrame], root: str, expected: dict[str, int] | None = None) -> dict[str, DataFrame]:
+    """Load each source as CSV into ``raw.{table}`` under ``root``, all in one commit, and read it back typed.
+
+    Readers of the layer see the earlier load until every table of this one is written; a repeated load replaces it.
+    The manifest keeps the rows written and the rows of the source (or the declared number of rows).
+    """
+    watched, writes = {}, []
     for table, df in sources.items():
-        path = write_csv(df.select(*schema_of(table).names), table_path(root, "raw", table))
-        out[table] = read_csv_typed(spark, path, table)
-    return out
+        watched[table] = Observation()
+        df = df.observe(watched[table], F.count(F.lit(1)).alias("rows")).select(*schema_of(table).names)
+        writes.append(commits.Write("raw", table, df, writer=write_csv))
+    commit = commits.new_commit()
+    entries = commits.write_all(root, commit, writes)
+    for e in entries:
+        name = e["table_name"]
+        e["measures"]["expected"] = (expected or {}).get(name, watched[name].get.get("rows", 0))
+    commits.publish(spark, root, commit, entries)
+    return {e["table_name"]: read_csv_typed(spark, f"{root.rstrip('/')}/{e['folder']}", e["table_name"]) for e in entries}
+
+
+def load_report(spark: SparkSession, root: str) -> DataFrame:
+    """(table, rows, expected, ok) of the last load, as recorded while it was written."""
+    live = commits.live_entries(spark, root).filter("schema_name = 'raw'")
+    return live.select(F.col("table_name").alias("table"), "rows", F.col("measures")["expected"].alias("expected")).withColumn(
+        "ok", F.col("rows") == F.col("expected"))

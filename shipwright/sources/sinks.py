@@ -1,12 +1,11 @@
-"""Sinks: materialise a model as a table, append run outputs."""
+"""Sinks: materialise a model as a table, append run outputs (S4, S6, S7, S8). All writes are commits."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def table_path(root: str, schema: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{schema}/{table}"
+from shipwright.sources import commits
+from shipwright.sources.commits import Write
 
 
 def view_name(schema: str, table: str) -> str:
@@ -15,27 +14,23 @@ def view_name(schema: str, table: str) -> str:
 
 
 def materialize(df: DataFrame, root: str, schema: str, table: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Overwrite ``{root}/{schema}/{table}`` with the frame, read it back and register the view.
+    """Replace ``schema.table`` under ``root`` with the frame, read it back and register the view.
 
-    Overwrite makes the build idempotent; reading back cuts the lineage, so later models start
-    from the written files rather than recomputing the chain.
+    Readers keep the old files until the new ones are complete; a repeated build leaves the same rows. Reading back
+    cuts the lineage, so later models start from the written files rather than recomputing the chain.
     """
-    path = table_path(root, schema, table)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    out = df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    commits.commit_all(spark, root, [Write(schema, table, df, partition_by=tuple(partition_by or ()))])
+    out = commits.read(spark, root, schema, table)
     out.createOrReplaceTempView(view_name(schema, table))
     return out
 
 
-def append_table(df: DataFrame, root: str, schema: str, table: str) -> str:
-    """Append rows; the first append creates the table with the frame's schema."""
-    path = table_path(root, schema, table)
-    df.write.mode("append").parquet(path)
-    return path
+def append_run(frames: dict[str, DataFrame], root: str, schema: str, run_id: str) -> list[dict]:
+    """Append one run's slice to each table, all of them in one commit; the same run again replaces its slices."""
+    spark = next(iter(frames.values())).sparkSession
+    return commits.commit_all(spark, root, [Write(schema, table, df, key=run_id) for table, df in frames.items()])
 
 
 def read_table(spark: SparkSession, root: str, schema: str, table: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, schema, table))
+    return commits.read(spark, root, schema, table)
