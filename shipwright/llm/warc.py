@@ -41,7 +41,8 @@ MIN_REVISIT = 1000
 ARCHIVE_BYTES = 64 << 20      # compressed; a task starts a new archive beyond it
 SALTS = 64
 READ_BYTES = 1 << 20
-MAX_MEMBER = 1 << 30          # bytes of a record; larger ones are quarantined
+MAX_RECORD = 1 << 31          # bytes of a block or of headers: what a binary value can hold, so only a damaged length is larger
+TASK_BYTES = 128 << 20        # archives a reading task gets, about
 VERSION = b"WARC/1."
 GZIP = b"\x1f\x8b\x08"
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
@@ -83,14 +84,14 @@ class More(Exception):
     """The bytes at hand end inside a record."""
 
 
-def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
+def parse_record(data: bytes | bytearray, at: int = 0, max_record: int = MAX_RECORD) -> tuple[dict, int]:
     """(record, end) of the plain record that begins at ``at``; raises BadRecord or More."""
     if not data.startswith(VERSION, at):
-        raise More if VERSION.startswith(data[at:at + len(VERSION)]) else BadRecord("no version line")
+        raise More if VERSION.startswith(bytes(data[at:at + len(VERSION)])) else BadRecord("no version line")
     end = data.find(b"\r\n\r\n", at)
+    if (len(data) if end < 0 else end) - at > max_record:
+        raise BadRecord("headers don't end")
     if end < 0:
-        if len(data) - at > 1 << 16:
-            raise BadRecord("headers don't end")
         raise More
     headers = {}
     for line in data[at:end].split(b"\r\n")[1:]:
@@ -103,14 +104,14 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
         kind = headers["warc-type"]
     except (KeyError, ValueError):
         raise BadRecord("no Content-Length or WARC-Type") from None
-    if length < 0 or length > MAX_MEMBER:
+    if length < 0 or length > max_record:
         raise BadRecord("Content-Length out of range")
     stop = end + 4 + length
     if len(data) < stop + 4:
         raise More
     if data[stop:stop + 4] != b"\r\n\r\n":
         raise BadRecord("record doesn't end at its Content-Length")
-    block = data[end + 4:stop]
+    block = bytes(data[end + 4:stop])
     if headers.get("content-type", "").startswith("application/http"):
         payload = block.partition(b"\r\n\r\n")[2]
     else:
@@ -134,9 +135,10 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
 class _Member:
     """Records of one gzip member, inflated in pieces."""
 
-    def __init__(self):
+    def __init__(self, max_record: int = MAX_RECORD):
+        self.max_record = max_record
         self.z = zlib.decompressobj(31)
-        self.plain, self.base, self.at = b"", 0, 0       # plain[0] stands at inflated offset base
+        self.plain, self.base, self.at = bytearray(), 0, 0       # plain[0] stands at inflated offset base
         self.held = None                                 # a good record that nothing vouches for yet
         self.held_at = 0
         self.gap_from, self.reason = None, ""
@@ -173,7 +175,7 @@ class _Member:
             elif self.at >= len(self.plain):
                 break
             try:
-                record, end = parse_record(self.plain, self.at)
+                record, end = parse_record(self.plain, self.at, self.max_record)
             except More:
                 if not ended:
                     break
@@ -191,7 +193,8 @@ class _Member:
                 yield self.held
             self.held, self.held_at, self.at = record, self.base + self.at, end
         if self.at > READ_BYTES:
-            self.plain, self.base, self.at = self.plain[self.at:], self.base + self.at, 0
+            del self.plain[:self.at]
+            self.base, self.at = self.base + self.at, 0
 
     def close(self, error: str | None) -> Iterator[dict]:
         """The last records; after an error the last good one goes with the damage."""
@@ -207,7 +210,7 @@ class _Member:
             yield self.held
 
 
-def salvage(read, read_bytes: int = READ_BYTES) -> Iterator[tuple[str, int, object]]:
+def salvage(read, read_bytes: int = READ_BYTES, max_record: int = MAX_RECORD) -> Iterator[tuple[str, int, object]]:
     """("record", offset, record) and ("gap", start, (end, reason)) of an archive.
 
     ``read(n)`` gives the next bytes, none at the end. Offsets count archive bytes, of a record in a member the
@@ -236,7 +239,7 @@ def salvage(read, read_bytes: int = READ_BYTES) -> Iterator[tuple[str, int, obje
             break
         start = at + 1                       # where to search on after a failed check
         if data.startswith(GZIP, at):
-            member, member_at, pos, good, error = _Member(), base + at, at, 0, None
+            member, member_at, pos, good, error = _Member(max_record), base + at, at, 0, None
             resume = base + start
             while not member.z.eof and error is None:
                 if pos >= len(data) and not fill():
@@ -277,7 +280,7 @@ def salvage(read, read_bytes: int = READ_BYTES) -> Iterator[tuple[str, int, obje
                 at = start - 1
         else:
             try:
-                record, end = parse_record(data, at)
+                record, end = parse_record(data, at, max_record)
             except More:
                 if fill():
                     read_bytes = min(max(READ_BYTES, len(data)), 64 << 20)   # a large record: read on in growing steps
@@ -431,15 +434,21 @@ def _from_manifest(what: str, payloads: bool):
     return run
 
 
+def _spread(manifest: DataFrame) -> DataFrame:
+    """Paths dealt to tasks evenly: a task an archive, as long as that gives no more tasks than their bytes are worth."""
+    total = manifest.agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).first()
+    tasks = max(1, min(total.n, max(1000, -(-(total.bytes or 0) // TASK_BYTES))))
+    return manifest.select("path").repartitionByRange(tasks, "path")       # a number of its own, which is not coalesced
+
+
 def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     """Records of the archives a manifest lists, streamed from the shared store; without payloads if not asked for."""
-    spread = manifest.select("path").repartition(F.col("path"))
-    return spread.mapInArrow(_from_manifest("record", payloads), RECORDS)
+    return _spread(manifest).mapInArrow(_from_manifest("record", payloads), RECORDS)
 
 
 def quarantined(manifest: DataFrame) -> DataFrame:
     """Byte gaps that the salvage reader skipped, with the reason of the first failed check."""
-    return manifest.select("path").repartition(F.col("path")).mapInArrow(_from_manifest("gap", False), GAPS)
+    return _spread(manifest).mapInArrow(_from_manifest("gap", False), GAPS)
 
 
 def _from_content(what: str, payloads: bool):

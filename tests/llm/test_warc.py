@@ -80,8 +80,50 @@ def test_one_bad_record_of_a_member_costs_only_itself(read_bytes, level, monkeyp
     ids, gaps = parts(many[:-9] + warc.gzip_member(record(5), level), read_bytes)
     assert ids[:-1] == list(range(10, 10 + len(ids) - 1)) and len(ids) >= 18 and ids[-1] == 5 and gaps == [(0, len(many) - 9)]
     # the limit holds for a record, not for a member of many
-    monkeypatch.setattr(warc, "MAX_MEMBER", 1000)
-    assert parts(many, read_bytes) == (list(range(10, 30)), [])
+    stream = io.BytesIO(many)
+    found = list(warc.salvage(stream.read, read_bytes, max_record=1000))
+    assert [x[2]["page_id"] for x in found] == list(range(10, 30))
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_long_headers_and_large_records(packed):
+    form = warc.gzip_member if packed else bytes
+    url = "data:text/html;base64," + "QUJD" * 100_000                      # 400,000 characters
+    payload = b"page"
+    long = warc.record_bytes(2, url, hashlib.sha1(payload).hexdigest(), len(payload), payload)
+    large = record(3, 5 << 20)
+    data = form(record(1)) + form(long) + form(large) + form(record(4))
+    for read_bytes in (1000, 1 << 20):
+        found = list(warc.salvage(io.BytesIO(data).read, read_bytes))
+        assert [x[0] for x in found] == ["record"] * 4 and found[1][2]["url"] == url and found[2][2]["payload_bytes"] == 5 << 20
+    # a length that no value can have is damage; one of more than a gigabyte isn't
+    head = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\nabc"
+    with pytest.raises(warc.More):
+        warc.parse_record(head % ((1 << 30) + 5))
+    with pytest.raises(warc.BadRecord):
+        warc.parse_record(head % ((1 << 31) + 1))
+    assert [x[0] for x in warc.salvage(io.BytesIO(data).read, 1000, max_record=100_000)] == ["record", "gap", "record"]
+
+
+def test_every_archive_is_a_task_of_its_own(spark):
+    pages = spark.range(64).selectExpr("id as page_id", "'u' as url", "repeat(cast(id as string), 600) as html").repartition(8)
+    manifest = warc.write_archives(pages, shared_path(spark, "warctasks"), archive_bytes=1)
+    n = manifest.count()
+    read = warc.read_archives(manifest)
+    assert n == 64 and read.rdd.getNumPartitions() == 64
+    from pyspark.sql import functions as F
+    assert {r["count"] for r in read.groupBy(F.spark_partition_id().alias("p")).count().collect()} == {1}
+
+
+def test_pages_with_long_urls_and_clashing_columns(spark):
+    from pyspark.sql import functions as F
+    rows = [(1, "u", "one"), (2, "data:" + "x" * 300_000, "two" * 500), (3, "v", "two" * 500), (4, "w", "y" * 3_000_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    clash = pages.select("*", *[F.lit("z").alias(c) for c in ("digest", "payload", "member", "n", "salt", "answer", "path", "top")])
+    want = {(i, len(h), hashlib.sha1(h.encode()).hexdigest(), "revisit" if i == 2 else "response", 3 if i == 2 else None) for i, _, h in rows}
+    for df in (pages, clash):
+        got = warc.round_trip(df).collect()
+        assert {(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got} == want and len(got) == 4
 
 
 def test_other_tools_read_the_members():
