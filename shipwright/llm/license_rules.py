@@ -3,7 +3,7 @@
 Texts are matched as lower-case words with one blank between them, marks removed: ``Apache License,
 Version 2.0`` reads ``apache license version 2 0``. A rule has a label, a priority (3: a grant or the
 license's own wording, 2: the license's name with the word license, 1: a weaker hint), a
-keyword the text must hold before the regex is tried, and the regex. ``rules()`` builds the list:
+keyword that every match of the regex holds (so a text without it needn't be tried), and the regex. ``rules()`` builds the list:
 every named license gives a grant, a notice, a title, an identifier and an address form; the
 license texts' own wordings follow.
 """
@@ -138,7 +138,7 @@ WORDINGS = [
     ("bsd", 2, "redistributions", r"redistributions of source code must retain the above copyright notice"),
     ("bsd-3-clause", 3, "endorse", r"may be used to endorse or promote products derived from this software without specific prior written permission"),
     ("bsd-4-clause", 3, "advertising", r"all advertising materials mentioning features or use of this software must display"),
-    ("apache-2.0", 3, "apache", r"you may not use this file except in compliance with the license"),
+    ("apache-2.0", 3, "in compliance", r"you may not use this file except in compliance with the license"),
     ("apache-2.0", 2, "apache", r"www apache org licenses license 2 0"),
     ("apache-2.0", 2, "contributor", r"subject to the terms and conditions of this license each contributor hereby grants to you a perpetual"),
     ("gpl", 3, "general public", r"redistribute it and or modify it under the terms of the gnu general public license"),
@@ -160,13 +160,14 @@ WORDINGS = [
     ("public-domain", 2, "public domain", r"(?:released|dedicated|placed) (?:in ?to|to|in) the public domain"),
     ("public-domain", 1, "public domain", r"(?:is|are) in the public domain"),
     ("cc0-1.0", 3, "cc0", r"cc0(?: 1 0)?(?: universal)?"),
-    ("cc0-1.0", 2, "public domain", r"creative commons (?:zero|public domain dedication)"),
+    ("cc0-1.0", 2, "creative commons", r"creative commons (?:zero|public domain dedication)"),
     ("zlib", 3, "permission", r"permission is granted to anyone to use this software for any purpose including commercial applications"),
     ("wtfpl", 3, "public license", r"do what the fuck you want to public license"),
     ("ofl-1.1", 2, "sil org", r"scripts sil org ofl"),
-    ("ncsa", 3, "permission", r"to deal with the software without restriction including without limitation the rights to use copy"),
-    ("artistic", 2, "artistic", r"same terms as perl itself|under the artistic license"),
-    ("python-2.0", 3, "python", r"psf hereby grants licensee a nonexclusive royalty free world wide license"),
+    ("ncsa", 3, "without restriction", r"to deal with the software without restriction including without limitation the rights to use copy"),
+    ("artistic", 2, "perl itself", r"same terms as perl itself"),
+    ("artistic", 2, "artistic", r"under the artistic license"),
+    ("python-2.0", 3, "psf", r"psf hereby grants licensee a nonexclusive royalty free world wide license"),
     ("openssl", 3, "openssl", r"this product includes software developed by the openssl project"),
     ("x11", 2, "x consortium", r"name of the x consortium shall not be used in advertising"),
     ("php", 3, "php", r"this product includes php software freely available from"),
