@@ -44,6 +44,7 @@ EM_ROUNDS = 3
 SMOOTHING = 0.05         # added to each expected piece count
 UNKNOWN_CHAR = 1e-8      # probability of a character that no piece covers
 MAX_PIECE = 16           # letters; longer pieces of the vocabulary are not used
+PLAIN_LETTERS = 32       # a longer word's probability may be too small for a float
 MAX_CACHED_WORDS = 400_000
 MARK = "▁"          # start of word in the vocabulary
 UND = "und"
@@ -145,6 +146,8 @@ def log_likelihood(string: str, table: dict, n_langs: int) -> list[float]:
 def expected_counts(string: str, probs: dict[str, float], weight: float, out: dict[str, float]) -> None:
     """Adds the expected number of uses of each piece in ``string`` under one language's model."""
     n = len(string)
+    if n > PLAIN_LETTERS:
+        return _expected_counts_of_long(string, probs, weight, out)
     arcs = []
     alpha = [1.0] + [0.0] * n
     for j in range(1, n + 1):
@@ -170,6 +173,37 @@ def expected_counts(string: str, probs: dict[str, float], weight: float, out: di
         beta[j - 1] += UNKNOWN_CHAR * beta[j]
 
 
+def _log_sum(terms: list[float]) -> float:
+    top = max(terms)
+    return top + math.log(sum(math.exp(x - top) for x in terms))
+
+
+def _expected_counts_of_long(string: str, probs: dict[str, float], weight: float, out: dict[str, float]) -> None:
+    """The same by logarithms, for words whose probability is too small for a float."""
+    n = len(string)
+    skip = math.log(UNKNOWN_CHAR)
+    arcs: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]       # by end: (start, log probability)
+    alpha = [0.0] * (n + 1)
+    for j in range(1, n + 1):
+        for i in range(max(0, j - MAX_PIECE - 1), j):
+            p = probs.get(string[i:j], 0.0)
+            if p > 0:
+                arcs[j].append((i, math.log(p)))
+        alpha[j] = _log_sum([alpha[i] + p for i, p in arcs[j]] + [alpha[j - 1] + skip])
+    onward: list[list[float]] = [[] for _ in range(n + 1)]
+    beta = 0.0
+    for j in range(n, 0, -1):
+        if j < n:
+            beta = _log_sum(onward[j])
+        for i, p in arcs[j]:
+            onward[i].append(p + beta)
+            share = math.exp(alpha[i] + p + beta - alpha[n])
+            if share > 0:
+                piece = string[i:j]
+                out[piece] = out.get(piece, 0.0) + weight * share
+        onward[j - 1].append(skip + beta)
+
+
 def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, word, count) of the training texts, summed inside a part of a batch."""
     for batch in batches:

@@ -46,6 +46,19 @@ def test_expected_counts_match_enumeration():
         assert abs(found.get(piece, 0) - want) < 1e-5
 
 
+def test_expected_counts_of_long_words():
+    probs = {langid.MARK: .3, "a": .2, "ab": .1, "b": .2, "ba": .15}
+    for word in ("ab" * 12, "aab" * 7 + "x", "xyab"):                    # both ways over words that both can take
+        plain, long = {}, {}
+        langid.expected_counts(langid.MARK + word, probs, 1.0, plain)
+        langid._expected_counts_of_long(langid.MARK + word, probs, 1.0, long)
+        assert set(plain) == set(long) and all(abs(plain[p] - long[p]) < 1e-9 for p in plain)
+    for word, letter in (("x" * 60 + "a", "a"), ("a" * 20_000, "a"), ("漢" * 500 + "b", "b")):
+        found = {}
+        langid.expected_counts(langid.MARK + word, probs, 1.0, found)
+        assert abs(found[letter] - word.count(letter)) < 1e-3 * word.count(letter)
+
+
 def test_words_are_runs_of_letters():
     lists = langid.split_words(pa.array(["Ab, c1d!", None, "", "123", "É ß"]).slice(0, 5))
     assert lists.to_pylist() == [["ab", "c", "d"], [], [], [], ["é", "ß"]]
