@@ -28,6 +28,29 @@ N_COLUMNS = {"dim_regions": 4, "dim_dates": 8, "dim_customers": 9, "dim_sellers"
              "forecast_demand_weekly_region": 13, "forecast_delivery_time_weekly_region": 13, "forecast_accuracy": 15, "forecast_runs": 12}
 
 _UNION = "\nunion all\n"
+# Descriptions of documented columns, as (table, column): text.
+DOCS = {
+    ("fct_orders", "contribution_margin"): "platform revenue less platform cost",
+    ("fct_orders", "delivery_days"): "days from purchase to delivery, delivered orders only",
+    ("fct_orders", "distance_km"): "great-circle distance between customer and primary seller",
+    ("mart_kpi_daily_region", "on_time_rate"): "delivered on or before the estimated date, share of delivered orders",
+    ("dim_dates", "iso_day_of_week"): "1 Monday to 7 Sunday",
+    ("forecast_accuracy", "horizon_weeks"): "weeks ahead; 0 pools all horizons",
+    ("forecast_accuracy", "wape"): "sum of absolute errors over sum of absolute actuals",
+}
+_TYPES = "map {'VARCHAR': 'string', 'BIGINT': 'bigint', 'INTEGER': 'int', 'DOUBLE': 'double', 'DATE': 'date', 'TIMESTAMP': 'timestamp_ntz', 'BOOLEAN': 'boolean'}"
+
+
+def _columns(schema, table, source):
+    """A table's columns and types as the engine itself names them, in order."""
+    return f"""select '{schema}' as table_schema, '{table}' as table_name, u.n as column_name, u.t, (select count(*) from {source}) as row_count,
+        row_number() over () - 1 as ordinal
+        from (unpivot (select typeof(columns(*)) from {source} limit 1) on columns(*) into name n value t) u"""
+
+
+_COLUMNS = _UNION.join([_columns("analytics", t, t) for t in ANALYTICS] + [_columns("forecasts", t, q) for t, q in FORECASTS.items()])
+_DOCUMENTED = " ".join(f"when table_name = '{t}' and column_name = '{c}' then '{d}'" for (t, c), d in DOCS.items())
+
 _COUNTS = _UNION.join(
     [f"select 'analytics' as table_schema, '{t}' as table_name, {N_COLUMNS[t]} as n_columns, count(*) as row_count from {t}" for t in ANALYTICS]
     + [f"select 'forecasts', '{t}', {N_COLUMNS[t]}, count(*) from {q}" for t, q in FORECASTS.items()])
@@ -48,6 +71,12 @@ IO_ORACLE = {
     "uni_append_counts": sql(_UNION.join(
         f"select '{t}' as table_name, r.run_id, count(*) as rows from {q}, (values ('testbed0001'), ('testbed0002')) r(run_id) group by r.run_id"
         for t, q in FORECASTS.items()), run=True),
+    "catalog_columns": sql(f"""select table_schema, table_name, cast(ordinal as integer) as ordinal, column_name, ({_TYPES})[t] as data_type,
+        case {_DOCUMENTED} else '' end as description, row_count from ({_COLUMNS}) c""", run=True),
+    "rows_to_json": with_models("""select month_start, category_name,
+        concat('{"month_start":"', month_start, '","category_name":"', category_name, '","orders":', orders,
+               ',"gmv":', cast(cast(gmv as decimal(18, 2)) as double), ',"raw_name":"', lower(hex(encode(category_name))),
+               '","at":"', month_start, 'T00:00:00"}') as row_json from mart_category_monthly"""),
     "uni_append_repeated": sql(_UNION.join(
         f"select '{t}' as table_name, r.run_id, count(*) as rows from {q}, (values ('testbed0001'), ('testbed0002')) r(run_id) group by r.run_id"
         for t, q in FORECASTS.items()), run=True),

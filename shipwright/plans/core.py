@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shipwright.functions import expr as X
+from shipwright.operators.skew import heavy_keys, spread_left_join
 from shipwright.operators.timeseries import date_spine
 from shipwright.plans.intermediate import distance_or_null, geo_point
 from shipwright.plans.warehouse import model
@@ -93,6 +94,11 @@ FCT_ORDER_COLUMNS = [
 ]
 
 
+def heavy_sellers(wh):
+    """Sellers with more than their share of all orders, counted on the order-grain roll-up (their number is bounded)."""
+    return heavy_keys(wh["int_order_items_agg"].select("primary_seller_id"), "primary_seller_id")
+
+
 @model("fct_orders")
 def fct_orders(wh):
     """One row per order: timing, service level and unit economics.
@@ -114,11 +120,12 @@ def fct_orders(wh):
     s = wh["dim_sellers"].select(F.col("seller_id").alias("primary_seller_id"), "seller_state",
                                  "seller_macro_region", "seller_lat", "seller_lng")
 
-    base = (o.join(c, "customer_id", "left")
-             .join(i, "order_id", "left")
-             .join(pay, "order_id", "left")
-             .join(r, "order_id", "left")
-             .join(s, "primary_seller_id", "left"))
+    by_order = (o.join(c, "customer_id", "left")
+                 .join(i, "order_id", "left")
+                 .join(pay, "order_id", "left")
+                 .join(r, "order_id", "left"))
+    # orders without items have no seller, and a few sellers may have a large part of all orders
+    base = spread_left_join(by_order, s, "primary_seller_id", "order_id", heavy_sellers(wh))
 
     delivered = F.col("order_status") == "delivered"
     df = base.withColumns({
