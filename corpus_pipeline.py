@@ -16,12 +16,21 @@ from shipwright.llm.common import ship_package, stage, table
 MIN_LANGUAGE_SCORE = 0.5
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the documents don't have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and those whose best language has a posterior under a half."""
     ship_package(spark)
     model = langid.train(docs)
-    scored = langid.predict(docs, model, docs.columns, "_lang_pred", "_lang_score")
-    kept = (F.col("_lang_pred") != langid.UND) & (F.col("_lang_score") >= MIN_LANGUAGE_SCORE)
+    pred, score = unused(docs, "_lang_pred"), unused(docs, "_lang_score")
+    scored = langid.predict(docs, model, docs.columns, pred, score)
+    kept = (F.col(pred) != langid.UND) & (F.col(score) >= MIN_LANGUAGE_SCORE)
     return scored.filter(kept).select(*docs.columns)
 
 
@@ -32,16 +41,17 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     none are rows like the others; of equal doc_ids the smallest number stays. Texts without a word have no copies.
     """
     ship_package(spark)
-    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "joinrows")
-    groups = ngram_join.near_duplicate_components(rows.select(F.col("_row").alias("doc_id"), "text"))
+    row, copy = unused(docs, "_row"), unused(docs, "_copy")
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "joinrows")
+    groups = ngram_join.near_duplicate_components(rows.select(F.col(row).alias("doc_id"), "text"))
     groups = groups.select(F.col("doc_id").alias("_copy"), "component_id")
-    ids = rows.select(F.col("_row").alias("_copy"), F.col("doc_id").cast("long").alias("_id"))
+    ids = rows.select(F.col(row).alias("_copy"), F.col("doc_id").cast("long").alias("_id"))
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_copy"))
     shared = groups.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     members = stage(groups.join(shared, "component_id").join(ids, "_copy"), "members")
     stay = members.groupBy("component_id").agg(first.alias("first")).select(F.col("first._copy").alias("_copy"))
-    copies = stage(members.join(stay, "_copy", "left_anti").select("_copy"), "copies")
-    return rows.join(ngram_join.sized(copies), F.col("_row") == F.col("_copy"), "left_anti").drop("_row")
+    copies = stage(members.join(stay, "_copy", "left_anti").select(F.col("_copy").alias(copy)), "copies")
+    return rows.join(ngram_join.sized(copies), F.col(row) == F.col(copy), "left_anti").drop(row)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
