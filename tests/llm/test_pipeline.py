@@ -75,3 +75,30 @@ def test_registered_and_guarded(spark):
     names = E.queries()
     assert "pipeline" in names and all(sum(k.startswith(f"op{n}_") for k in names) == 1 for n in range(1, 11))
     assert {"op2_warc_salvage", "op4_exact_top_k"} <= set(E.oracle_sql())
+
+
+@pytest.fixture()
+def clashing(spark):
+    """Documents with the names that stages use inside."""
+    from pyspark.sql import functions as F
+    rows = [(i, f"The quick brown fox number {i // 2} jumps over the lazy dog and the river bank", "en", "a", 60) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    return docs.select("*", *[F.lit(7).alias(c) for c in ("_row", "_copy", "_lang_pred", "_lang_score", "component_id", "_id")])
+
+
+def test_clashing_columns_come_through(spark, clashing):
+    import corpus_pipeline as P
+    for fn, left in ((P.language_id, 12), (P.ngram_jaccard_join, 6)):
+        out = fn(spark, clashing, SF)
+        assert out.columns == clashing.columns
+        rows = out.collect()
+        assert len(rows) == left and {(r._row, r._copy, r._lang_pred, r._lang_score) for r in rows} == {(7, 7, 7, 7)}
+
+
+def test_empty_and_wordless_tables(spark, clashing):
+    import corpus_pipeline as P
+    from pyspark.sql import functions as F
+    empty, blank = clashing.limit(0), clashing.withColumn("text", F.lit(None).cast("string")).withColumn("doc_id", F.lit(None).cast("long"))
+    assert P.language_id(spark, empty, SF).count() == 0 and P.language_id(spark, blank, SF).count() == 0
+    assert P.ngram_jaccard_join(spark, empty, SF).count() == 0 and P.ngram_jaccard_join(spark, blank, SF).count() == 12
+    assert P.pack(spark, P.mix_sources(spark, empty, SF), SF).count() == 0
