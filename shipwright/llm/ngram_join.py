@@ -16,13 +16,15 @@ the rest:
   spare. Two similar documents share more signatures than either has to spare, so, with all signatures in one
   order by holders, the rarest they share is among those that both keep.
 
-Links are found in two rounds, both verified on the whole sets. A signature's hub is its smallest
+Links are found in three rounds, all verified on the whole sets. A signature's hub is its smallest
 id. First every document is paired with the hub it shares most signatures with: a large group of near
-copies is connected by as many pairs as it has documents, not by their square. Then, among documents
-that share a signature and are still in different components, all remaining pairs are
+copies is connected by as many pairs as it has documents, not by their square. Then documents
+that share a signature and are still in different components are
 compared in place; documents of a signature beyond ``POPULAR`` are cut into blocks, and each pair of blocks is a
 tile of its own, dealt to any task. Pairs pass a parity sketch (a lower bound of the difference, so it never loses a
-link) before their sets are fetched. The result is the connected components of all links.
+link) before their sets are fetched. The second round takes of a signature's possible pairs only a forest, closest first: it
+would join its components, so it has fewer pairs than documents. Its links are contracted, and
+the third round takes all possible pairs of components that are still apart. The result is the connected components of all links.
 
 Scale: signatures are (8-byte signature, id) rows, shuffled and sorted once and read as a
 stream, so a signature held by a third of all documents needs no memory; equal sets leave a task
@@ -45,7 +47,7 @@ from pyspark.sql import functions as F
 
 from shipwright.llm import shingles as S
 from shipwright.llm import tokens
-from shipwright.llm.common import stage
+from shipwright.llm.common import lean, stage
 
 NUM, DEN = 80, 100               # similarity as a ratio of whole numbers
 BAND_RATIO = 1.5
@@ -55,6 +57,7 @@ POPULAR = 4096                   # about so many documents of a signature are co
 BROADCAST_ROWS = 500_000         # narrow rows sent to all executors at most; more are joined by shuffle
 SEEN_SETS = 500_000              # sets a task remembers to write equal ones once
 ROWS_OUT = 200_000               # signature rows in a batch
+SLICE_BYTES = 1 << 20            # texts cut into shingles at once; their arrays take some 20 times as much
 BAND_BITS = np.uint64(63)        # low bits of a signature: its band
 _U = np.uint64
 
@@ -74,6 +77,11 @@ def band_of(size) -> np.ndarray:
     return np.searchsorted(_LOW, size, side="right") - 1
 
 
+def band_column():
+    """The band that a signature names."""
+    return F.col("sig").bitwiseAND(F.lit(int(BAND_BITS))).cast("int")
+
+
 def most_different(s: int, l: int) -> int:
     """Largest symmetric difference of two sets of these sizes that are similar enough."""
     return (s + l) * (DEN - NUM) // (DEN + NUM)
@@ -142,7 +150,7 @@ def sketch(values: np.ndarray) -> bytes:
 def _sets(batch: pa.RecordBatch, column: int = 1) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, values, offsets) of slices of a batch."""
     texts = batch.column(column)
-    for lo, hi in tokens.chunks(texts.fill_null("")):
+    for lo, hi in tokens.chunks(texts.fill_null(""), SLICE_BYTES):
         values, offsets = S.shingle_sets(texts.slice(lo, hi - lo))
         yield lo, values, offsets
 
@@ -279,25 +287,58 @@ def _possible(differ: np.ndarray, small: np.ndarray, large: np.ndarray) -> np.nd
     return (differ * (DEN + NUM) <= (small + large) * (DEN - NUM)) & (DEN * np.minimum(small, large) >= NUM * np.maximum(small, large))
 
 
-def _close_pairs(ids, labels, sizes, sketches, split: int = 0, tile: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _close_pairs(ids, labels, sizes, sketches, split: int = 0, forest: bool = False, tile: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of a group in different components that size and sketch allow; compared tile by tile.
 
-    With ``split`` only pairs of a row before it and one from it on.
+    With ``split`` only pairs of a row before it and one from it on. With ``forest`` only pairs that join components which
+    the pairs before them leave apart, the closest of a tile first: fewer pairs than rows.
     """
     marks = fold(sketches)
     n = len(ids)
+    _, group = np.unique(labels, return_inverse=True)
     for a in range(0, split or n, tile):
         for b in range(split or a, n, tile):
             x, y = slice(a, min(split or n, a + tile)), slice(b, min(n, b + tile))
-            differ = np.zeros((x.stop - a, y.stop - b), np.int64)
+            good = (group[x][:, None] != group[y][None, :]) & (ids[x][:, None] != ids[y][None, :])
+            if a == b:
+                good = np.triu(good, 1)
+            if not good.any():
+                continue
+            differ = np.zeros(good.shape, np.int64)
             for w in range(marks.shape[1]):
                 differ += np.bitwise_count(marks[x, w][:, None] ^ marks[y, w][None, :])
-            good = _possible(differ, sizes[x][:, None], sizes[y][None, :])
-            good &= (labels[x][:, None] != labels[y][None, :]) & (ids[x][:, None] != ids[y][None, :])
-            i, j = np.nonzero(np.triu(good, 1) if a == b else good)
-            if len(i):
-                p, q = ids[x][i], ids[y][j]
-                yield np.minimum(p, q), np.maximum(p, q)
+            i, j = np.nonzero(good & _possible(differ, sizes[x][:, None], sizes[y][None, :]))
+            if not len(i):
+                continue
+            if forest:
+                far = differ[i, j] / (sizes[x][i] + sizes[y][j])
+                kept, group = _joining(group, i + a, j + b, np.argsort(far, kind="stable"))
+                i, j = i[kept], j[kept]
+            p, q = ids[x][i], ids[y][j]
+            yield np.minimum(p, q), np.maximum(p, q)
+
+
+def _joining(group: np.ndarray, i: np.ndarray, j: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the pairs of rows that join groups, taken in ``order``; the groups after that)."""
+    up = np.arange(int(group.max()) + 1)
+
+    def root(g):
+        while up[g] != g:
+            up[g] = up[up[g]]
+            g = up[g]
+        return g
+
+    kept, most = [], len(np.unique(np.r_[group[i], group[j]])) - 1
+    for k in order:
+        p, q = root(group[i[k]]), root(group[j[k]])
+        if p != q:
+            up[max(p, q)] = min(p, q)
+            kept.append(k)
+            if len(kept) == most:
+                break
+    while (up[up] != up).any():
+        up = up[up]
+    return np.array(kept, np.int64), up[group]
 
 
 def _allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,7 +364,7 @@ def dealt(rest: DataFrame) -> DataFrame:
     return rows.withColumns({"low": F.least("block", "_with"), "high": F.greatest("block", "_with")}).drop("blocks", "_with")
 
 
-def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _open_pairs(batches: Iterator[pa.RecordBatch], forest: bool = False) -> Iterator[pa.RecordBatch]:
     """Reads (sig, low, high, block, id, label, n, sketch) sorted so; pairs still to be verified."""
     held, current = [], None
 
@@ -334,7 +375,7 @@ def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split = blocks.count(low) if low < high else 0
             if low < high and split in (0, len(held)):      # one of the blocks has no row
                 return
-            for a, b in _close_pairs(np.array(ids), np.array(labels), np.array(sizes), list(sketches), split):
+            for a, b in _close_pairs(np.array(ids), np.array(labels), np.array(sizes), list(sketches), split, forest):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     for batch in batches:
@@ -346,6 +387,11 @@ def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
+def _forest_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As `_open_pairs`, only pairs that join components of a signature: fewer than its documents."""
+    return _open_pairs(batches, forest=True)
+
+
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
@@ -375,6 +421,37 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after some more links: components of the links between labels, put on top of the labels."""
+    a, b = (labels.select(F.col("id").alias(c), F.col("label").alias(f"label_{c}")) for c in ("a", "b"))
+    between = links.join(a, "a", "left").join(b, "b", "left").select(
+        F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")).filter("a <> b").distinct()
+    top = components(between)
+    before = labels.union(top.join(labels, "id", "left_anti").select("id", F.col("id").alias("label")))
+    return stage(before.join(top.select(F.col("id").alias("label"), F.col("label").alias("new")), "label", "left").select(
+        "id", F.coalesce("new", "label").alias("label")), "merged")
+
+
+def open_rows(marked: DataFrame) -> DataFrame:
+    """The rows (sig, id, label) of signatures whose documents are not all in one component, with the number of their holders."""
+    open_sigs = stage(marked.groupBy("sig").agg(F.count("*").alias("holders"), F.min("label").alias("lo"),
+                                                F.max("label").alias("hi"))
+                      .filter(F.col("lo") != F.col("hi")).select("sig", "holders"), "open")
+    return stage(marked.join(sized(open_sigs), "sig"), "marked")
+
+
+def rarest(left: DataFrame, spare: DataFrame) -> DataFrame:
+    """(sig, id, label) of the signatures that documents are compared in.
+
+    A partner shares more signatures than there are to spare, all of them open; the rarest of them are enough.
+    """
+    each = Window.partitionBy("id", "band")
+    rest = left.withColumn("band", band_column()).withColumns({
+        "c": F.count("*").over(each), "place": F.row_number().over(each.orderBy("holders", "sig"))})
+    rest = rest.join(spare, ["id", "band"]).filter(F.col("place") <= F.col("c") - F.col("spare"))
+    return stage(rest.select("sig", "id", "label"), "rest")
+
+
 def sized(df: DataFrame) -> DataFrame:
     """A staged narrow table with a broadcast hint where its row count allows one; else it is joined by shuffle."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
@@ -384,7 +461,7 @@ def _verified(pairs: DataFrame, named: DataFrame, tag: str) -> DataFrame:
     """The similar ones of staged pairs; fetches the whole sets of their documents only."""
     ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), f"{tag}ids")
     sets = stage(named.join(sized(ids), named.doc_id == F.col("id"), "left_semi").mapInArrow(
-        _set_rows, "id long, n long, shingles array<long>"), f"{tag}sets")
+        lean(_set_rows), "id long, n long, shingles array<long>"), f"{tag}sets")
     return stage(_similar(pairs, sets), f"{tag}links")
 
 
@@ -400,17 +477,15 @@ def near_duplicate_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = stage(texts.mapInArrow(
-        _doc_rows, "doc_id long, n long, set_a long, set_b long, band int, spare_own int, spare_low int, sketch binary"), "docsets")
+        lean(_doc_rows), "doc_id long, n long, set_a long, set_b long, band int, spare_own int, spare_low int, sketch binary"), "docsets")
     named = texts.filter(F.col("doc_id").isNotNull())
-    shared = stage(named.mapInArrow(_signature_rows, "sig long, id long").repartition("sig")
+    shared = stage(named.mapInArrow(lean(_signature_rows), "sig long, id long").repartition("sig")
                    .sortWithinPartitions("sig", "id").mapInArrow(_shared_only, "sig long, id long, hub long"), "shared")
 
     spare = named_spares(rows)
-    band = F.col("sig").bitwiseAND(F.lit(int(BAND_BITS))).cast("int")
-
     # first round: each document with the hub it shares most signatures with
     marks = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).select(F.col("doc_id").alias("id"), "n", "sketch")
-    ties = shared.filter(F.col("id") != F.col("hub")).groupBy("id", "hub", band.alias("band")).agg(F.count("*").alias("c"))
+    ties = shared.filter(F.col("id") != F.col("hub")).groupBy("id", "hub", band_column().alias("band")).agg(F.count("*").alias("c"))
     ties = ties.join(spare, ["id", "band"]).filter(F.col("c") > F.col("spare"))
     best = ties.groupBy("id").agg(F.max(F.struct("c", (-F.col("hub")).alias("minus"))).alias("m")).select(
         (-F.col("m.minus")).alias("a"), F.col("id").alias("b"))
@@ -421,24 +496,17 @@ def near_duplicate_components(docs: DataFrame) -> DataFrame:
     links = _verified(near, named, "first")
     labels = components(links)
 
-    # second round: signatures whose documents are not all in one component yet
-    marked = shared.join(sized(labels), "id", "left").select("sig", "id", F.coalesce("label", "id").alias("label"))
-    open_sigs = stage(marked.groupBy("sig").agg(F.count("*").alias("holders"), F.min("label").alias("lo"),
-                                                F.max("label").alias("hi"))
-                      .filter(F.col("lo") != F.col("hi")).select("sig", "holders"), "open")
-    left = stage(marked.join(sized(open_sigs), "sig"), "marked")
-    # a partner shares more signatures than there are to spare, all of them open; the rarest of them are enough
-    each = Window.partitionBy("id", "band")
-    rest = left.withColumn("band", band).withColumns({
-        "c": F.count("*").over(each), "place": F.row_number().over(each.orderBy("holders", "sig"))})
-    rest = rest.join(spare, ["id", "band"]).filter(F.col("place") <= F.col("c") - F.col("spare"))
-    rest = dealt(stage(rest.select("sig", "id", "label"), "rest")).join(marks, "id")
-    order = ["sig", "low", "high", "block"]
-    pairs = stage(rest.select(*order, "id", "label", "n", "sketch").repartition("sig", "low", "high").sortWithinPartitions(*order)
-                  .mapInArrow(_open_pairs, "a long, b long").distinct(), "pairs")
-    more = _verified(pairs, named, "second")
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    # then the signatures whose documents are not all in one component: pairs that would join the components of a
+    # signature first, and once those are verified and contracted, all pairs of components still apart
+    left = shared
+    for pairs_of, tag in ((_forest_pairs, "forest"), (_open_pairs, "rest")):
+        left = open_rows(left.select("sig", "id").join(sized(labels), "id", "left").select(
+            "sig", "id", F.coalesce("label", "id").alias("label")))
+        rest = dealt(rarest(left, spare)).join(marks, "id")
+        order = ["sig", "low", "high", "block"]
+        pairs = stage(rest.select(*order, "id", "label", "n", "sketch").repartition("sig", "low", "high").sortWithinPartitions(*order)
+                      .mapInArrow(lean(pairs_of), "a long, b long").distinct(), f"{tag}pairs")
+        labels = merged(labels, _verified(pairs, named, tag))
 
     # copies of a set share a label; the smallest doc_id of the whole component names it
     key = ["n", "set_a", "set_b"]

@@ -150,3 +150,47 @@ def test_shingles_follow_the_definition(rnd):
     values, offsets = S.shingle_sets(pa.array(texts).slice(0, len(texts)))
     sizes = [len(shingle_set(t)) for t in texts]
     assert np.diff(offsets).tolist() == sizes
+
+
+def _roots(pairs, start):
+    up = dict(start)
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+    return {x: root(x) for x in up}
+
+
+def test_forest_joins_what_all_pairs_join(rnd):
+    """Any split and tile size: as many components as with all possible pairs, by fewer pairs than rows."""
+    gen = np.random.default_rng(9)
+    sets = []
+    for _ in range(6):
+        base = gen.integers(0, 1 << 63, 60, dtype=np.uint64)
+        sets += [np.unique(np.r_[base[rnd.randrange(1, 12):], gen.integers(0, 1 << 63, rnd.randrange(1, 9), dtype=np.uint64)]) for _ in range(12)]
+    rnd.shuffle(sets)
+    n = len(sets)
+    ids, sizes, marks = np.arange(n) * 3, np.array(list(map(len, sets))), [J.sketch(s) for s in sets]
+    for labels in (ids, ids - ids % 6):
+        start = {int(i): int(l) for i, l in zip(ids, labels)} | {int(l): int(l) for l in labels}
+        for split in (0, 20):
+            for tile in (7, 256):
+                got = [[(int(p), int(q)) for a, b in J._close_pairs(ids, labels, sizes, marks, split, forest, tile) for p, q in zip(a, b)]
+                       for forest in (True, False)]
+                assert _roots(got[0], start) == _roots(got[1], start)
+                assert set(got[0]) <= set(got[1]) and len(got[0]) < n and len(got[0]) < len(got[1])
+    assert not list(J._close_pairs(ids, ids * 0, sizes, marks, forest=True))
+
+
+def test_merged_labels(spark):
+    labels = spark.createDataFrame([(i, i - i % 3) for i in range(9)] + [(21, 20), (20, 20)], "id long, label long")
+    links = spark.createDataFrame([(4, 7), (21, 30), (31, 32), (0, 1)], "a long, b long")
+    got = sorted((r.id, r.label) for r in J.merged(labels, links).collect())
+    want = [(0, 0), (1, 0), (2, 0)] + [(i, 3) for i in range(3, 9)] + [(20, 20), (21, 20), (30, 20), (31, 31), (32, 31)]
+    assert got == want
+    assert sorted((r.id, r.label) for r in J.merged(labels, links.limit(0)).collect()) == sorted((r.id, r.label) for r in labels.collect())
