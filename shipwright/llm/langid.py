@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from shipwright.llm import tokens
-from shipwright.llm.common import stage
+from shipwright.llm.common import lean, stage
 
 VOCABULARY = "piece_bpe_32k.model"
 SAMPLE_ROWS = 20_000     # labelled rows used for fitting, about
@@ -45,7 +45,9 @@ SMOOTHING = 0.05         # added to each expected piece count
 UNKNOWN_CHAR = 1e-8      # probability of a character that no piece covers
 MAX_PIECE = 16           # letters; longer pieces of the vocabulary are not used
 PLAIN_LETTERS = 32       # a longer word's probability may be too small for a float
+TOGETHER = 4096          # words of a length whose sums are found side by side
 MAX_CACHED_WORDS = 400_000
+SLICE_BYTES = 2 << 20    # texts split into words at once
 MARK = "▁"          # start of word in the vocabulary
 UND = "und"
 
@@ -74,7 +76,8 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.langs, self.prior = model.langs, np.array(model.log_prior)
-        self.table = dict(zip(model.pieces, model.probs.T.tolist()))
+        self.index = {piece: i for i, piece in enumerate(model.pieces, 1)}
+        self.probs = np.concatenate([np.zeros((1, len(self.langs))), model.probs.T])
         self.rows: dict[str, int] = {}
         self.known = np.zeros((0, len(self.langs)))
 
@@ -85,10 +88,26 @@ class Scorer:
         new = [w for w in words if w not in self.rows]
         if new:
             self.rows.update((w, len(self.rows)) for w in new)
-            more = np.array([log_likelihood(MARK + w, self.table, len(self.langs)) for w in new])
-            self.known = np.concatenate([self.known, more.reshape(len(new), len(self.langs))])
+            self.known = np.concatenate([self.known, self.likelihoods([MARK + w for w in new])])
         return self.known[[self.rows[w] for w in words]] if words else self.known[:0]
 
+    def likelihoods(self, strings: list[str]) -> np.ndarray:
+        """Log likelihoods of marked words: those of one length together, long ones one by one with rescaling."""
+        out = np.empty((len(strings), len(self.langs)))
+        length = np.array(list(map(len, strings)))
+        for n in np.unique(length[length <= PLAIN_LETTERS + 1]):
+            at = np.flatnonzero(length == n)
+            for part in np.array_split(at, -(-len(at) // TOGETHER)):
+                out[part] = forward_of_many([strings[k] for k in part], self.index, self.probs)
+        for k in np.flatnonzero(length > PLAIN_LETTERS + 1):
+            out[k] = log_likelihood(strings[k], self, len(self.langs))
+        return out
+
+    def get(self, piece: str):
+        """Probabilities of a piece by language, None if it isn't in the vocabulary."""
+        row = self.index.get(piece)
+        return None if row is None else self.probs[row]
+
     def score(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         """(language, posterior) of each text."""
         n = len(texts)
@@ -120,7 +139,7 @@ def split_words(texts: pa.Array):
     return pa.LargeListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)], pa.int64()), lists.flatten().filter(keep))
 
 
-def log_likelihood(string: str, table: dict, n_langs: int) -> list[float]:
+def log_likelihood(string: str, table, n_langs: int) -> list[float]:
     """Forward algorithm in all languages at once; rescaled now and then, so any length works."""
     langs = range(n_langs)
     alpha = [[1.0] * n_langs]
@@ -143,6 +162,23 @@ def log_likelihood(string: str, table: dict, n_langs: int) -> list[float]:
     return [x + math.log(y) for x, y in zip(logs, alpha[-1])]
 
 
+def forward_of_many(strings: list[str], index: dict[str, int], probs: np.ndarray) -> np.ndarray:
+    """The same for strings of one length of at most ``PLAIN_LETTERS`` + 1, side by side.
+
+    ``index`` names the row of ``probs`` (pieces x languages) of a piece; row 0 is all zeros.
+    """
+    n = len(strings[0])
+    alpha = np.zeros((n + 1, len(strings), probs.shape[1]))
+    alpha[0] = 1.0
+    for j in range(1, n + 1):
+        alpha[j] = alpha[j - 1] * UNKNOWN_CHAR
+        for i in range(max(0, j - MAX_PIECE - 1), j):
+            rows = np.fromiter([index.get(s[i:j], 0) for s in strings], np.int64, len(strings))
+            hit = np.flatnonzero(rows)
+            alpha[j, hit] += alpha[i, hit] * probs[rows[hit]]
+    return np.log(alpha[n])
+
+
 def expected_counts(string: str, probs: dict[str, float], weight: float, out: dict[str, float]) -> None:
     """Adds the expected number of uses of each piece in ``string`` under one language's model."""
     n = len(string)
@@ -207,7 +243,7 @@ def _expected_counts_of_long(string: str, probs: dict[str, float], weight: float
 def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, word, count) of the training texts, summed inside a part of a batch."""
     for batch in batches:
-        for lo, hi in tokens.chunks(batch.column(1)):
+        for lo, hi in tokens.chunks(batch.column(1), SLICE_BYTES):
             lists = split_words(batch.column(1).slice(lo, hi - lo))
             size = np.diff(lists.offsets.to_numpy())
             langs = batch.column(0).slice(lo, hi - lo).take(pa.array(np.repeat(np.arange(hi - lo), size)))
@@ -230,7 +266,7 @@ def train(docs: DataFrame, vocabulary: str = VOCABULARY, sample_rows: int = SAMP
     total = sum(sizes.values())
     kept = 1.0 if total <= sample_rows else sample_rows / total
     sample = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < F.lit(int(kept * 1_000_003) + 1))
-    words = stage(sample.select("lang", "text").mapInArrow(_words_of, "lang string, word string, n long")
+    words = stage(sample.select("lang", "text").mapInArrow(lean(_words_of), "lang string, word string, n long")
                   .groupBy("lang", "word").agg(F.sum("n").alias("n")), "langwords")
     # start: every piece as likely as its length is short, the same in all languages
     start = np.array([0.1 ** len(p.lstrip(MARK)) for p in pieces])
@@ -252,7 +288,7 @@ def train(docs: DataFrame, vocabulary: str = VOCABULARY, sample_rows: int = SAMP
 
         counts = np.full((len(langs), len(pieces)), SMOOTHING)
         row_of = {l: i for i, l in enumerate(langs)}
-        summed = words.mapInArrow(expect, "lang string, piece string, x double").groupBy("lang", "piece").agg(
+        summed = words.mapInArrow(lean(expect), "lang string, piece string, x double").groupBy("lang", "piece").agg(
             F.sum("x").alias("x"))
         for r in summed.collect():          # at most vocabulary size x languages rows
             counts[row_of[r["lang"]], index[r["piece"]]] += r["x"]
@@ -271,13 +307,13 @@ def predict(docs: DataFrame, model: Model, keep: list[str], pred: str = "lang_pr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(held.value)
         for batch in batches:
-            for lo, hi in tokens.chunks(batch.column(at).fill_null("")):
+            for lo, hi in tokens.chunks(batch.column(at).fill_null(""), SLICE_BYTES):
                 part = batch.slice(lo, hi - lo)
                 p, s = scorer.score(part.column(at))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:len(keep)], pa.array(p, pa.string()), pa.array(s, pa.float64())], [*keep, pred, score])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(lean(run), schema)
 
 
 def held_out(doc_id="doc_id"):

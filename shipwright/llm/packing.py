@@ -189,6 +189,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", tiers=
                         doc_ids, parts, held = [], [], 0
         if parts:
             yield from _pack_block(doc_ids, parts, base, step_base, tiers, step_tokens)
+        parts = doc_ids = None
         enc.forget()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)

@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from shipwright.llm.common import give_back
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark runs the tasks; no threads inside one
 
 MAX_CACHED_PIECES = 400_000   # entries; the cache is emptied when it is full
@@ -67,6 +69,7 @@ class PieceEncoder:
     def forget(self) -> None:
         """Empties the cache: a reused worker must not carry it into the tasks of other stages."""
         self.cache.clear()
+        give_back()
 
     def whole(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)

@@ -35,6 +35,19 @@ def test_long_words_keep_their_numbers():
     assert abs(langid.log_likelihood(langid.MARK + "a" * n, table_, 1)[0] - (math.log(.5) + n * math.log(.25))) < 1e-2
 
 
+def test_words_side_by_side_have_the_same_sums():
+    pieces = sorted(["a", "ab", "abc", "ba", "b", "c", langid.MARK, langid.MARK + "ab", langid.MARK + "c", "cab", "bcab"])
+    probs = np.random.default_rng(1).random((3, len(pieces)))
+    probs /= probs.sum(axis=1, keepdims=True)
+    scorer = langid.Scorer(langid.Model(["x", "y", "z"], [0, 0, 0], pieces, probs))
+    words = ["".join(w) for n in range(1, 6) for w in itertools.product("abcq", repeat=n)] + ["q" * 32, "q" * 33, "ab" * 40, "abq" * 11, "c"]
+    words = list(dict.fromkeys(words))
+    table_ = dict(zip(pieces, probs.T.tolist()))
+    want = np.array([langid.log_likelihood(langid.MARK + w, table_, 3) for w in words])
+    assert np.allclose(scorer.words(words), want, rtol=1e-12, atol=1e-9)
+    assert np.array_equal(scorer.words(words[::-1]), scorer.words(words)[::-1])
+
+
 def test_expected_counts_match_enumeration():
     probs = {langid.MARK: .3, "a": .2, "ab": .1, "b": .2, "ba": .15}
     word, found = langid.MARK + "abab", {}
