@@ -1,6 +1,6 @@
 """Oracle SQL per registered query key (DuckDB dialect, over the pre-registered test tables)."""
 
-from oracle.models import flag, money, sdiv, with_models
+from oracle.models import money, ratio, with_models
 
 DASH = ("1997-01-01", "1999-12-31")
 
@@ -15,42 +15,42 @@ for _m in ("stg_orders", "stg_customers", "stg_sellers", "stg_products", "stg_or
     ORACLE[_m] = with_models(f"select * from {_m}")
 
 _RANGE = f"date_day between date '{DASH[0]}' and date '{DASH[1]}'"
-_WEIGHTED = sdiv(money("avg_delivery_days * delivered_orders"), "sum(delivered_orders)")
+_WEIGHTED = ratio(money("avg_delivery_days * delivered_orders"), "sum(delivered_orders)")
 
 ORACLE["dash_headline"] = with_models(f"""
     select cast(sum(orders) as bigint) as orders, cast(sum(delivered_orders) as bigint) as delivered_orders,
-           {sdiv('sum(on_time_orders)::double', 'sum(delivered_orders)')} as on_time_rate,
-           {sdiv(money('contribution_margin'), 'sum(orders)')} as margin_per_order,
-           {sdiv(money('delivery_cost'), 'sum(delivered_orders)')} as cost_per_delivery,
+           {ratio('sum(on_time_orders)::double', 'sum(delivered_orders)')} as on_time_rate,
+           {ratio(money('contribution_margin'), 'sum(orders)')} as margin_per_order,
+           {ratio(money('delivery_cost'), 'sum(delivered_orders)')} as cost_per_delivery,
            {money('gmv')} as gmv, {money('delivery_cost')} as delivery_cost,
            {money('contribution_margin')} as contribution_margin
     from mart_kpi_daily_region where {_RANGE}""")
 
 ORACLE["dash_weekly_service"] = with_models(f"""
     select d.week_start, k.macro_region, cast(sum(k.delivered_orders) as bigint) as delivered_orders,
-           {sdiv('sum(k.on_time_orders)::double', 'sum(k.delivered_orders)')} as on_time_rate,
-           {sdiv(money('k.avg_delivery_days * k.delivered_orders'), 'sum(k.delivered_orders)')} as avg_delivery_days
+           {ratio('sum(k.on_time_orders)::double', 'sum(k.delivered_orders)')} as on_time_rate,
+           {ratio(money('k.avg_delivery_days * k.delivered_orders'), 'sum(k.delivered_orders)')} as avg_delivery_days
     from mart_kpi_daily_region k join dim_dates d on k.date_day = d.date_day
     where k.{_RANGE}
     group by d.week_start, k.macro_region order by 1, 2""")
 
 ORACLE["dash_monthly_unit_economics"] = with_models(f"""
     select month_start, cast(sum(orders) as bigint) as orders,
-           {sdiv(money('contribution_margin'), 'sum(orders)')} as margin_per_order,
-           {sdiv(money('delivery_cost'), 'sum(delivered_orders)')} as cost_per_delivery,
-           {sdiv(money('platform_revenue'), 'sum(orders)')} as revenue_per_order,
-           {sdiv(money('platform_cost'), 'sum(orders)')} as cost_per_order,
-           {sdiv(money('gmv'), 'sum(orders)')} as avg_order_value
+           {ratio(money('contribution_margin'), 'sum(orders)')} as margin_per_order,
+           {ratio(money('delivery_cost'), 'sum(delivered_orders)')} as cost_per_delivery,
+           {ratio(money('platform_revenue'), 'sum(orders)')} as revenue_per_order,
+           {ratio(money('platform_cost'), 'sum(orders)')} as cost_per_order,
+           {ratio(money('gmv'), 'sum(orders)')} as avg_order_value
     from mart_unit_economics_monthly where month_start between date '{DASH[0]}' and date '{DASH[1]}'
     group by month_start order by 1""")
 
 ORACLE["dash_state_scorecard"] = with_models(f"""
     select state_code, macro_region, cast(sum(orders) as bigint) as orders,
-           {sdiv('sum(on_time_orders)::double', 'sum(delivered_orders)')} as on_time_rate,
+           {ratio('sum(on_time_orders)::double', 'sum(delivered_orders)')} as on_time_rate,
            {_WEIGHTED} as avg_delivery_days,
-           {sdiv(money('contribution_margin'), 'sum(orders)')} as margin_per_order,
-           {sdiv(money('delivery_cost'), 'sum(delivered_orders)')} as cost_per_delivery,
-           {sdiv(money('gmv'), 'sum(orders)')} as avg_order_value
+           {ratio(money('contribution_margin'), 'sum(orders)')} as margin_per_order,
+           {ratio(money('delivery_cost'), 'sum(delivered_orders)')} as cost_per_delivery,
+           {ratio(money('gmv'), 'sum(orders)')} as avg_order_value
     from mart_kpi_daily_region where {_RANGE}
     group by state_code, macro_region order by 3 desc""")
 
@@ -62,14 +62,14 @@ ORACLE["dash_cost_mix"] = with_models(f"""
 _MEASURES = f"""
            cast(sum(orders) as bigint) as orders, cast(sum(delivered_orders) as bigint) as delivered_orders,
            {money('gmv')} as gmv,
-           {sdiv('sum(on_time_orders)::double', 'sum(delivered_orders)')} as on_time_rate,
+           {ratio('sum(on_time_orders)::double', 'sum(delivered_orders)')} as on_time_rate,
            {_WEIGHTED} as avg_delivery_days,
            {money('contribution_margin')} as contribution_margin,
-           {sdiv(money('contribution_margin'), 'sum(orders)')} as margin_per_order,
-           {sdiv(money('delivery_cost'), 'sum(delivered_orders)')} as cost_per_delivery,
-           {sdiv(money('gmv'), 'sum(orders)')} as avg_order_value,
-           {sdiv(money('freight_revenue'), money('gmv'))} as freight_to_gmv,
-           {sdiv(money('contribution_margin'), money('platform_revenue'))} as contribution_margin_pct"""
+           {ratio(money('contribution_margin'), 'sum(orders)')} as margin_per_order,
+           {ratio(money('delivery_cost'), 'sum(delivered_orders)')} as cost_per_delivery,
+           {ratio(money('gmv'), 'sum(orders)')} as avg_order_value,
+           {ratio(money('freight_revenue'), money('gmv'))} as freight_to_gmv,
+           {ratio(money('contribution_margin'), money('platform_revenue'))} as contribution_margin_pct"""
 
 ORACLE["kpi_measures"] = with_models(f"""
     select macro_region, {_MEASURES} from mart_kpi_daily_region group by macro_region""")
@@ -77,8 +77,8 @@ ORACLE["kpi_measures"] = with_models(f"""
 ORACLE["kpi_prior_year"] = with_models(f"""
     , monthly as (
         select cast(date_trunc('month', date_day) as date) as month_start, cast(sum(orders) as bigint) as orders,
-               {sdiv('sum(on_time_orders)::double', 'sum(delivered_orders)')} as on_time_rate,
-               {sdiv(money('contribution_margin'), 'sum(orders)')} as margin_per_order
+               {ratio('sum(on_time_orders)::double', 'sum(delivered_orders)')} as on_time_rate,
+               {ratio(money('contribution_margin'), 'sum(orders)')} as margin_per_order
         from mart_kpi_daily_region group by 1)
     select m.month_start, m.orders, m.on_time_rate, m.margin_per_order,
            p.orders as orders_py, p.on_time_rate as on_time_rate_py, p.margin_per_order as margin_per_order_py,

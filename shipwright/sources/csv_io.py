@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shipwright.sources import commits
+from shipwright.sources.first_lines import first_lines
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 BOM = "﻿"
@@ -74,18 +75,12 @@ def write_csv(df: DataFrame, path: str) -> str:
 def header_report(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Compare the first line of every file with the declared columns (a leading BOM is tolerated).
 
-    The first line is the earliest one of the block at file offset 0; rows of a file's other
-    blocks are dropped as they are read. Output: table, file, header, ok; an empty file is not ok.
+    Files are read up to their first line end only. Output: table, file, header, ok; an empty file has no header and is not ok.
     """
-    parts = []
-    for table, path in paths.items():
-        lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
-                                             F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
-        first = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("line"))
-        header = F.regexp_replace("line", f"^{BOM}", "")
-        parts.append(first.select(F.lit(table).alias("table"), "file", header.alias("header"),
-                                  F.coalesce(header == ",".join(schema_of(table).names), F.lit(False)).alias("ok")))
-    return reduce(DataFrame.unionByName, parts)
+    declared = F.create_map(*[F.lit(x) for table in paths for x in (table, ",".join(schema_of(table).names))])
+    header = F.regexp_replace("line", f"^{BOM}", "")
+    return first_lines(spark, paths).select("table", "file", header.alias("header"),
+                                            F.coalesce(header == declared[F.col("table")], F.lit(False)).alias("ok"))
 
 
 def row_count_report(loaded: dict[str, DataFrame], expected: dict[str, DataFrame | int]) -> DataFrame:

@@ -57,6 +57,30 @@ def test_headers_are_judged_file_by_file(spark, tmp_path):
         CSV.read_csv_typed(spark, str(d), "raw_sellers").collect()
 
 
+def test_headers_are_read_up_to_their_line_end(spark, tmp_path):
+    """Byte order mark, other line ends, empty and hidden files; bytes read don't grow with the file."""
+    from shipwright.sources import first_lines as L
+    d = tmp_path / "sellers" / "part"
+    d.mkdir(parents=True)
+    good = "seller_id,seller_zip_code_prefix,seller_city,seller_state"
+    _write(d / "a.csv", good + "\r\n" + "s1,1,x,y\r\n" * 200_000)
+    _write(d / "b.csv", "")
+    _write(d / "c.csv", good)
+    _write(d / "d.csv", "x" * 10_000 + "\n" + "y" * 50_000)
+    _write(d / "_SUCCESS", "")
+    _write(d / ".a.csv.crc", "z\n")
+    path = str(tmp_path / "sellers")
+    out = {os.path.basename(r.file): (r.header, r.ok) for r in CSV.header_report(spark, {"raw_sellers": path}).collect()}
+    assert out == {"a.csv": (good, True), "b.csv": (None, False), "c.csv": (good, True), "d.csv": ("x" * 10_000, False)}
+    read = L.first_lines(spark, {"raw_sellers": path})
+    assert read.rdd.getNumPartitions() == 4
+    taken = {os.path.basename(r.file): (len(r.line or ""), r.bytes_read) for r in read.collect()}
+    assert all(n <= length + L.BLOCK for length, n in taken.values()) and taken["b.csv"] == (0, 0)
+    assert L.files_of(f"file://{path}") == ["file://" + f for f in L.files_of(path)]
+    (tmp_path / "none").mkdir()
+    assert L.first_lines(spark, {"raw_sellers": str(tmp_path / "none")}).count() == 0
+
+
 def test_declared_row_counts(spark):
     df = spark.range(3)
     out = {r.table: (r.rows, r.expected, r.ok) for r in CSV.row_count_report({"t": df, "u": df}, {"t": 3, "u": 5}).collect()}
