@@ -353,12 +353,13 @@ def _allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dealt(rest: DataFrame) -> DataFrame:
     """Rows (sig, id, ...) with the tiles (low, high) of blocks that they are compared in, and their block.
 
-    A signature with at most ``POPULAR`` rows is one tile. The rows of a larger one fall into blocks by a hash, and
+    Signatures whose rows are all of one component have no pair and are left out. One with at most ``POPULAR`` rows is one tile. The rows of a larger one fall into blocks by a hash, and
     each goes to the tiles of its own block with every block.
     """
-    many = stage(rest.groupBy("sig").agg(F.count("*").alias("c")).filter(F.col("c") > POPULAR).select(
-        "sig", F.ceil(2 * F.col("c") / F.lit(POPULAR)).cast("int").alias("blocks")), "tiles")
-    rows = rest.join(sized(many), "sig", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    many = stage(rest.groupBy("sig").agg(F.count("*").alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+                 .filter(F.col("lo") != F.col("hi")).select("sig", F.when(
+                     F.col("c") > POPULAR, F.ceil(2 * F.col("c") / F.lit(POPULAR))).otherwise(1).cast("int").alias("blocks")), "tiles")
+    rows = rest.join(sized(many), "sig")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "sig"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.withColumns({"low": F.least("block", "_with"), "high": F.greatest("block", "_with")}).drop("blocks", "_with")
