@@ -34,3 +34,16 @@ def test_unique_keys_leave_nulls_aside(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,), (None,)], "k string")
     assert skew.has_unique_keys(df, "k") and not skew.has_unique_keys(df.union(df.filter("k = 'a'")), "k")
     assert skew.has_unique_keys(df.limit(0), "k")
+
+
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_lines_are_shuffled_once_to_be_numbered_and_summed_by_order(spark):
+    items = warehouse(spark, SF001)["stg_order_items"]
+    per_order = items.groupBy("order_id").agg(F.max("order_item_id"), F.sum("price"))
+    assert shuffles(per_order) == shuffles(items) == 1
+    # the texts of the other ids are made after the lines have met
+    before = per_order.groupBy("order_id").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(l_partkey" not in before
