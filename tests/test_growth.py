@@ -47,3 +47,11 @@ def test_lines_are_shuffled_once_to_be_numbered_and_summed_by_order(spark):
     # the texts of the other ids are made after the lines have met
     before = per_order.groupBy("order_id").count()._jdf.queryExecution().optimizedPlan().toString()
     assert "cast(l_partkey" not in before
+
+
+def test_lines_with_their_order_are_read_once_and_make_their_key_last(spark):
+    """The orders' own item roll-up and seller join are left out: line items are read once."""
+    plan = optimized(warehouse(spark, SF001)["fct_order_items"])
+    assert plan.count("Relation [l_orderkey") == 1
+    key_at, joins_at = plan.index("md5("), plan.index("Join")
+    assert key_at < joins_at and plan.count("md5(") == 1
