@@ -6,6 +6,7 @@ from shipwright.operators import forecast as FC
 from shipwright.operators import skew
 from shipwright.plans import core  # noqa: F401
 from shipwright.plans import forecasting as FP
+from shipwright.plans import quality_suite as dq
 from shipwright.registry import warehouse
 from tests.conftest import SF001
 
@@ -55,3 +56,16 @@ def test_lines_with_their_order_are_read_once_and_make_their_key_last(spark):
     assert plan.count("Relation [l_orderkey") == 1
     key_at, joins_at = plan.index("md5("), plan.index("Join")
     assert key_at < joins_at and plan.count("md5(") == 1
+
+
+def test_a_model_is_read_once_for_all_columns_of_a_row_test(spark):
+    rows = spark.createDataFrame([("a", -1.0, 2.0), ("b", -3.0, -4.0), ("c", 1.0, 1.0), ("d", None, -5.0)], "k string, x double, y double")
+    wh = warehouse(spark, SF001)
+    wh.override("m", rows)
+    found = dq.non_negative_violations(wh, [("m", "x", "non_negative", None), ("m", "y", "non_negative", None)])
+    assert sorted(tuple(r) for r in found.collect()) == [("m", "x", "a", -1.0), ("m", "x", "b", -3.0), ("m", "y", "b", -4.0), ("m", "y", "d", -5.0)]
+    found = dq.between_violations(wh, [("m", "x", "between", (-2, 0)), ("m", "y", "between", (-4, 1))])
+    assert sorted(tuple(r) for r in found.collect()) == [("m", "x", "b", -3.0), ("m", "x", "c", 1.0), ("m", "y", "a", 2.0), ("m", "y", "d", -5.0)]
+    # stg_order_items (two columns) and fct_order_items, and for orders' items: roll-up, facts and the daily mart
+    plan = optimized(dq.non_negative_violations(warehouse(spark, SF001)))
+    assert plan.count("Relation [l_orderkey") < 10
