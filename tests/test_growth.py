@@ -69,3 +69,24 @@ def test_a_model_is_read_once_for_all_columns_of_a_row_test(spark):
     # stg_order_items (two columns) and fct_order_items, and for orders' items: roll-up, facts and the daily mart
     plan = optimized(dq.non_negative_violations(warehouse(spark, SF001)))
     assert plan.count("Relation [l_orderkey") < 10
+
+
+def test_margins_join_neither_products_nor_customers_nor_sellers(spark):
+    wh = warehouse(spark, SF001)
+    for plan in (optimized(dq.margin_components(wh)), optimized(dq.margin_components(dq.spoilt(wh)))):
+        assert "l_orderkey" in plan and "o_orderkey" in plan
+        assert "p_partkey" not in plan and "c_custkey" not in plan and "s_suppkey" not in plan
+
+
+def test_products_and_customers_that_are_there_twice_still_double_their_rows(spark):
+    wh = warehouse(spark, SF001)
+    before = {r.order_id: (r.gmv, r.n_items) for r in wh["int_order_items_agg"].collect()}
+    sold = wh["stg_order_items"].groupBy("product_id").count().orderBy(F.desc("count"), "product_id").first()
+    again = warehouse(spark, SF001)
+    again.raw["raw_products"] = again["raw_products"].union(again["raw_products"].filter(F.col("product_id") == sold.product_id))
+    again.raw["raw_customers"] = again["raw_customers"].union(again["raw_customers"].filter("customer_id = '3'"))
+    after = {r.order_id: (r.gmv, r.n_items) for r in again["int_order_items_agg"].collect()}
+    assert sum(n for _, n in after.values()) == sum(n for _, n in before.values()) + sold["count"]
+    orders_of_3 = wh["stg_orders"].filter("customer_id = '3'").count()
+    assert again["fct_orders"].count() == wh["stg_orders"].count() + orders_of_3
+    assert again["fct_order_items"].filter(F.col("product_id") == sold.product_id).count() >= 2 * sold["count"]
