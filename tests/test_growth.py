@@ -90,3 +90,61 @@ def test_products_and_customers_that_are_there_twice_still_double_their_rows(spa
     orders_of_3 = wh["stg_orders"].filter("customer_id = '3'").count()
     assert again["fct_orders"].count() == wh["stg_orders"].count() + orders_of_3
     assert again["fct_order_items"].filter(F.col("product_id") == sold.product_id).count() >= 2 * sold["count"]
+
+
+def test_rows_are_laid_out_before_the_other_columns_are_made(spark, tmp_path):
+    from shipwright.plans import build
+    wh = warehouse(spark, SF001)
+    rows, finish = wh["order_base"], lambda placed: build.order_facts(wh, placed)
+    laid, month = build.by_month(rows, *build.BY_MONTH["fct_orders"], finish)
+    fields = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    lines = laid._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    spark.conf.set("spark.sql.debug.maxToStringFields", fields)
+    spread = next(i for i, line in enumerate(lines) if "RebalancePartitions" in line)
+    made = [i for i, line in enumerate(lines) if "AS contribution_margin" in line]
+    assert made and max(made) < spread
+    build.build_warehouse(wh, str(tmp_path), ("fct_orders",))
+    plain = warehouse(spark, SF001)["fct_orders"]
+    assert wh["fct_orders"].columns == plain.columns
+    assert sorted(map(str, wh["fct_orders"].collect())) == sorted(map(str, plain.collect()))
+
+
+def test_a_given_fact_table_is_written_as_given(spark, tmp_path):
+    from shipwright.plans.build import build_warehouse
+    wh = warehouse(spark, SF001)
+    wh.override("fct_orders", wh["fct_orders"].filter("order_status = 'delivered'"))
+    few = wh["fct_orders"].count()
+    build_warehouse(wh, str(tmp_path), ("fct_orders",))
+    assert 0 < few == wh["fct_orders"].count() < wh["stg_orders"].count()
+
+
+def test_a_distinct_count_takes_no_other_values_along(spark):
+    from shipwright.plans import marts
+    rows = spark.createDataFrame([(1, "a", 2.0), (1, "a", 3.0), (1, "b", None), (1, None, 1.0), (2, None, 5.0), (None, "a", 1.0)],
+                                 "k int, id string, x double")
+    apart = marts.counted_apart(rows, ["k"], "id")
+    assert apart.filter("id is not null and (x is not null or _row is not null)").isEmpty()
+    got = apart.groupBy("k").agg(F.count("_row"), F.count_distinct("id"), F.sum("x"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, 4, 2, 6.0), (2, 1, 0, 5.0), (None, 1, 1, 1.0)], key=str)
+
+
+def test_sellers_of_written_lines_meet_orders_in_one_shuffle_of_lines(spark, tmp_path):
+    from shipwright.plans.build import build_warehouse
+    wh = warehouse(spark, SF001)
+    plain = wh["mart_seller_performance"]
+    built = warehouse(spark, SF001)
+    build_warehouse(built, str(tmp_path), ("dim_sellers", "fct_orders", "fct_order_items"))
+    mart = built["mart_seller_performance"]
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange hashpartitioning(seller_id" in line and "order_id" in line for line in plan.split("\n"))
+    assert sorted(mart.select("seller_id", "orders", "items", "gmv").collect()) == sorted(plain.select("seller_id", "orders", "items", "gmv").collect())
+
+
+def test_keys_of_events_are_one_to_one(spark):
+    texts = [None, "", "-", "0" * 32, "0" * 31, "A" * 32, "a" * 32, "a" * 32 + "\n", "32:" + "a" * 32, "x" + "a" * 16, "0:", "g" * 32]
+    pairs = [(i, a, b) for i, (a, b) in enumerate((a, b) for a in texts for b in texts)]
+    df = spark.createDataFrame(pairs, "i int, a string, b string")
+    got = df.select(dq._key("a", "b").alias("k"), dq._key("a").alias("one"))
+    assert got.select("k").distinct().count() == len(pairs) and got.select("one").distinct().count() == len(texts)
+    assert spark.createDataFrame([("ab" * 16,)], "a string").select(F.length(dq._key("a"))).first()[0] == 17
