@@ -31,12 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shipwright.llm import tokens
+from shipwright.llm.common import give_back
 
 TIERS = (4096, 2048, 1024, 512)
 BLOCK_TOKENS = 4 << 20
 STEP_TOKENS = 64 * 4096
 END_ID = 2
-MAX_BATCH_BYTES = 16 << 20   # ids in one output batch
+MAX_BATCH_BYTES = 2 << 20    # ids in one output batch
+CHUNK_BYTES = 1 << 20        # text encoded at once: its words, their places and ids take about twenty times as much
 
 PIECES = "doc_id long, start long, ids binary, length long, doc_tokens long, sequence_id long, offset long, " \
          "sequence_length long, tier long, step_group long"
@@ -177,7 +179,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", tiers=
         end = np.array([end_id], dtype=np.uint32)
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), batch.column(1)
-            for lo, hi in tokens.chunks(texts.fill_null("")):
+            for lo, hi in tokens.chunks(texts.fill_null(""), CHUNK_BYTES):
                 ids, offsets = enc.ids(texts.slice(lo, hi - lo))
                 for i in range(lo, hi):
                     doc_ids.append(names[i])
@@ -187,6 +189,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", tiers=
                         n, g = yield from _pack_block(doc_ids, parts, base, step_base, tiers, step_tokens)
                         base, step_base = base + n, step_base + g
                         doc_ids, parts, held = [], [], 0
+                        give_back()
         if parts:
             yield from _pack_block(doc_ids, parts, base, step_base, tiers, step_tokens)
         parts = doc_ids = None

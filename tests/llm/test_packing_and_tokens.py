@@ -107,3 +107,13 @@ def test_counts_come_from_the_cache(spark, odd_docs):
     forged.write.mode("append").parquet(cache)
     assert sorted(r.n_tokens for r in token_counts.count_tokens(odd_docs, cache).collect()) == sorted(r.n_tokens for r in rows)
     assert token_counts.count_tokens(odd_docs.limit(0), cache).count() == 0
+
+
+def test_packed_blocks_leave_in_small_batches():
+    import numpy as np
+
+    from shipwright.llm import packing
+    parts = [np.arange(700 + i % 900, dtype=np.uint32) for i in range(3000)]
+    batches = list(packing._pack_block(list(range(len(parts))), parts, 0, 0, packing.TIERS, packing.STEP_TOKENS))
+    sizes = [sum(len(b) for b in batch.column(2).to_pylist()) for batch in batches]
+    assert sum(sizes) == 4 * sum(len(p) for p in parts) and max(sizes) < 3 << 20 < sum(sizes)
