@@ -110,3 +110,20 @@ def test_calendar_spans_the_years_of_the_dates(spark):
     days = [r.date_day for r in date_spine(df, "d").orderBy("date_day").collect()]
     assert len(days) == 365 + 366 and days[0] == dt.date(2019, 1, 1) and days[-1] == dt.date(2020, 12, 31)
     assert date_spine(df.filter("d is null"), "d").count() == 0
+
+
+def test_unique_deals_a_key_to_as_many_tasks_as_it_has_values_for(spark, monkeypatch):
+    """Tasks of a uniqueness test grow with the key's table, whatever the shuffled bytes are merged to (8 partitions here)."""
+    from shipwright.plans import quality_suite as dq, staging  # noqa: F401  (its models)
+    from shipwright.plans.warehouse import Warehouse
+    monkeypatch.setattr(dq, "KEYS_A_TASK", 100)
+    ids = [str(i) for i in range(2490)] + [None, "7", "7", "8"]
+    sellers = spark.createDataFrame([(i, "1", "x", "s") for i in ids],
+                                    "seller_id string, seller_zip_code_prefix string, seller_city string, seller_state string")
+    wh = Warehouse(spark, {"raw_sellers": sellers})
+    found = dq.unique_violations(wh, [("stg_sellers", "seller_id", "unique", None)])
+    assert sorted((r.model, r.column_name, r.value, r.n_records) for r in found.collect()) == [
+        ("stg_sellers", "seller_id", "7", 3), ("stg_sellers", "seller_id", "8", 2)]
+    assert found.rdd.getNumPartitions() == 25
+    plain = dq.unique_violations(wh, [("stg_sellers", "seller_zip_prefix", "unique", None)])      # no key: left to Spark
+    assert [r.n_records for r in plain.collect()] == [2494] and plain.rdd.getNumPartitions() <= 8
