@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shipwright.llm import langid, mixing, ngram_join, packing
-from shipwright.llm.common import ship_package, stage, table
+from shipwright.llm.common import TEXT_CODEC, ship_package, stage, table
 
 MIN_LANGUAGE_SCORE = 0.5
 
@@ -42,7 +42,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """
     ship_package(spark)
     row, copy = unused(docs, "_row"), unused(docs, "_copy")
-    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "joinrows")
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "joinrows", codec=TEXT_CODEC)
     groups = ngram_join.near_duplicate_components(rows.select(F.col(row).alias("doc_id"), "text"))
     groups = groups.select(F.col("doc_id").alias("_copy"), "component_id")
     ids = rows.select(F.col(row).alias("_copy"), F.col("doc_id").cast("long").alias("_id"))
@@ -75,5 +75,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, fn in STAGES[:-1]:
-        docs = stage(fn(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stage(fn(spark, docs, sf_dir), f"pipeline-{name}", codec=TEXT_CODEC)
     return STAGES[-1][1](spark, docs, sf_dir)

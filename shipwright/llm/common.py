@@ -12,21 +12,24 @@ from pyspark.sql import functions as F
 
 from shipwright.session import scratch_root, ship_package
 
+TEXT_CODEC = "zstd"           # copies of whole texts stay on disk until their reader ends
+
 
 def shared_path(spark: SparkSession, tag: str) -> str:
     """A fresh folder in the shared checkpoint folder of the cluster."""
     return scratch_root(spark, f"llm-{tag}-{uuid.uuid4().hex[:12]}")
 
 
-def stage(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
+def stage(df: DataFrame, tag: str, path: str | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 
     Cuts the lineage with files every executor can see, so a lost executor costs only the
     tasks it was running, and gives the planner a measured size for its join choices.
+    ``codec``: of the files, if not the session's; whole texts are written with ``TEXT_CODEC``.
     """
     spark = df.sparkSession
     path = path or shared_path(spark, tag)
-    df.write.mode("append").parquet(path)
+    df.write.mode("append").parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

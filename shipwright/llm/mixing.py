@@ -31,7 +31,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shipwright.llm.common import stage
+from shipwright.llm.common import TEXT_CODEC, stage
 
 TARGET_ENTROPY = 0.9          # of ln(number of sources)
 MAX_EPOCHS = 4.0
@@ -188,7 +188,7 @@ def mixed_documents(docs: DataFrame, target_entropy: float = TARGET_ENTROPY, max
     beyond ``PLACES_SENT`` of them by a shuffle.
     """
     names = docs.columns
-    held = stage(docs.select(F.struct(*names).alias("_row"), F.monotonically_increasing_id().alias("_at")), "mixdocs")
+    held = stage(docs.select(F.struct(*names).alias("_row"), F.monotonically_increasing_id().alias("_at")), "mixdocs", codec=TEXT_CODEC)
     narrow = stage(keyed(held.select("_at", F.col("_row.doc_id").cast("long").alias("doc_id"), F.col("_row.source").cast("string").alias("source"),
                                      F.col("_row.text").alias("text"))).drop("text"), "mixrows")
     sources = source_plan(narrow, target_entropy, max_epochs, budget, seed)

@@ -102,3 +102,23 @@ def test_empty_and_wordless_tables(spark, clashing):
     assert P.language_id(spark, empty, SF).count() == 0 and P.language_id(spark, blank, SF).count() == 0
     assert P.ngram_jaccard_join(spark, empty, SF).count() == 0 and P.ngram_jaccard_join(spark, blank, SF).count() == 12
     assert P.pack(spark, P.mix_sources(spark, empty, SF), SF).count() == 0
+
+
+def test_copies_of_texts_are_written_with_zstd(spark, tmp_path, monkeypatch):
+    """Row numbers are written beside whole texts by the join and by the mix; both copies lie on disk until their reader ends."""
+    import glob
+
+    import corpus_pipeline as P
+    import pyarrow.parquet as pq
+    from shipwright.llm import common, mixing
+    monkeypatch.setattr(common, "scratch_root", lambda _, name: str(tmp_path / name))
+    words = [f"w{(i * 7919 + j * j) % 9973}" for i in range(40) for j in range(30)]
+    rows = [(i, " ".join(words[i * 30:(i + 1) * 30]), "en", f"s{i % 3}", 200) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    assert sorted(r.text for r in P.ngram_jaccard_join(spark, docs, SF).collect()) == sorted(r[1] for r in rows)
+    assert {r.text for r in mixing.mixed_documents(docs).collect()} == {r[1] for r in rows}
+    for tag in ("joinrows", "mixdocs"):
+        files = glob.glob(str(tmp_path / f"llm-{tag}-*" / "*.parquet"))
+        found = {pq.ParquetFile(f).metadata.row_group(g).column(c).compression
+                 for f in files for g in range(pq.ParquetFile(f).num_row_groups) for c in range(pq.ParquetFile(f).metadata.num_columns)}
+        assert found == {"ZSTD"}, tag
