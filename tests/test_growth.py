@@ -148,3 +148,23 @@ def test_keys_of_events_are_one_to_one(spark):
     got = df.select(dq._key("a", "b").alias("k"), dq._key("a").alias("one"))
     assert got.select("k").distinct().count() == len(pairs) and got.select("one").distinct().count() == len(texts)
     assert spark.createDataFrame([("ab" * 16,)], "a string").select(F.length(dq._key("a"))).first()[0] == 17
+
+
+def test_a_small_seller_dimension_comes_to_lines_and_orders(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SENT_ROWS", 15)                                  # there are 10 sellers
+    wh = warehouse(spark, SF001)
+    assert wh.is_small("dim_sellers") and not wh.is_small("dim_products")
+    for name in ("fct_order_items", "order_base"):
+        joins = [line for line in optimized(wh[name]).split("\n") if "Join LeftOuter" in line and "seller_id" in line]
+        assert joins and all("rightHint=(strategy=broadcast)" in line for line in joins)
+    assert "_slot" not in optimized(wh["order_base"])
+
+
+def test_large_and_small_dimensions_give_the_same_rows(spark, monkeypatch):
+    names = ("fct_orders", "fct_order_items", "int_order_items_agg")
+    plain = warehouse(spark, SF001)
+    want = {n: sorted(map(str, plain[n].collect())) for n in names}
+    monkeypatch.setattr(skew, "SENT_ROWS", 0)
+    spread = warehouse(spark, SF001)
+    assert not spread.is_small("dim_sellers")
+    assert {n: sorted(map(str, spread[n].collect())) for n in names} == want
