@@ -168,3 +168,46 @@ def test_large_and_small_dimensions_give_the_same_rows(spark, monkeypatch):
     spread = warehouse(spark, SF001)
     assert not spread.is_small("dim_sellers")
     assert {n: sorted(map(str, spread[n].collect())) for n in names} == want
+
+
+def with_lines(spark, change):
+    wh = warehouse(spark, SF001)
+    wh.raw["raw_order_items"] = change(wh["raw_order_items"])
+    return wh
+
+
+def test_large_product_dimensions_meet_pairs_of_ids_only(spark, monkeypatch):
+    """Whole lines are shuffled once, by order; a map of its basket's products comes to each order."""
+    wh = warehouse(spark, SF001)
+    want = sorted(map(str, wh["order_lines"].collect()))
+    monkeypatch.setattr(skew, "SENT_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wh = warehouse(spark, SF001)
+        plan = wh["int_order_items_agg"]._jdf.queryExecution().optimizedPlan().toString()
+        by_product = wh["int_order_items_agg"]._jdf.queryExecution().executedPlan().toString().split("\n")
+        below = [by_product[i + 1:i + 3] for i, line in enumerate(by_product) if "Exchange hashpartitioning(product_id" in line]
+        assert "map_from_entries" in plan and not any("price" in line for part in below for line in part)
+        assert sorted(map(str, wh["order_lines"].collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("change", [
+    lambda df: df.withColumn("order_id", F.when(F.col("order_item_id") != 2, F.col("order_id"))),        # lines without an order
+    lambda df: df.withColumn("product_id", F.when(F.col("order_item_id") != 2, F.col("product_id"))),    # without a product
+    lambda df: df.withColumn("product_id", F.concat("product_id", F.lit("0000"))),                      # of unknown products
+    lambda df: df.withColumn("product_id", F.lit("3")),                                                 # the same product again and again
+    lambda df: df.withColumn("order_item_id", F.lit(1).cast("long")),                                   # one number for all lines
+    lambda df: df.limit(0)], ids=["no-order", "no-product", "unknown", "same", "numbers", "empty"])
+def test_odd_lines_have_the_products_a_plain_join_gives(spark, monkeypatch, change):
+    monkeypatch.setattr(skew, "SENT_ROWS", 0)
+    wh = with_lines(spark, change)
+    want = wh["stg_order_items"].drop("order_item_key").join(
+        wh["dim_products"].select("product_id", "category_name", "product_weight_g", "product_volume_cm3"), "product_id", "left")
+    lines = wh["order_lines"]
+    assert sorted(map(str, lines.collect())) == sorted(map(str, want.select(*lines.columns).collect()))
+
+
+def test_dates_that_follow_from_times_do_not_travel_with_orders(spark):
+    assert not {"delivered_date", "estimated_delivery_date"} & set(warehouse(spark, SF001)["order_base"].columns)
