@@ -256,3 +256,24 @@ def test_a_given_staging_view_is_laid_out_and_leaves_raw_lines_alone(spark, tmp_
     few = wh["stg_order_items"].count()
     build.build_warehouse(wh, str(tmp_path), LINE_TABLES)
     assert wh["fct_order_items"].count() == few < raw == wh["raw_order_items"].count()
+
+
+def written(wh, name, df):
+    wh.written(name, df, df.columns, None, {}, df.count())
+
+
+def test_written_models_that_are_unique_or_as_long_as_another_give_no_events(spark):
+    tests = [("a", "k", "unique", None), ("b", "k", "unique", None), ("a", None, "row_count_matches", "b"), ("b", None, "row_count_matches", "c"),
+             ("b", "k", "relationships", ("a", "k"))]
+    a = spark.createDataFrame([("1",), ("2",), (None,), (None,)], "k string")
+    b = spark.createDataFrame([("1",), ("1",), ("1",), ("3",), ("3",)], "k string")
+    lazy, files = warehouse(spark, SF001), warehouse(spark, SF001)
+    for name, df in (("a", a), ("b", b), ("c", a.union(a.limit(1)))):
+        lazy.override(name, df)
+        written(files, name, df)
+    want = {("a", "unique"): 0, ("b", "unique"): 2, ("a", "row_count_matches"): 1, ("b", "row_count_matches"): 0, ("b", "relationships"): 2}
+    for wh in (lazy, files):
+        assert {(r.model, r.test): r.failures for r in dq.failures_by_test(wh, tests).collect()} == want
+    assert dq._once(lazy, tests) == set() and dq._once(files, tests) == {("a", "k")}
+    due = [i for events in dq._events(files, tests, dq._once(files, tests)).values() for _, i, _, _ in events]
+    assert sorted(due) == [1, 4, 4]                     # b's keys decide; no event for what is known
